@@ -1,0 +1,115 @@
+"""Plain sequential models the Spark results are compared with."""
+
+from __future__ import annotations
+
+import random
+import re
+
+EVENT_FIELDS = (
+    "acc_id string, product_id string, event_type string, session_id string, "
+    "event_time string, seq long"
+)
+
+
+def session_number(text):
+    digits = re.sub(r"[^0-9]+", "", text or "")
+    number = int(digits) if digits else 0
+    return number if number < 2**31 else 0
+
+
+def blank(text):
+    return text is None or text.strip() == ""
+
+
+def track(events):
+    """Alerts and open intents of events given in ``seq`` order, as sorted tuples."""
+    live, alerts = {}, []
+
+    def alert(kind, acc, product, seq, action=None, session=None, time=None, attempts=None,
+              start=None, current=None):
+        alerts.append((kind, acc, product, seq, action, session, time, attempts, start, current))
+
+    for acc, product, kind, session, time, seq in events:
+        if blank(acc):
+            continue
+        number = session_number(session)
+        for (owner, item), intent in live.items():
+            if owner == acc and not intent["discount"] and number > intent["number"]:
+                intent["discount"] = True
+                alert("DYNAMIC_PRICING", acc, item, seq, "10% Extra Discount Coupon",
+                      start=intent["session"], current=session)
+        if blank(product):
+            continue
+        key = (acc, product)
+        fresh = {"origin": kind, "session": session, "number": number, "time": time,
+                 "attempts": 0, "discount": False}
+        if kind in ("ADD_TO_CART", "WISHLIST"):
+            live[key] = fresh
+            alert("INTENT_CAPTURED", acc, product, seq, kind, session, time)
+        elif kind == "CHECKOUT":
+            intent = live.setdefault(key, fresh)
+            intent["attempts"] += 1
+            if intent["attempts"] >= 2:
+                alert("CHECKOUT_FRICTION", acc, product, seq, "20k Voucher/FreeShip",
+                      attempts=intent["attempts"])
+        elif kind in ("PURCHASE", "REMOVE_FROM_CART") and key in live:
+            attempts = live.pop(key)["attempts"]
+            if kind == "PURCHASE":
+                alert("CONVERSION_SUCCESS", acc, product, seq, attempts=attempts)
+            else:
+                alert("CART_REMOVED", acc, product, seq)
+    opened = [
+        (acc, product, i["origin"], i["session"], i["number"], i["time"], i["attempts"],
+         i["discount"])
+        for (acc, product), i in live.items()
+    ]
+    return sorted(alerts, key=repr), sorted(opened, key=repr)
+
+
+def messy_events(seed, size=120, accounts=3, products=3):
+    """Sessions that step back or are blank, absent types and products, odd ids."""
+    rng = random.Random(seed)
+    kinds = ["VIEW", "ADD_TO_CART", "WISHLIST", "CHECKOUT", "PURCHASE", "REMOVE_FROM_CART",
+             "UNKNOWN", "add_to_cart", None]
+    sessions = [None, "", "  ", "abc", "SS99999999999", "S1S2"]
+    rows, seq = [], 0
+    for _ in range(size):
+        seq += rng.choice([1, 1, 1, 7])
+        number = rng.choice([rng.randint(0, 6), rng.randint(0, 40), seq // 30])
+        session = rng.choice(sessions) if rng.random() < 0.2 else f"SS{number:08d}"
+        rows.append((
+            rng.choice([f"A{i}" for i in range(accounts)] + ["", None, " "][: rng.randint(0, 3)]),
+            rng.choice([f"P{i}" for i in range(products)] + [None, "", " "][: rng.randint(0, 3)]),
+            rng.choice(kinds), session, f"t{seq}", seq,
+        ))
+    return rows
+
+
+def sessions(rows, gap=15 * 60):
+    """``seq -> session number`` of (acc, seconds, seq) rows in the given order."""
+    state, numbers = {}, {}
+    for acc, seconds, seq in rows:
+        if blank(acc):
+            numbers[seq] = None
+            continue
+        number, last = state.get(acc, (1, None))
+        if last is not None and seconds - last > gap:
+            number += 1
+        state[acc] = (number, seconds)
+        numbers[seq] = number
+    return numbers
+
+
+def recommend(rows, limit):
+    """``product -> [(id, category, brand)]`` for catalog rows in file order."""
+    by_id = {row[0]: row for row in rows}
+    result = {}
+    for target, (_, category, brand) in by_id.items():
+        chosen = []
+        same = [r for r in rows if r[1] == category] + [r for r in rows if r[2] == brand]
+        for row in same:
+            if len(chosen) < limit and row[0] != target and row not in chosen:
+                chosen.append(row)
+        if chosen:
+            result[target] = chosen
+    return result
