@@ -6,6 +6,7 @@ from clickloom.functions.ids import (
     routing_key,
     session_id,
 )
+from clickloom.functions.numbers import floor_div
 from clickloom.functions.text import is_blank, java_trim
 from clickloom.functions.times import (
     epoch_cell,
@@ -19,6 +20,7 @@ __all__ = [
     "catalog_product_id",
     "document_id",
     "epoch_cell",
+    "floor_div",
     "is_blank",
     "iso_format",
     "iso_parse",

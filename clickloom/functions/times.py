@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
+from clickloom.functions.numbers import floor_div
 from clickloom.functions.text import _col
 
 MICROS_PER_SECOND = 1_000_000
@@ -18,7 +19,7 @@ def iso_format(ts: Column | str) -> Column:
 
 def epoch_cell(ts: Column | str, seconds: int) -> Column:
     """Number of the fixed-width time cell since the epoch, in any session time zone."""
-    return F.floor(F.unix_micros(_col(ts)) / F.lit(seconds * MICROS_PER_SECOND))
+    return floor_div(F.unix_micros(_col(ts)), seconds * MICROS_PER_SECOND)
 
 
 def utc_day(ts: Column | str) -> Column:

@@ -11,21 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import schema as S
-from clickloom.functions import is_blank, parse_session_number
-from clickloom.operators.pricing import first_greater_after, greater_sessions
+from clickloom.functions import floor_div, is_blank, parse_session_number
+from clickloom.operators.pricing import first_greater_after, session_summary
 from clickloom.plans import HOT_ROWS, SPAN, hot_keys, stage
 
 _STALE = "STALE"
-_OPEN = "OPEN"
 _ENTER = "ENTER"
 _ENTER_LIVE = "ENTER_LIVE"
 _EXIT = "EXIT"
 
 _PAIR = ["acc_id", "product_id"]
+_GREATER_TYPE = (
+    "struct<first_seq: bigint, first_session_id: string, last_seq: bigint, top_no: int>"
+)
 _START_TYPE = (
     "struct<seq: bigint, origin: string, session_id: string, session_no: int, "
-    "event_time: string, greater: struct<first_seq: bigint, first_session_id: string, "
-    "last_seq: bigint, top_no: int>, base: bigint>"
+    f"event_time: string, greater: {_GREATER_TYPE}, base: bigint>"
 )
 
 
@@ -62,19 +63,17 @@ def _start(base: Column) -> Column:
     ).cast(_START_TYPE)
 
 
-def _with_ranges(acting: DataFrame, hot_rows: int, span: int) -> DataFrame:
-    """Cut hot accounts into sequence ranges joined up by marker rows.
+def _with_ranges(acting: DataFrame, hot: DataFrame | None, span: int) -> DataFrame:
+    """Cut the hot accounts into sequence ranges joined up by marker rows.
 
-    Most inputs have no hot account; then nothing is added to the plan.
+    ``hot`` is broadcast: each of its accounts holds more than ``hot_rows`` events.
     """
-    hot = stage(hot_keys(acting, ["acc_id"], hot_rows))
     rows = acting.withColumn("carried", F.lit(None).cast(_START_TYPE))
-    if hot.isEmpty():
+    if hot is None:
         return rows.withColumn("range", F.lit(-1).cast("long"))
-    position = F.floor(F.col("seq") / F.lit(span))
     flagged = rows.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "acc_id", "left")
     ranged = flagged.withColumn(
-        "range", F.when(F.col("is_hot"), position).otherwise(F.lit(-1))
+        "range", F.when(F.col("is_hot"), floor_div("seq", span)).otherwise(F.lit(-1))
     ).drop("is_hot")
     markers = _range_markers(ranged.where(F.col("range") >= 0).drop("carried"), span)
     return ranged.unionByName(markers, allowMissingColumns=True)
@@ -144,131 +143,164 @@ def _life_cycle(rows: DataFrame) -> DataFrame:
     so_far = by_seq.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = by_seq.rowsBetween(Window.unboundedPreceding, -1)
     is_checkout = _is(S.CHECKOUT)
-    stepped = (
-        rows.withColumn("previous_type", F.lag("event_type").over(by_seq))
-        .withColumn("is_last", F.lead("seq").over(by_seq).isNull())
-        .withColumn("checkouts", F.count(F.when(is_checkout, 1)).over(so_far))
+    stepped = rows.withColumns(
+        {
+            "previous_type": F.lag("event_type").over(by_seq),
+            "is_last": F.lead("seq").over(by_seq).isNull(),
+            "checkouts": F.count(F.when(is_checkout, 1)).over(so_far),
+        }
     )
     live_before = F.coalesce(
         F.col("previous_type").isin(*S.CAPTURE_TYPES, S.CHECKOUT, _ENTER_LIVE), F.lit(False)
     )
-    opens = _is(*S.CAPTURE_TYPES) | (is_checkout & ~F.col("live_before"))
+    opens = _is(*S.CAPTURE_TYPES) | (is_checkout & ~live_before)
     counted = F.col("checkouts") - is_checkout.cast("long")
     opened = F.when(opens, _start(counted)).otherwise(F.col("carried"))
-    return (
-        stepped.withColumn("live_before", live_before)
-        .withColumn("opened", opened)
-        .withColumn("start_before", F.last("opened", ignorenulls=True).over(before))
-        .withColumn("start_after", F.coalesce("opened", "start_before"))
-        .withColumn("attempts_before", counted - F.col("start_before.base"))
-        .withColumn("attempts_after", F.col("checkouts") - F.col("start_after.base"))
-        .where(~_is(_ENTER, _ENTER_LIVE, _EXIT))
+    started = stepped.withColumns({"live_before": live_before, "opened": opened}).withColumn(
+        "start_before", F.last("opened", ignorenulls=True).over(before)
+    )
+    start_after = F.coalesce("opened", "start_before")
+    return started.where(~_is(_ENTER, _ENTER_LIVE, _EXIT)).withColumns(
+        {
+            "start_after": start_after,
+            "attempts_before": counted - F.col("start_before.base"),
+            "attempts_after": F.col("checkouts") - start_after["base"],
+        }
     )
 
 
-def _record(kind: str, when: Column, **values: Column) -> Column:
-    fields = {
-        "seq": ("bigint", F.col("seq")),
-        "action": ("string", None),
-        "session_id": ("string", None),
-        "event_time": ("string", None),
-        "checkout_attempts": ("bigint", None),
-        "start_session_id": ("string", None),
-        "current_session_id": ("string", None),
-        "start_seq": ("bigint", None),
-        "end_seq": ("bigint", None),
-        "session_no": ("int", None),
-        "top_no": ("int", None),
-        "discount_applied": ("boolean", None),
-    }
-    columns = [F.lit(kind).alias("alert_type")]
-    for name, (kind_of, default) in fields.items():
-        value = values.get(name, default)
-        value = F.lit(None) if value is None else value
-        columns.append(value.cast(kind_of).alias(name))
-    return F.when(when, F.struct(*columns))
-
-
-def _discount_records(when: Column, state: str, end: Column | None) -> list[Column]:
-    """The discount of an intent that ended at ``end`` (None: still open).
-
-    The first event of a greater session lies after the start: that is the answer. It lies
-    before: a later one must be searched for, unless none is late enough.
-    """
-    start = F.col(state)
-    first = start["greater"]["first_seq"]
-    in_time = F.lit(True) if end is None else first <= end
-    found = when & (first > start["seq"]) & in_time
-    search = when & (first < start["seq"]) & (start["greater"]["last_seq"] > start["seq"])
-    return [
-        _record(
-            S.DYNAMIC_PRICING,
-            found,
-            seq=first,
-            action=F.lit(S.PRICING_ACTION),
-            start_session_id=start["session_id"],
-            current_session_id=start["greater"]["first_session_id"],
-        ),
-        _record(
-            _STALE,
-            search,
-            start_seq=start["seq"],
-            end_seq=end,
-            session_no=start["session_no"],
-            top_no=start["greater"]["top_no"],
-            start_session_id=start["session_id"],
-        ),
-    ]
-
-
-def _branch_records() -> dict[str, Column]:
-    live = F.col("live_before")
-    return {
-        S.INTENT_CAPTURED: _record(
-            S.INTENT_CAPTURED,
-            _is(*S.CAPTURE_TYPES),
-            action=F.col("event_type"),
-            session_id=F.col("session_id"),
-            event_time=F.col("event_time"),
-        ),
-        S.CHECKOUT_FRICTION: _record(
-            S.CHECKOUT_FRICTION,
-            _is(S.CHECKOUT) & (F.col("attempts_after") >= 2),
-            action=F.lit(S.FRICTION_ACTION),
-            checkout_attempts=F.col("attempts_after"),
-        ),
-        S.CONVERSION_SUCCESS: _record(
-            S.CONVERSION_SUCCESS,
-            _is(S.PURCHASE) & live,
-            checkout_attempts=F.col("attempts_before"),
-        ),
-        S.CART_REMOVED: _record(S.CART_REMOVED, _is(S.REMOVE_FROM_CART) & live),
-    }
+def _without_sessions(events: DataFrame, hot_rows: int, span: int) -> DataFrame:
+    """Life cycle without the account's other sessions, for the branch alerts."""
+    acting = acting_events(events)
+    hot = hot_keys(acting, ["acc_id"], hot_rows)
+    bare = acting.withColumn("greater", F.lit(None).cast(_GREATER_TYPE))
+    return _life_cycle(_with_ranges(bare, None if hot.isEmpty() else hot, span))
 
 
-def _unfold(rows: DataFrame, records: list[Column]) -> DataFrame:
-    return rows.select(*_PAIR, F.inline(F.array_compact(F.array(*records))))
+def _with_sessions(events: DataFrame, hot_rows: int, span: int) -> tuple[DataFrame, bool]:
+    """Life cycle with the account's greater sessions, and whether any account steps back.
+
+    The session summary is staged: two facts about it decide whether the plan needs ranges
+    for hot accounts and a search for accounts that step back. Most inputs need neither.
+    """
+    summary = stage(session_summary(events))
+    largest, steps_back = summary.agg(F.max("acc_rows"), F.max("steps_back")).first()
+    hot = None
+    if largest is not None and largest > hot_rows:
+        hot = summary.where(F.col("acc_rows") > hot_rows).select("acc_id").distinct()
+    acting = acting_events(events).join(
+        summary.select("acc_id", "session_no", "greater"), ["acc_id", "session_no"], "left"
+    )
+    return _life_cycle(_with_ranges(acting, hot, span)), bool(steps_back)
+
+
+# Columns of an unfolded record after ``alert_type``; the second half serves the search.
+_RECORD_FIELDS = {
+    "seq": "bigint",
+    "action": "string",
+    "session_id": "string",
+    "event_time": "string",
+    "checkout_attempts": "bigint",
+    "start_session_id": "string",
+    "current_session_id": "string",
+    "start_seq": "bigint",
+    "end_seq": "bigint",
+    "session_no": "int",
+    "top_no": "int",
+}
+
+
+def _record(kind: str, when: str, **values: str) -> Column:
+    """A record of ``kind`` where ``when`` holds, its fields given as SQL expressions."""
+    fields = ", ".join(
+        f"cast({values.get(name, 'null')} as {of}) as {name}"
+        for name, of in _RECORD_FIELDS.items()
+    )
+    return F.expr(f"case when {when} then struct('{kind}' as alert_type, {fields}) end")
+
+
+def _among(kinds: tuple[str, ...]) -> str:
+    return "event_type in ({})".format(", ".join(f"'{kind}'" for kind in kinds))
+
+
+_BRANCHES = {
+    S.INTENT_CAPTURED: (
+        _among(S.CAPTURE_TYPES),
+        {
+            "seq": "seq",
+            "action": "event_type",
+            "session_id": "session_id",
+            "event_time": "event_time",
+        },
+    ),
+    S.CHECKOUT_FRICTION: (
+        f"event_type = '{S.CHECKOUT}' and attempts_after >= 2",
+        {
+            "seq": "seq",
+            "action": f"'{S.FRICTION_ACTION}'",
+            "checkout_attempts": "attempts_after",
+        },
+    ),
+    S.CONVERSION_SUCCESS: (
+        f"event_type = '{S.PURCHASE}' and live_before",
+        {"seq": "seq", "checkout_attempts": "attempts_before"},
+    ),
+    S.CART_REMOVED: (
+        f"event_type = '{S.REMOVE_FROM_CART}' and live_before",
+        {"seq": "seq"},
+    ),
+}
+
+# When an intent ends and its end: at the closing or overwriting event, which itself still
+# counts because the check comes before the event's effect, or not at all.
+_ENDS = {
+    "start_before": (f"live_before and {_among(S.CAPTURE_TYPES + S.CLOSING_TYPES)}", "seq"),
+    "start_after": (f"is_last and {_among(S.CAPTURE_TYPES + (S.CHECKOUT,))}", "null"),
+}
+
+
+def _branch(kind: str) -> Column:
+    when, values = _BRANCHES[kind]
+    return _record(kind, when, **values)
+
+
+def _discount(state: str) -> Column:
+    """The first event of a greater session lies after the start: that sets off the discount."""
+    when, end = _ENDS[state]
+    first = f"{state}.greater.first_seq"
+    return _record(
+        S.DYNAMIC_PRICING,
+        f"{when} and {first} > {state}.seq and {first} <= coalesce({end}, {first})",
+        seq=first,
+        action=f"'{S.PRICING_ACTION}'",
+        start_session_id=f"{state}.session_id",
+        current_session_id=f"{state}.greater.first_session_id",
+    )
 
 
-def _without_sessions(events: DataFrame, hot_rows: int, span: int) -> DataFrame:
-    """Life cycle without the account's other sessions, for the branch alerts."""
-    none = F.lit(None).cast(
-        "struct<first_seq: bigint, first_session_id: string, last_seq: bigint, top_no: int>"
+def _stale(state: str) -> Column:
+    """It lies before the start, but others lie after: the first of those must be searched."""
+    when, end = _ENDS[state]
+    greater = f"{state}.greater"
+    return _record(
+        _STALE,
+        f"{when} and {greater}.first_seq < {state}.seq and {greater}.last_seq > {state}.seq",
+        start_seq=f"{state}.seq",
+        end_seq=end,
+        session_no=f"{state}.session_no",
+        top_no=f"{greater}.top_no",
+        start_session_id=f"{state}.session_id",
     )
-    acting = acting_events(events).withColumn("greater", none)
-    return _life_cycle(_with_ranges(acting, hot_rows, span))
 
 
-def _with_sessions(events: DataFrame, hot_rows: int, span: int) -> DataFrame:
-    greater = greater_sessions(events)
-    acting = acting_events(events).join(greater, ["acc_id", "session_no"], "left")
-    return _life_cycle(_with_ranges(acting, hot_rows, span))
+def _unfold(rows: DataFrame, records: list[Column]) -> DataFrame:
+    return rows.select(*_PAIR, F.inline(F.array_compact(F.array(*records))))
 
 
 def intents_captured(events: DataFrame) -> DataFrame:
     """Every ADD_TO_CART and WISHLIST opens an intent; no state is needed to see it."""
     acting = acting_events(events).where(_is(*S.CAPTURE_TYPES))
-    return _unfold(acting, [_branch_records()[S.INTENT_CAPTURED]]).select(*S.ALERT_COLUMNS)
+    return _unfold(acting, [_branch(S.INTENT_CAPTURED)]).select(*S.ALERT_COLUMNS)
 
 
 def checkout_attempts(
@@ -289,15 +321,18 @@ def branch_alerts(
 ) -> DataFrame:
     """CHECKOUT_FRICTION, CONVERSION_SUCCESS or CART_REMOVED alerts."""
     rows = _without_sessions(events, hot_rows, span)
-    return _unfold(rows, [_branch_records()[kind]]).select(*S.ALERT_COLUMNS)
+    return _unfold(rows, [_branch(kind)]).select(*S.ALERT_COLUMNS)
 
 
 def open_intents(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) -> DataFrame:
-    """Snapshot of the intents still live after the last event."""
-    rows = _with_sessions(events, hot_rows, span)
-    live_after = _is(*S.CAPTURE_TYPES, S.CHECKOUT)
+    """Snapshot of the intents still live after the last event.
+
+    One is discounted when any event of a greater session lies after its start.
+    """
+    rows, _ = _with_sessions(events, hot_rows, span)
+    live_after, _ = _ENDS["start_after"]
     start = F.col("start_after")
-    return rows.where(F.col("is_last") & live_after).select(
+    return rows.where(live_after).select(
         *_PAIR,
         start["origin"].alias("origin_action"),
         start["session_id"].alias("start_session_id"),
@@ -310,24 +345,13 @@ def open_intents(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN)
     )
 
 
-def _closed_and_open(events: DataFrame, kinds: list[str], hot_rows: int, span: int):
-    rows = _with_sessions(events, hot_rows, span)
-    resets = _is(*S.CAPTURE_TYPES, *S.CLOSING_TYPES)
-    live_after = _is(*S.CAPTURE_TYPES, S.CHECKOUT)
-    branch = _branch_records()
-    records = [branch[kind] for kind in kinds]
-    # The check comes before the event's own effect, so the closing event itself counts.
-    records += _discount_records(resets & F.col("live_before"), "start_before", F.col("seq"))
-    records += _discount_records(F.col("is_last") & live_after, "start_after", None)
-    return _unfold(rows, records)
-
-
 def _alerts(events: DataFrame, kinds: list[str], hot_rows: int, span: int) -> DataFrame:
-    unfolded = stage(_closed_and_open(events, kinds, hot_rows, span))
-    alerts = unfolded.where(F.col("alert_type") != _STALE).select(*S.ALERT_COLUMNS)
+    rows, steps_back = _with_sessions(events, hot_rows, span)
+    records = [_branch(kind) for kind in kinds] + [_discount(state) for state in _ENDS]
+    if not steps_back:
+        return _unfold(rows, records).select(*S.ALERT_COLUMNS)
+    unfolded = stage(_unfold(rows, records + [_stale(state) for state in _ENDS]))
     stale = unfolded.where(F.col("alert_type") == _STALE)
-    if stale.isEmpty():
-        return alerts
     found = first_greater_after(stale, events, span).select(
         F.lit(S.DYNAMIC_PRICING).alias("alert_type"),
         *_PAIR,
@@ -336,6 +360,7 @@ def _alerts(events: DataFrame, kinds: list[str], hot_rows: int, span: int) -> Da
         "start_session_id",
         "current_session_id",
     )
+    alerts = unfolded.where(F.col("alert_type") != _STALE).select(*S.ALERT_COLUMNS)
     return alerts.unionByName(found, allowMissingColumns=True)
 
 
@@ -346,4 +371,4 @@ def dynamic_pricing(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPA
 
 def pricing_alerts(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) -> DataFrame:
     """All five alert kinds."""
-    return _alerts(events, list(_branch_records()), hot_rows, span)
+    return _alerts(events, list(_BRANCHES), hot_rows, span)

@@ -1,6 +1,6 @@
 """When does an account first reach a greater session number?
 
-Neither answer pairs intents with events. ``greater_sessions`` needs one aggregate row per
+Neither answer pairs intents with events. ``session_summary`` needs one aggregate row per
 (account, session number); ``first_greater_after`` handles what that leaves open, which are
 accounts whose session numbers step back.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clickloom.functions import is_blank, parse_session_number
+from clickloom.functions import floor_div, is_blank, parse_session_number
 
 _BITS = 31
 
@@ -23,48 +23,52 @@ def _sessions(events: DataFrame) -> DataFrame:
     )
 
 
-def greater_sessions(events: DataFrame) -> DataFrame:
-    """``acc_id, session_no, greater``: where the account's greater numbers were seen.
+def session_summary(events: DataFrame) -> DataFrame:
+    """One row per (account, session number), over all events of the account.
 
-    ``greater`` holds the first event of any greater number, the last one, and the
-    greatest number. Rows without a greater number are left out.
+    ``greater``: the first event of any greater number, the last one, and the greatest
+    number (null when there is none). ``steps_back``: an event of this number comes after
+    one of a greater number. ``acc_rows``: events of the account.
+
+    The aggregate combines on the map side; the window sees an account's distinct session
+    numbers, not its events.
     """
     # Grouping by the id text too keeps the aggregate on fixed-width buffers.
     seen = (
         _sessions(events)
         .groupBy("acc_id", "session_no", "session_id")
-        .agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
-        .groupBy("acc_id", "session_no")
         .agg(
-            F.min(F.struct("first_seq", "session_id")).alias("head"),
-            F.max("last_seq").alias("last_seq"),
+            F.min("seq").alias("first_seq"),
+            F.max("seq").alias("last_seq"),
+            F.count(F.lit(1)).alias("rows"),
         )
     )
-    above = (
-        Window.partitionBy("acc_id")
-        .orderBy(F.desc("session_no"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    account = Window.partitionBy("acc_id")
+    downwards = account.orderBy(F.desc("session_no"))
+    above = downwards.rangeBetween(Window.unboundedPreceding, -1)
+    same = downwards.rangeBetween(Window.currentRow, Window.currentRow)
+    folded = seen.withColumns(
+        {
+            "head": F.min(F.struct("first_seq", "session_id")).over(above),
+            "last_greater": F.max("last_seq").over(above),
+            "top_no": F.max("session_no").over(above),
+            "own_last": F.max("last_seq").over(same),
+            "earlier_no": F.lag("session_no").over(downwards),
+            "acc_rows": F.sum("rows").over(account),
+        }
     )
-    head = F.min("head").over(above)
-    return (
-        seen.select(
-            "acc_id",
-            "session_no",
-            head.alias("head"),
-            F.max("last_seq").over(above).alias("last_seq"),
-            F.max("session_no").over(above).alias("top_no"),
-        )
-        .where(F.col("top_no").isNotNull())
-        .select(
-            "acc_id",
-            "session_no",
-            F.struct(
-                F.col("head.first_seq").alias("first_seq"),
-                F.col("head.session_id").alias("first_session_id"),
-                "last_seq",
-                "top_no",
-            ).alias("greater"),
-        )
+    greater = F.struct(
+        F.col("head.first_seq").alias("first_seq"),
+        F.col("head.session_id").alias("first_session_id"),
+        F.col("last_greater").alias("last_seq"),
+        "top_no",
+    )
+    return folded.where(~F.col("session_no").eqNullSafe(F.col("earlier_no"))).select(
+        "acc_id",
+        "session_no",
+        F.when(F.col("top_no").isNotNull(), greater).alias("greater"),
+        F.coalesce(F.col("own_last") > F.col("head.first_seq"), F.lit(False)).alias("steps_back"),
+        "acc_rows",
     )
 
 
@@ -124,7 +128,7 @@ def first_greater_after(stale: DataFrame, events: DataFrame, span: int) -> DataF
     )
     node = ["acc_id", "bit", "prefix"]
     rows = points.unionByName(questions).withColumn(
-        "range", F.floor(F.col("seq") / F.lit(span))
+        "range", floor_div("seq", span)
     )
     beyond = (
         Window.partitionBy(*node)

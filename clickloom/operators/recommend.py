@@ -11,31 +11,34 @@ from clickloom.sources.catalog import catalog_lookup
 LIMIT = 5
 
 
-def _shortlist(catalog: DataFrame, group: str, other: str, limit: int) -> DataFrame:
+def _distinct_lines(catalog: DataFrame) -> DataFrame:
+    return catalog.groupBy("product_id", "category_id", "brand_id").agg(
+        F.min("catalog_ord").alias("catalog_ord")
+    )
+
+
+def _shortlist(lines: DataFrame, group: str, limit: int) -> DataFrame:
     """The rows of each category (or brand) that any of its products can need.
 
-    A product skips its own rows and, in the brand list, at most ``limit - 1`` rows already
-    taken from its category. So the first ``2 * limit`` rows of an id and the first
-    ``2 * limit + 1`` ids always hold ``limit`` rows to take. Both ranks are cut
-    before the shuffle too, so a category holding most of the catalog costs no more.
+    A product skips its own rows and, in the brand list, fewer than ``limit`` rows already
+    taken from its category. So the first ``2 * limit`` rows of an id, and the rows up to the
+    ``2 * limit + 1``-th id, always hold ``limit`` rows to take. Both ranks are cut before
+    the shuffle too, so a category holding most of the catalog costs no more.
     """
+    ids, rows_per_id = 2 * limit + 1, 2 * limit
     by_line = Window.partitionBy(group, "product_id").orderBy("catalog_ord")
-    distinct = catalog.groupBy(group, "product_id", other).agg(
-        F.min("catalog_ord").alias("catalog_ord")
-    )
-    trimmed = distinct.withColumn("line", F.row_number().over(by_line)).where(
-        F.col("line") <= 2 * limit
-    )
-    firsts = trimmed.where(F.col("line") == 1)
     by_ord = Window.partitionBy(group).orderBy("catalog_ord")
-    ids = (
-        firsts.withColumn("place", F.row_number().over(by_ord))
-        .where(F.col("place") <= 2 * limit + 1)
-        .select(group, "product_id")
+    so_far = by_ord.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = (
+        lines.withColumn("line", F.row_number().over(by_line))
+        .where(F.col("line") <= rows_per_id)
+        .withColumn("place", F.row_number().over(by_ord))
+        .where(F.col("place") <= ids * rows_per_id)
+        .withColumn("ids", F.count(F.when(F.col("line") == 1, 1)).over(so_far))
+        .where(F.col("ids") <= ids)
     )
-    items = trimmed.join(ids, [group, "product_id"], "left_semi")
     item = F.struct("catalog_ord", "product_id", "category_id", "brand_id")
-    return items.groupBy(group).agg(F.sort_array(F.collect_list(item)).alias(f"{group}_list"))
+    return head.groupBy(group).agg(F.sort_array(F.collect_list(item)).alias(f"{group}_list"))
 
 
 def _tagged(items: Column, tier: int) -> Column:
@@ -58,8 +61,9 @@ def recommendation_lists(catalog: DataFrame, limit: int = LIMIT) -> DataFrame:
     if limit < 1:
         raise ValueError("limit must be at least 1")
     targets = catalog_lookup(catalog)
-    by_category = _shortlist(catalog, "category_id", "brand_id", limit)
-    by_brand = _shortlist(catalog, "brand_id", "category_id", limit)
+    lines = _distinct_lines(catalog)
+    by_category = _shortlist(lines, "category_id", limit)
+    by_brand = _shortlist(lines, "brand_id", limit)
     joined = targets.join(by_category, "category_id").join(by_brand, "brand_id")
     target, category = F.col("product_id"), F.col("category_id")
     same_category = F.slice(

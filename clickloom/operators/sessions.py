@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clickloom.functions import epoch_cell, is_blank, session_id
-from clickloom.plans import HOT_ROWS, SPAN, hot_keys, stage
+from clickloom.functions import epoch_cell, floor_div, is_blank, session_id
+from clickloom.plans import HOT_ROWS, SPAN, hot_keys
 
 GAP_MINUTES = 15
 
@@ -94,7 +94,7 @@ def sessionize_arrival(
     """
     blank = events.where(is_blank("acc_id"))
     known = events.where(~is_blank("acc_id"))
-    hot = stage(hot_keys(known, ["acc_id"], hot_rows))
+    hot = hot_keys(known, ["acc_id"], hot_rows)
     if hot.isEmpty():
         ranged = known.withColumn("range", F.lit(0).cast("long"))
         rows = ranged.withColumn("base", F.lit(None).cast("long"))
@@ -102,9 +102,8 @@ def sessionize_arrival(
         flagged = known.join(
             F.broadcast(hot.withColumn("is_hot", F.lit(True))), "acc_id", "left"
         )
-        position = F.floor(F.col("seq") / F.lit(span))
         ranged = flagged.withColumn(
-            "range", F.when(F.col("is_hot"), position).otherwise(F.lit(-1))
+            "range", F.when(F.col("is_hot"), floor_div("seq", span)).otherwise(F.lit(-1))
         ).drop("is_hot")
         rows = ranged.withColumn("base", F.lit(None).cast("long")).unionByName(
             _range_openers(ranged.where(F.col("range") >= 0), gap_minutes, span),

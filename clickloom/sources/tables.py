@@ -6,7 +6,7 @@ only, so the same rules can be written in any SQL dialect.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.functions import iso_format
 from clickloom.operators.sessions import sessionize
@@ -26,16 +26,28 @@ TYPE_ORDER = (
 )
 DEVICE_ORDER = ("Mobile", "Desktop", "Tablet")
 
+# The columns used here; a given schema spares the job that would infer it.
+EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, props string"
+PART_SCHEMA = "p_partkey long, p_brand string, p_type string, p_size int"
+
 REPLAY_OFFSET = 1_000_000_000
 
 
-def _pick(values: tuple[str, ...], position) -> F.col:
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+
+
+def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(PART_SCHEMA).parquet(f"{sf_dir}/part.parquet")
+
+
+def _pick(values: tuple[str, ...], position) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (position + 1).cast("int"))
 
 
 def unsessioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events before sessions: ``session_id`` is null."""
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw = _events(spark, sf_dir)
     event_id = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     kind = (event_id * 31 + F.col("user_id") * 17 + k * 7) % 8
@@ -106,13 +118,13 @@ def session_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 4, "SS99999999999")
         .when(shape == 5, "S1S2")
     )
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    raw = _events(spark, sf_dir)
     return raw.select(event_id.alias("seq"), text.alias("session_id"))
 
 
 def part_catalog(spark: SparkSession, sf_dir: str, fine: bool = False) -> DataFrame:
     """Catalog from ``part``; ``fine`` categories are too small to fill a recommendation."""
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    return _part(spark, sf_dir).select(
         F.concat(F.lit("PR"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias(
             "product_id"
         ),
@@ -145,5 +157,5 @@ def catalog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 11 == 4, F.lit("short,line,,"))
         .otherwise(clean)
     )
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    parts = _part(spark, sf_dir)
     return parts.select(line.alias("line"), key.alias("catalog_ord"))

@@ -1,0 +1,83 @@
+from pyspark.sql import functions as F
+
+from clickloom.sinks import (
+    append_documents,
+    compact_documents,
+    latest_by_id,
+    read_documents,
+    typed_documents,
+)
+from clickloom.sources import tables
+
+FIELDS = (
+    "acc_id string, session_id string, event_time string, event_type string, product_id string, "
+    "device_type string, time_on_page_minutes int, created_at string, updated_at string, seq long"
+)
+
+
+def event(time, seq, minutes=1, acc="A"):
+    return (acc, "S", time, "VIEW", "P", "Mobile", minutes, time, time, seq)
+
+
+def rows(df):
+    return sorted(
+        (tuple(r) for r in df.select("index_date", "doc_id", "time_on_page_minutes", "seq").collect())
+    )
+
+
+def test_types_and_routing(spark):
+    events = spark.createDataFrame(
+        [event("2024-01-01T01:00:00+07:00", 1), event("not a time", 2)], FIELDS)
+    docs = typed_documents(events, F.timestamp_seconds(F.lit(1704200000))).orderBy("seq")
+    assert dict(docs.dtypes) == {
+        "acc_id": "string", "session_id": "string", "event_type": "string",
+        "product_id": "string", "device_type": "string", "time_on_page_minutes": "float",
+        "event_time": "timestamp", "created_at": "timestamp", "updated_at": "timestamp",
+        "event_ts": "timestamp", "ts_parse_failed": "boolean", "index_date": "string",
+        "doc_id": "string", "seq": "bigint"}
+    got = [(r.index_date, r.doc_id, r.ts_parse_failed) for r in docs.collect()]
+    assert got == [("2023.12.31", "A_S_2024-01-01T01:00:00+07:00", False),
+                   ("2024.01.02", "A_S_not a time", True)]
+
+
+def test_last_delivery_wins(spark):
+    time = "2024-01-01T00:00:00Z"
+    events = spark.createDataFrame(
+        [event(time, 1, 5), event(time, 9, 7), event(time, 4, 6)], FIELDS)
+    assert rows(latest_by_id(typed_documents(events))) == [
+        ("2024.01.01", f"A_S_{time}", 7.0, 9)]
+
+
+def test_copies_are_dropped_before_the_shuffle(spark):
+    events = spark.createDataFrame([event("2024-01-01T00:00:00Z", 1)], FIELDS).repartition(3)
+    plan = latest_by_id(typed_documents(events))._jdf.queryExecution().executedPlan().toString()
+    ranks = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert len(ranks) == 2 and "Partial" in ranks[1]
+
+
+def test_replay_changes_nothing(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "docs")
+    docs = typed_documents(tables.canonical_events(spark, sf_dir))
+    append_documents(docs, path, 0)
+    before = rows(read_documents(spark, path))
+    assert len(before) == docs.select("index_date", "doc_id").distinct().count()
+    append_documents(docs, path, 0)
+    assert rows(read_documents(spark, path)) == before
+    assert spark.read.parquet(path).count() == len(before)
+    append_documents(docs.where("seq < 300"), path, 1)
+    assert rows(read_documents(spark, path)) == before
+
+
+def test_later_delivery_and_compaction(spark, tmp_path):
+    path, folded = str(tmp_path / "docs"), str(tmp_path / "folded")
+    first = [event(f"2024-01-0{d}T00:00:00Z", d) for d in (1, 2, 3)]
+    again = [event("2024-01-02T00:00:00Z", 10, 9), event("2024-01-04T00:00:00Z", 11)]
+    append_documents(typed_documents(spark.createDataFrame(first, FIELDS)), path, 0)
+    append_documents(typed_documents(spark.createDataFrame(again, FIELDS)), path, 1)
+    got = rows(read_documents(spark, path))
+    assert [(r[0], r[2], r[3]) for r in got] == [
+        ("2024.01.01", 1.0, 1), ("2024.01.02", 9.0, 10), ("2024.01.03", 1.0, 3),
+        ("2024.01.04", 1.0, 11)]
+    compact_documents(spark, path, folded)
+    assert rows(read_documents(spark, folded)) == got
+    assert spark.read.parquet(folded).count() == 4
