@@ -21,6 +21,7 @@ _ENTER_LIVE = "ENTER_LIVE"
 _EXIT = "EXIT"
 
 _PAIR = ["acc_id", "product_id"]
+INPUT_COLUMNS = (*_PAIR, "event_type", "session_id", "event_time", "seq")
 _GREATER_TYPE = (
     "struct<first_seq: bigint, first_session_id: string, last_seq: bigint, top_no: int>"
 )
@@ -172,7 +173,7 @@ def _life_cycle(rows: DataFrame) -> DataFrame:
 def _without_sessions(events: DataFrame, hot_rows: int, span: int) -> DataFrame:
     """Life cycle without the account's other sessions, for the branch alerts."""
     acting = acting_events(events)
-    hot = hot_keys(acting, ["acc_id"], hot_rows)
+    hot = hot_keys(events.where(~is_blank("acc_id")), ["acc_id"], hot_rows)
     bare = acting.withColumn("greater", F.lit(None).cast(_GREATER_TYPE))
     return _life_cycle(_with_ranges(bare, None if hot.isEmpty() else hot, span))
 

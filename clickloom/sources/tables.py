@@ -47,17 +47,21 @@ def _pick(values: tuple[str, ...], position) -> Column:
 
 def unsessioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events before sessions: ``session_id`` is null."""
-    raw = _events(spark, sf_dir)
-    event_id = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    raw = _events(spark, sf_dir).select(
+        "event_id",
+        "user_id",
+        "ts",
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        iso_format("ts").alias("event_time"),
+    )
+    event_id, k, event_time = F.col("event_id"), F.col("k"), F.col("event_time")
     kind = (event_id * 31 + F.col("user_id") * 17 + k * 7) % 8
     account = F.concat(F.lit("ACC"), F.lpad((F.col("user_id") + 1).cast("string"), 8, "0"))
     product = F.concat(F.lit("PR"), F.lpad((k % 20).cast("string"), 8, "0"))
-    event_time = iso_format("ts")
     return raw.select(
         F.when(event_id % 101 == 0, "").otherwise(account).alias("acc_id"),
         F.lit(None).cast("string").alias("session_id"),
-        event_time.alias("event_time"),
+        event_time,
         _pick(TYPE_ORDER, kind).alias("event_type"),
         F.when(event_id % 97 != 0, product).alias("product_id"),
         _pick(DEVICE_ORDER, event_id % 3).alias("device_type"),
