@@ -58,6 +58,8 @@ def append_documents(documents: DataFrame, path: str, batch_id: int) -> None:
     (
         latest_by_id(documents)
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        # Few files per day; a day too large for one task is split by AQE.
+        .hint("rebalance", "index_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("index_date", "batch_id")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TOPIC = "customer-events-raw"
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
 TOPIC_FILE_SCHEMA = (
     "key string, value string, topic string, partition int, offset long, timestamp timestamp"
 )
@@ -46,11 +47,11 @@ def stream_topic(
     servers: str,
     topic: str = TOPIC,
     starting: str = "earliest",
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
 ) -> DataFrame:
+    """The limit bounds what one micro-batch, and so one account in it, can hold."""
     reader = spark.readStream.format("kafka").options(**_options(servers, topic, starting))
-    if max_offsets_per_trigger is not None:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return _text_payload(reader.load())
 
 

@@ -64,6 +64,9 @@ class IntentTracker(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values("seq")
+        # Without an effect of its own, a row counts only where the session changes.
+        acts = batch["event_type"].isin(S.ACTING_TYPES) & batch["product_id"].notna()
+        batch = batch[acts | batch["session_no"].diff().ne(0)]
         intents = _Intents(self._stored)
         (stored_bound,) = self._bound.get() or (None,)
         bound = stored_bound
