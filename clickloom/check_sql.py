@@ -1,5 +1,7 @@
 """The registered queries as plain SQL over the same tables, for cross-checking results."""
 
+from clickloom.schema import alert_columns
+
 _TYPES = (
     "['VIEW','ADD_TO_CART','SEARCH','WISHLIST','CLICK','CHECKOUT','REMOVE_FROM_CART','PURCHASE']"
 )
@@ -146,7 +148,8 @@ _ALERT_LIST = (
 
 
 def _alerts_of(kind: str) -> str:
-    return f"WITH {_INTENTS} SELECT {_ALERT_LIST} FROM alerts WHERE alert_type = '{kind}'"
+    columns = ", ".join(alert_columns(kind))
+    return f"WITH {_INTENTS} SELECT {columns} FROM alerts WHERE alert_type = '{kind}'"
 
 
 ORACLE_SQL = {

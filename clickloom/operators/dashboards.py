@@ -87,8 +87,9 @@ def device_share(events: DataFrame) -> DataFrame:
 
 
 def daily_index_counts(documents: DataFrame) -> DataFrame:
-    """Documents per daily index, after upsert."""
-    return documents.groupBy("index_date").agg(F.count(F.lit(1)).alias("documents"))
+    """Documents per daily index: deliveries of one document count once."""
+    ids = documents.select("index_date", "doc_id").distinct()
+    return ids.groupBy("index_date").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def latest_documents(documents: DataFrame, limit: int = 1) -> DataFrame:

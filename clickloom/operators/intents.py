@@ -185,13 +185,14 @@ def _with_sessions(events: DataFrame, hot_rows: int, span: int) -> tuple[DataFra
     for hot accounts and a search for accounts that step back. Most inputs need neither.
     """
     summary = stage(session_summary(events))
-    largest, steps_back = summary.agg(F.max("acc_rows"), F.max("steps_back")).first()
-    hot = None
-    if largest is not None and largest > hot_rows:
-        hot = summary.where(F.col("acc_rows") > hot_rows).select("acc_id").distinct()
+    (steps_back,) = summary.agg(F.max("steps_back")).first()
+    totals = summary.groupBy("acc_id").agg(F.sum("rows").alias("rows"))
+    hot = totals.where(F.col("rows") > hot_rows).select("acc_id")
     acting = acting_events(events).join(
         summary.select("acc_id", "session_no", "greater"), ["acc_id", "session_no"], "left"
     )
+    if hot.isEmpty():
+        hot = None
     return _life_cycle(_with_ranges(acting, hot, span)), bool(steps_back)
 
 

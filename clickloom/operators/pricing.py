@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.functions import floor_div, is_blank, parse_session_number
 
+# Session numbers one window task looks at together; at most 2**31 / BLOCK blocks follow.
+BLOCK = 65_536
+
 _BITS = 31
 
 
@@ -28,10 +31,11 @@ def session_summary(events: DataFrame) -> DataFrame:
 
     ``greater``: the first event of any greater number, the last one, and the greatest
     number (null when there is none). ``steps_back``: an event of this number comes after
-    one of a greater number. ``acc_rows``: events of the account.
+    one of a greater number. ``rows``: events of this number.
 
-    The aggregate combines on the map side; the window sees an account's distinct session
-    numbers, not its events.
+    The aggregate combines on the map side. The window sees session numbers, not events,
+    and at most ``BLOCK`` of them at a time: an account shared by many visitors may have
+    any number of sessions.
     """
     # Grouping by the id text too keeps the aggregate on fixed-width buffers.
     seen = (
@@ -42,33 +46,60 @@ def session_summary(events: DataFrame) -> DataFrame:
             F.max("seq").alias("last_seq"),
             F.count(F.lit(1)).alias("rows"),
         )
+        .withColumn("block", floor_div(F.col("session_no").cast("long"), BLOCK))
     )
-    account = Window.partitionBy("acc_id")
-    downwards = account.orderBy(F.desc("session_no"))
+    downwards = Window.partitionBy("acc_id", "block").orderBy(F.desc("session_no"))
     above = downwards.rangeBetween(Window.unboundedPreceding, -1)
     same = downwards.rangeBetween(Window.currentRow, Window.currentRow)
-    folded = seen.withColumns(
-        {
-            "head": F.min(F.struct("first_seq", "session_id")).over(above),
-            "last_greater": F.max("last_seq").over(above),
-            "top_no": F.max("session_no").over(above),
-            "own_last": F.max("last_seq").over(same),
-            "earlier_no": F.lag("session_no").over(downwards),
-            "acc_rows": F.sum("rows").over(account),
-        }
-    )
+    folded = seen.select(
+        "acc_id",
+        "block",
+        "session_no",
+        F.min(F.struct("first_seq", "session_id")).over(above).alias("head"),
+        F.max("last_seq").over(above).alias("last"),
+        F.max("session_no").over(above).alias("top"),
+        F.max("last_seq").over(same).alias("own_last"),
+        F.sum("rows").over(same).alias("rows"),
+        F.lag("session_no").over(downwards).alias("earlier_no"),
+    ).where(~F.col("session_no").eqNullSafe(F.col("earlier_no")))
+    head = F.least("head", "head_beyond")
     greater = F.struct(
-        F.col("head.first_seq").alias("first_seq"),
-        F.col("head.session_id").alias("first_session_id"),
-        F.col("last_greater").alias("last_seq"),
-        "top_no",
+        head["first_seq"].alias("first_seq"),
+        head["session_id"].alias("first_session_id"),
+        F.greatest("last", "last_beyond").alias("last_seq"),
+        F.greatest("top", "top_beyond").alias("top_no"),
     )
-    return folded.where(~F.col("session_no").eqNullSafe(F.col("earlier_no"))).select(
+    return folded.join(_beyond(seen), ["acc_id", "block"], "left").select(
         "acc_id",
         "session_no",
-        F.when(F.col("top_no").isNotNull(), greater).alias("greater"),
-        F.coalesce(F.col("own_last") > F.col("head.first_seq"), F.lit(False)).alias("steps_back"),
-        "acc_rows",
+        F.when(head.isNotNull(), greater).alias("greater"),
+        F.coalesce(F.col("own_last") > head["first_seq"], F.lit(False)).alias("steps_back"),
+        "rows",
+    )
+
+
+def _beyond(seen: DataFrame) -> DataFrame:
+    """For each block of session numbers, what the account's higher blocks hold.
+
+    Empty, and dropped at the scan, for accounts with fewer than ``BLOCK`` sessions.
+    """
+    upper = (
+        seen.where(F.col("session_no") >= BLOCK)
+        .groupBy("acc_id", "block")
+        .agg(
+            F.min(F.struct("first_seq", "session_id")).alias("head"),
+            F.max("last_seq").alias("last"),
+            F.max("session_no").alias("top"),
+        )
+    )
+    downwards = Window.partitionBy("acc_id").orderBy(F.desc("block"))
+    so_far = downwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return upper.select(
+        "acc_id",
+        F.coalesce(F.lead("block").over(downwards), F.lit(0)).alias("block"),
+        F.min("head").over(so_far).alias("head_beyond"),
+        F.max("last").over(so_far).alias("last_beyond"),
+        F.max("top").over(so_far).alias("top_beyond"),
     )
 
 

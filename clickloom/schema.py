@@ -85,3 +85,16 @@ ALERT_SCHEMA = T.StructType(
     ]
 )
 ALERT_COLUMNS = tuple(ALERT_SCHEMA.fieldNames())
+
+# The columns each alert kind fills, after its account, product and event.
+ALERT_FIELDS = {
+    INTENT_CAPTURED: ("action", "session_id", "event_time"),
+    CHECKOUT_FRICTION: ("action", "checkout_attempts"),
+    CONVERSION_SUCCESS: ("checkout_attempts",),
+    CART_REMOVED: (),
+    DYNAMIC_PRICING: ("action", "start_session_id", "current_session_id"),
+}
+
+
+def alert_columns(kind: str) -> tuple[str, ...]:
+    return ("alert_type", "acc_id", "product_id", "seq", *ALERT_FIELDS[kind])

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from clickloom import schema as S
-from clickloom.operators import intents
+from clickloom.operators import intents, pricing
 from clickloom.operators.pricing import first_greater_after
 from tests.model import EVENT_FIELDS, messy_events, session_number, track
 
@@ -89,6 +89,12 @@ def test_messy_inputs_equal_the_model(spark, hot_rows, span):
     check(spark, many(range(60)), hot_rows, span)
 
 
+@pytest.mark.parametrize("block", [1, 4])
+def test_session_numbers_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(pricing, "BLOCK", block)
+    check(spark, many(range(100, 140)))
+
+
 def test_one_account_holds_most_rows(spark):
     rows = messy_events(7, size=1500, accounts=1, products=2)
     check(spark, rows, hot_rows=100, span=50)
