@@ -1,10 +1,12 @@
 from clickloom.streaming.documents import start_documents
 from clickloom.streaming.intents import stream_alerts
+from clickloom.streaming.pipeline import start_pipeline
 from clickloom.streaming.queries import start_table, use_rocksdb_state
 from clickloom.streaming.sessions import stream_sessions
 
 __all__ = [
     "start_documents",
+    "start_pipeline",
     "start_table",
     "stream_alerts",
     "stream_sessions",

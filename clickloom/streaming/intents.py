@@ -55,11 +55,8 @@ class _Intents:
 
 
 class IntentTracker(StatefulProcessor):
-    def __init__(self, ttl_ms: int | None) -> None:
-        self._ttl_ms = ttl_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._stored = handle.getMapState("intents", "product_id string", _INTENT, self._ttl_ms)
+        self._stored = handle.getMapState("intents", "product_id string", _INTENT)
         self._bound = handle.getValueState("bound", "session_no int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -145,11 +142,11 @@ class IntentTracker(StatefulProcessor):
         return {"alert_type": S.CART_REMOVED}
 
 
-def stream_alerts(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def stream_alerts(events: DataFrame) -> DataFrame:
     """Streaming form of ``pricing_alerts``, same columns.
 
-    ``ttl_ms`` lets untouched intents expire; without it they live until they are closed.
-    No watermark: events count in ``seq`` order, however old their event time.
+    Intents live until they are closed. There is no watermark: events count in ``seq``
+    order, however old their event time.
     """
     product = F.when(~is_blank("product_id"), F.col("product_id"))
     keyed = events.where(~is_blank("acc_id")).select(
@@ -162,8 +159,5 @@ def stream_alerts(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
         parse_session_number("session_id").alias("session_no"),
     )
     return keyed.groupBy("acc_id").transformWithStateInPandas(
-        IntentTracker(ttl_ms),
-        S.ALERT_SCHEMA,
-        outputMode="Append",
-        timeMode="None" if ttl_ms is None else "ProcessingTime",
+        IntentTracker(), S.ALERT_SCHEMA, outputMode="Append", timeMode="None"
     )

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from clickloom.operators import dashboards, intents, recommend
 from clickloom.operators.sessions import sessionize_arrival
 from clickloom.sinks import latest_by_id, read_documents, typed_documents
-from clickloom.sources import decode_events, quarantine_events, stream_topic_files, tables
+from clickloom.sources import decode_events, stream_topic_files, tables
 from clickloom.streaming import (
-    start_documents,
+    start_pipeline,
     start_table,
     stream_alerts,
     stream_sessions,
@@ -102,20 +102,29 @@ def test_recommendations_equal_the_batch(spark, sf_dir, topic, delivered, tmp_pa
     same(got, recommend.explode_ranked(recommend.recommend_events(delivered, catalog), *keys))
 
 
-def test_documents_equal_the_batch(spark, topic, delivered, tmp_path):
-    path = str(tmp_path / "docs")
-    stream = typed_documents(decoded(spark, topic), F.col("timestamp"))
-    run(start_documents(stream, path, str(tmp_path / "cp")))
-    run(start_documents(stream, path, str(tmp_path / "cp again")))
-    same(read_documents(spark, path), latest_by_id(typed_documents(delivered)))
-
-
-def test_rejects(spark, topic, events, tmp_path):
-    records = stream_topic_files(spark, topic)
-    run(start_table(quarantine_events(records), str(tmp_path / "out"), str(tmp_path / "cp")))
-    bad = spark.read.parquet(str(tmp_path / "out"))
-    assert bad.count() == events.where("seq % 53 = 0").count()
-    assert {r.reject_reason for r in bad.collect()} == {"malformed_json"}
+def test_pipeline_runs_every_job_on_its_own(spark, sf_dir, topic, events, delivered, tmp_path):
+    """All four jobs over the same topic; one of them started again later."""
+    catalog, opened = tables.part_catalog(spark, sf_dir), []
+
+    def open_topic(starting):
+        opened.append(starting)
+        return stream_topic_files(spark, topic)
+
+    root = str(tmp_path)
+    queries = start_pipeline(spark, open_topic, catalog, root)
+    for query in queries.values():
+        run(query)
+    assert sorted(opened) == ["earliest", "earliest", "earliest", "latest"]
+    assert len({query.id for query in queries.values()}) == 4
+    for query in start_pipeline(spark, open_topic, catalog, root).values():
+        run(query)
+    same(spark.read.parquet(f"{root}/alerts"), intents.pricing_alerts(delivered))
+    lists = spark.read.parquet(f"{root}/recommendations")
+    assert lists.count() == recommend.recommend_events(delivered, catalog).count()
+    same(read_documents(spark, f"{root}/documents"), latest_by_id(typed_documents(delivered)))
+    rejects = spark.read.parquet(f"{root}/rejects")
+    assert rejects.count() == events.where("seq % 53 = 0").count()
+    assert {r.reject_reason for r in rejects.collect()} == {"malformed_json"}
 
 
 def test_dashboard_refresh(spark, topic, delivered, tmp_path):
