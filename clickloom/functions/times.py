@@ -6,6 +6,7 @@ from clickloom.functions.numbers import floor_div
 from clickloom.functions.text import _col
 
 MICROS_PER_SECOND = 1_000_000
+ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def iso_parse(text: Column | str) -> Column:
@@ -14,7 +15,8 @@ def iso_parse(text: Column | str) -> Column:
 
 
 def iso_format(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """ISO-8601 text of an instant in UTC, in any session time zone."""
+    return F.date_format(F.to_utc_timestamp(_col(ts), F.current_timezone()), ISO_PATTERN)
 
 
 def epoch_cell(ts: Column | str, seconds: int) -> Column:

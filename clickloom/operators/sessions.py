@@ -70,9 +70,8 @@ def sessionize(
     cell = F.when(is_blank("acc_id"), F.lit(_NO_TIME) - F.col("seq") - 1).otherwise(
         _cell(cell_seconds)
     )
-    return _named(events.withColumn("cell", cell).join(cells, ["acc_id", "cell"], "left")).drop(
-        "cell"
-    )
+    keyed = events.drop("session_no").withColumn("cell", cell)
+    return _named(keyed.join(cells, ["acc_id", "cell"], "left")).drop("cell")
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -92,6 +91,7 @@ def sessionize_arrival(
     by its first and last time and its inner gaps, and a marker row that opens the range
     carries the session number and the last time reached before it.
     """
+    events = events.drop("session_no")
     blank = events.where(is_blank("acc_id"))
     known = events.where(~is_blank("acc_id"))
     hot = hot_keys(known, ["acc_id"], hot_rows)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.functions import iso_format
+from clickloom.functions.times import ISO_PATTERN
 from clickloom.operators.sessions import sessionize
 from clickloom.schema import EVENT_COLUMNS
 from clickloom.sinks.topic import event_json
+from clickloom.sources.topic import TOPIC
 
 # The order in which the rules below number types and devices.
 TYPE_ORDER = (
@@ -52,7 +53,7 @@ def unsessioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "ts",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-        iso_format("ts").alias("event_time"),
+        F.date_format("ts", ISO_PATTERN).alias("event_time"),
     )
     event_id, k, event_time = F.col("event_id"), F.col("k"), F.col("event_time")
     kind = (event_id * 31 + F.col("user_id") * 17 + k * 7) % 8
@@ -84,7 +85,7 @@ def topic_records(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("acc_id").alias("key"),
         event_json().alias("value"),
-        F.lit("customer-events-raw").alias("topic"),
+        F.lit(TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("seq").alias("offset"),
         F.col("event_ts").alias("timestamp"),

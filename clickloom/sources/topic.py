@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Fixed value: the event topic.
 TOPIC = "customer-events-raw"
 MAX_OFFSETS_PER_TRIGGER = 5_000_000
 TOPIC_FILE_SCHEMA = (

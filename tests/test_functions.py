@@ -58,8 +58,11 @@ def test_utc_day_ignores_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
     try:
         days = column(spark, values, fn.utc_day(fn.iso_parse("x")))
+        texts = column(spark, values, fn.iso_format(fn.iso_parse("x")))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert texts == ["2024-01-01T00:30:00.000000Z", "2024-01-01T23:30:00.000000Z",
+                     "1969-12-31T23:59:59.000000Z"]
     assert days == ["2024.01.01", "2024.01.01", "1969.12.31"]
 
 
