@@ -121,21 +121,19 @@ def _range_markers(rows: DataFrame, span: int) -> DataFrame:
         F.col("checkout")
     )
     state = F.when(state.isNotNull(), state.withField("base", -F.col("attempts")))
-    enter = folded.select(
-        *_PAIR,
+    enter = F.struct(
         F.col("next_range").alias("range"),
         (F.col("next_range") * span - 1).alias("seq"),
         F.when(state.isNotNull(), _ENTER_LIVE).otherwise(_ENTER).alias("event_type"),
         state.cast(_START_TYPE).alias("carried"),
     )
-    leave = folded.select(
-        *_PAIR,
-        "range",
+    leave = F.struct(
+        F.col("range"),
         ((F.col("range") + 1) * span).alias("seq"),
         F.lit(_EXIT).alias("event_type"),
         F.lit(None).cast(_START_TYPE).alias("carried"),
     )
-    return enter.unionByName(leave)
+    return folded.select(*_PAIR, F.inline(F.array(enter, leave)))
 
 
 def _life_cycle(rows: DataFrame) -> DataFrame:

@@ -130,20 +130,23 @@ def first_greater_after(stale: DataFrame, events: DataFrame, span: int) -> DataF
     """
     positions = F.sequence(F.lit(0), F.lit(_BITS - 1))
     number = F.col("session_no")
-    accounts = stale.select("acc_id").distinct()
-    points = (
+    in_range = Window.partitionBy("acc_id", "range").orderBy("seq")
+    visits = (
         _sessions(events)
-        .where(number > 0)
-        .join(accounts, "acc_id", "left_semi")
-        .select(
-            "acc_id",
-            F.inline(_nodes(F.filter(positions, lambda b: _bit(number, b) == 1), number)),
-            "seq",
-            F.struct("seq", "session_id").alias("point"),
-            F.lit(None).cast("string").alias("product_id"),
-            F.lit(None).cast("string").alias("start_session_id"),
-            F.lit(None).cast("long").alias("end_seq"),
-        )
+        .join(stale.select("acc_id").distinct(), "acc_id", "left_semi")
+        .withColumn("range", floor_div("seq", span))
+        .repartition("acc_id", "range")
+        .withColumn("earlier_no", F.lag(number).over(in_range))
+    )
+    # Of consecutive events with one number only the first can be the next greater one.
+    points = visits.where((number > 0) & ~number.eqNullSafe(F.col("earlier_no"))).select(
+        "acc_id",
+        F.inline(_nodes(F.filter(positions, lambda b: _bit(number, b) == 1), number)),
+        "seq",
+        F.struct("seq", "session_id").alias("point"),
+        F.lit(None).cast("string").alias("product_id"),
+        F.lit(None).cast("string").alias("start_session_id"),
+        F.lit(None).cast("long").alias("end_seq"),
     )
     asked = F.filter(
         positions, lambda b: (_bit(number, b) == 0) & (_shift(F.col("top_no"), b) > 0)
