@@ -20,9 +20,8 @@ def event(time, seq, minutes=1, acc="A"):
 
 
 def rows(df):
-    return sorted(
-        (tuple(r) for r in df.select("index_date", "doc_id", "time_on_page_minutes", "seq").collect())
-    )
+    chosen = df.select("index_date", "doc_id", "time_on_page_minutes", "seq")
+    return sorted(tuple(r) for r in chosen.collect())
 
 
 def test_types_and_routing(spark):

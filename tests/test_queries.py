@@ -30,6 +30,7 @@ def test_query_equals_sql(spark, sql, name):
 
 
 def test_counts(spark):
-    kinds = {r.alert_type: r["count"] for r in entry.entry(spark).groupBy("alert_type").count().collect()}
+    counts = entry.entry(spark).groupBy("alert_type").count().collect()
+    kinds = {r.alert_type: r["count"] for r in counts}
     assert kinds == {"INTENT_CAPTURED": 236, "CHECKOUT_FRICTION": 17, "CONVERSION_SUCCESS": 39,
                      "CART_REMOVED": 47, "DYNAMIC_PRICING": 316}
