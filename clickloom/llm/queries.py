@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from clickloom.llm.decontaminate import OP6_SQL, op6_decontaminate
+from clickloom.llm.lines import OP3_SQL, op3_line_dedup
+from clickloom.llm.substrings import OP5_SQL, op5_substring_dedup
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
 }
 
 ORACLE_SQL = {
+    "op3_line_dedup": OP3_SQL,
+    "op5_substring_dedup": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
 }

@@ -18,7 +18,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def staged_bytes(df: DataFrame) -> int:
     """Size of the files behind a staged table, as the planner knows it."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def small(df: DataFrame, most_bytes: int = SMALL_BYTES, most_rows: int = SMALL_ROWS) -> bool:
