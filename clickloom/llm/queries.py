@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from clickloom.llm.decontaminate import OP6_SQL, op6_decontaminate
+from clickloom.llm.jaccard import OP9_SQL, op9_jaccard_join
 from clickloom.llm.lines import OP3_SQL, op3_line_dedup
 from clickloom.llm.substrings import OP5_SQL, op5_substring_dedup
 
@@ -10,10 +11,12 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 ORACLE_SQL = {
     "op3_line_dedup": OP3_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }
