@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from clickloom.llm.chat import OP7_SQL, op7_chat_format
 from clickloom.llm.decontaminate import OP6_SQL, op6_decontaminate
 from clickloom.llm.jaccard import OP9_SQL, op9_jaccard_join
 from clickloom.llm.lines import OP3_SQL, op3_line_dedup
+from clickloom.llm.mixing import op4_mixing
 from clickloom.llm.substrings import OP5_SQL, op5_substring_dedup
 
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_mixing": op4_mixing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_chat_format": op7_chat_format,
     "op9_jaccard_join": op9_jaccard_join,
 }
 
@@ -18,5 +22,6 @@ ORACLE_SQL = {
     "op3_line_dedup": OP3_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
+    "op7_chat_format": OP7_SQL,
     "op9_jaccard_join": OP9_SQL,
 }
