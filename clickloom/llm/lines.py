@@ -168,9 +168,10 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _identified(docs: DataFrame) -> DataFrame:
+def _identified(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(doc_id.alias("doc_id"), "text", F.xxhash64(doc_id, "text").alias("doc"))
+    more = [F.struct(*carry).alias("carried")] if carry else []
+    return docs.select(doc_id.alias("doc_id"), "text", F.xxhash64(doc_id, "text").alias("doc"), *more)
 
 
 def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -210,27 +211,32 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total.append(lines)
                 lost.append(n_lost)
                 kept.append(text)
+            carried = [c for c in piece.schema.names if c == "carried"]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), piece.column("doc"), pa.array(total, pa.int64()),
-                 pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                names=["doc_id", "doc", "n_lines", "n_dropped", "kept"],
+                 pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
+                 *(piece.column(c) for c in carried)],
+                names=["doc_id", "doc", "n_lines", "n_dropped", "kept", *carried],
             )
 
 
 def without_common_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Per row ``doc_id, doc, n_lines, n_dropped, kept``: the text without the lines whose key
-    stands in at least ``min_docs`` documents."""
+    stands in at least ``min_docs`` documents; and the columns in ``carry`` as they were."""
     keep = beside(keep_bitmaps(docs, min_docs, min_chars))
     keep = keep.select(F.col("doc_id").alias("_id"), F.col("doc").alias("_doc"), "keep")
-    rows = _identified(docs)
+    rows = _identified(docs, carry)
+    carried = [c for c in rows.columns if c == "carried"]
     joined = rows.join(
         keep, (rows.doc == F.col("_doc")) & rows.doc_id.eqNullSafe(F.col("_id")), "left"
-    ).select("doc_id", "doc", "text", "keep")
-    return joined.mapInArrow(
-        _apply, "doc_id bigint, doc bigint, n_lines bigint, n_dropped bigint, kept string"
-    )
+    ).select("doc_id", "doc", "text", "keep", *carried)
+    schema = "doc_id bigint, doc bigint, n_lines bigint, n_dropped bigint, kept string"
+    if carry:
+        schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
+    applied = joined.mapInArrow(_apply, schema)
+    return applied.select(*applied.columns[:5], "carried.*") if carry else applied
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
