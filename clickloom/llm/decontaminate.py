@@ -308,7 +308,7 @@ def _merged(found: list[DataFrame]) -> DataFrame:
                 F.array(F.struct(
                     F.element_at(acc, -1)["start"].alias("start"),
                     F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"),
-                )),
+                ).cast("struct<start:int,end:int>")),
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
@@ -339,11 +339,11 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     """
     bad = contaminated_spans(docs, benchmark, window).where("size(spans) > 0")
     bad = stage(bad.select("doc_id", F.xxhash64("text").alias("_text")).distinct())
-    right = beside(bad).select(F.col("doc_id").alias("_bad_id"), F.col("_text").alias("_bad_text"))
+    right = beside(bad).select(F.col("doc_id").alias("__bad_id"), F.col("_text").alias("__bad_text"))
     left = docs.join(
         right,
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_bad_id"))
-        & (F.xxhash64("text") == F.col("_bad_text")),
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col("__bad_id"))
+        & (F.xxhash64("text") == F.col("__bad_text")),
         "left_anti",
     )
     return left

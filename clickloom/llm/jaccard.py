@@ -405,9 +405,9 @@ def one_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Da
     """The documents that are the smallest of their component, all columns as they were; of rows
     that repeat a document whole, and of documents without words, all stay."""
     groups = similar_groups(docs, n, percent)
-    other = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
+    other = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__other")).distinct()
     other = beside(stage(other))
-    return docs.join(other, F.col("doc_id").cast("bigint") == F.col("_other"), "left_anti")
+    return docs.join(other, F.col("doc_id").cast("bigint") == F.col("__other"), "left_anti")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

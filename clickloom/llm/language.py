@@ -207,10 +207,10 @@ def in_known_language(docs: DataFrame, model: Model | None = None, least: float
     judged = identify(docs, model or train(docs))
     bad = judged.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") <= least))
     bad = beside(stage(bad.select("doc_id", "text_hash").distinct()))
-    bad = bad.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"))
+    bad = bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
     return docs.join(
         bad,
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_text")),
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text")),
         "left_anti",
     )
 

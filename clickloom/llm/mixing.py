@@ -189,13 +189,15 @@ def mixture(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST_COPIES, seed: int = SEED
 ) -> DataFrame:
     """The mix itself: every document as often as it is taken, all columns as they were, with
-    the number of the copy in ``copy``."""
-    plan = stage(mixed(docs, weights, most, seed).select("_h", "copies").distinct())
-    named = docs.withColumn(
-        "_h", F.xxhash64(F.col("doc_id").cast("bigint"), "source", size_in_words(F.col("text")))
+    the number of the copy in ``copy`` (which replaces a column of that name)."""
+    plan = mixed(docs, weights, most, seed).select(
+        F.col("_h").alias("__unit"), F.col("copies").alias("__copies")
     )
-    taken = named.join(beside(plan), "_h").where("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_h", "copies")
+    plan = stage(plan.distinct())
+    unit = F.xxhash64(F.col("doc_id").cast("bigint"), "source", size_in_words(F.col("text")))
+    taken = docs.withColumn("__unit", unit).join(beside(plan), "__unit").where("__copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("__copies")))
+    return taken.withColumn("copy", copies).drop("__unit", "__copies")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
