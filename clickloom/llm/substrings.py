@@ -6,14 +6,15 @@ string to the bucket of that minimiser, where sorting brings equal windows of al
 together and finds the smallest document of each.
 
 * A first pass sends only (minimiser, document) with map-side combine: buckets that hold one
-  document can't hold a repeat, so only strings of shared minimisers are packed at all. The list
-  of shared minimisers goes to the tasks if it is within ``SHARED_ROWS``; beyond that the strings
-  are kept or dropped by a join.
+  document can't hold a repeat, so strings of other minimisers need not be packed. The tasks
+  know the shared minimisers by a bit set of ``2 ** filter_bits`` bits, whatever the size of the
+  corpus: a bit that two minimisers have in common costs a string that is sent in vain, and none
+  is ever left out.
 * A minimiser with more than ``hot_rows`` strings would be one task's work. Its windows travel
   one by one instead and are reduced by a group-by with map-side combine; there are at most
   rows / ``hot_rows`` such minimisers.
-* Removal spans are per document. Texts meet them in a broadcast join if the spans are small,
-  in a shuffle join otherwise.
+* Removal spans are per document. A second bit set tells which documents have some; only their
+  texts are shuffled to meet the spans, all others are answered where they are read.
 
 Defined results: null and empty texts have no words; a document with fewer words than a window
 loses none; rows with a null id neither lose words nor make others lose some; rows that share an
@@ -39,7 +40,7 @@ MINIMISER = 3
 # Windows in one packed string at most; a document that repeats one word has no end otherwise.
 LONGEST = 64
 HOT_ROWS = 200_000
-SHARED_ROWS = 4_000_000
+FILTER_BITS = 26
 
 PAIRS = "minimiser bigint, doc_id bigint"
 STRINGS = "minimiser bigint, doc_id bigint, start int, packed binary"
@@ -94,15 +95,13 @@ def _pairs(window: int, m: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 def _strings(
     window: int, m: int, wanted, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
-    """Packed strings; with ``wanted``, a broadcast sorted array, only those minimisers."""
-    only = wanted.value if wanted is not None else None
+    """Packed strings; with ``wanted``, a broadcast bit set, only of minimisers in it."""
+    only = np.frombuffer(wanted.value, np.uint8) if wanted is not None else None
     for batch in batches:
         for piece in pieces(batch, "text"):
             words, row, at, counts, least = _super_kmers(piece, window, m)
             if only is not None and len(least):
-                signed = least.view(np.int64)
-                place = np.minimum(np.searchsorted(only, signed), max(len(only) - 1, 0))
-                use = np.flatnonzero(only[place] == signed) if len(only) else np.zeros(0, np.int64)
+                use = np.flatnonzero(_in_set(only, least))
                 row, at, counts, least = row[use], at[use], counts[use], least[use]
             if not len(least):
                 continue
@@ -119,6 +118,42 @@ def _strings(
             )
 
 
+def _in_set(flags: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set."""
+    bit = hashes >> np.uint64(64 - (8 * len(flags)).bit_length() + 1)
+    return ((flags[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1) > 0
+
+
+def _bit_parts(bits: int, parts_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One slice of the bit set for every part of the hashes that comes by."""
+    sets: dict[int, np.ndarray] = {}
+    for batch in batches:
+        bit = batch.column("hash").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+        part = (bit >> np.uint64(bits - parts_bits)).astype(np.int64)
+        place = (bit & np.uint64((1 << (bits - parts_bits)) - 1)).astype(np.int64)
+        for p in np.unique(part).tolist():
+            flags = sets.setdefault(p, np.zeros(1 << (bits - parts_bits), bool))
+            flags[place[part == p]] = True
+    for p, flags in sets.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()])],
+            names=["part", "flags"],
+        )
+
+
+def bit_set(hashes: DataFrame, bits: int, parts_bits: int = 6) -> bytes:
+    """The top ``bits`` bits of every value in ``hash`` as a set of bits; built by part in the
+    tasks."""
+    part = F.shiftrightunsigned("hash", 64 - parts_bits)
+    dealt = hashes.select("hash").repartition(1 << parts_bits, part)
+    built = dealt.mapInArrow(lambda b: _bit_parts(bits, parts_bits, b), "part int, flags binary")
+    out = bytearray(1 << (bits - 3))
+    step = len(out) >> parts_bits
+    for p, flags in built.toLocalIterator():
+        out[p * step : (p + 1) * step] = flags
+    return bytes(out)
+
+
 def _windows_of(rows: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
     """Per window of packed strings: the string, its place in it, its hash; and the words."""
     words = split_words(rows.column("packed").cast(pa.string()), NOT_SPACE, lower=False)
@@ -221,7 +256,7 @@ def _hot_runs(strings: DataFrame, window: int) -> DataFrame:
 
 def repeated_runs(
     docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, hot_rows: int = HOT_ROWS,
-    shared_rows: int = SHARED_ROWS,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``(doc_id, start, windows, check)``: from word ``start``, that many consecutive windows
     also start in a smaller document; ``check`` is the hash of the first. Written to the
@@ -233,16 +268,11 @@ def repeated_runs(
         .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
         .where("least < most").select("minimiser", (F.col("n") > hot_rows).alias("hot"))
     )
-    cold = shared.where("not hot").select("minimiser")
     hot = beside(stage(shared.where("hot").select("minimiser")))
-    if cold.count() <= shared_rows:
-        # Sorted 64-bit values, at most 8 bytes * shared_rows.
-        known = np.sort(cold.toPandas()["minimiser"].to_numpy(np.int64))
-        wanted = docs.sparkSession.sparkContext.broadcast(known)
-        strings = texts.mapInArrow(lambda b: _strings(window, m, wanted, b), STRINGS)
-    else:
-        strings = texts.mapInArrow(lambda b: _strings(window, m, None, b), STRINGS)
-        strings = strings.join(cold, "minimiser", "left_semi")
+    known = bit_set(shared.where("not hot").select(F.col("minimiser").alias("hash")), filter_bits)
+    wanted = docs.sparkSession.sparkContext.broadcast(known)
+    strings = texts.mapInArrow(lambda b: _strings(window, m, wanted, b), STRINGS)
+    strings = strings.join(hot, "minimiser", "left_anti")
     dealt = strings.repartition("minimiser").sortWithinPartitions("minimiser")
     runs = dealt.mapInArrow(lambda b: _buckets(window, b), RUNS)
     if not hot.isEmpty():
@@ -251,13 +281,21 @@ def repeated_runs(
     return stage(runs)
 
 
+def _marked(flags, wanted: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose document is in the bit set, or those whose is not."""
+    bits = np.frombuffer(flags.value, np.uint8)
+    for batch in batches:
+        use = _in_set(bits, batch.column("hash").to_numpy().view(np.uint64)) == wanted
+        yield batch.select(["doc_id", "text"]).filter(pa.array(use))
+
+
 def _apply(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, "text"):
             words = split_words(piece.column("text"), NOT_SPACE, lower=False)
             counts = words.counts()
             drop = np.zeros(len(words.at) + 1, np.int32)
-            runs = piece.column("runs").to_pylist()
+            runs = piece.column("runs").to_pylist() if "runs" in piece.schema.names else []
             if any(runs):
                 hashes = combine(words.hashes(), window).view(np.int64)
                 for row, own in enumerate(runs):
@@ -293,19 +331,22 @@ def _apply(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 def without_repeats(
     docs: DataFrame, window: int = WINDOW, m: int = MINIMISER, hot_rows: int = HOT_ROWS,
-    shared_rows: int = SHARED_ROWS,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Per row ``doc_id, n_words, n_removed, kept``: the words that are left, joined by spaces."""
-    runs = repeated_runs(docs, window, m, hot_rows, shared_rows)
-    per_doc = stage(
-        runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows", "check")).alias("runs"))
-    )
-    spans = beside(per_doc).withColumnRenamed("doc_id", "_id")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    joined = texts.join(spans, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(
-        lambda b: _apply(window, b), "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    runs = repeated_runs(docs, window, m, hot_rows, filter_bits)
+    spans = runs.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.collect_list(F.struct("start", "windows", "check")).alias("runs")
     )
+    named = runs.select(F.xxhash64("doc_id").alias("hash")).distinct()
+    marked = docs.sparkSession.sparkContext.broadcast(bit_set(named, filter_bits))
+    doc_id = F.col("doc_id").cast("bigint")
+    texts = docs.select(doc_id.alias("doc_id"), "text", F.xxhash64(doc_id).alias("hash"))
+    result = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+    clean = texts.mapInArrow(lambda b: _apply(window, _marked(marked, False, b)), result)
+    rest = texts.mapInArrow(lambda b: _marked(marked, True, b), "doc_id bigint, text string")
+    joined = rest.join(spans, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "runs")
+    return clean.unionAll(joined.mapInArrow(lambda b: _apply(window, b), result))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
