@@ -229,7 +229,8 @@ def _compared(cosine: float, model: Quantiser, batches: Iterator[pa.RecordBatch]
         names = table.column("class").to_numpy()
         weight = table.column("n").to_numpy()
         block = table.column("block").to_numpy()
-        crossing = block.min() != block.max()
+        _, first, second = table.column("cell")[0].as_py().split("/")
+        crossing = first != second
         (_, vectors), = _doubles(table.column("vector").to_pylist())
         codes = model.codes(vectors)
         units = unit(vectors)

@@ -57,7 +57,10 @@ NOISE = frozenset(
 )
 
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(>|\Z)",
+    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)"
+    # Quotes only count after an equals sign; one that is not closed goes on to the end.
+    r"|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?:[^>=]++|=\s*+\"[^\"]*+(?:\"|\Z)|=\s*+'[^']*+(?:'|\Z)|=)*+)(>|\Z)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")

@@ -72,10 +72,10 @@ def url_key(url: str | None) -> str:
     if not url:
         return "-"
     found = re.match(r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::\d*)?([^#]*)", url)
-    if not found:
-        return url.replace("\n", "%0A")
-    labels = ",".join(reversed(found.group(1).lower().split(".")))
-    return f"{labels}){found.group(2) or '/'}".replace("\n", "%0A").replace("\t", "%09")
+    key = url
+    if found:
+        key = ",".join(reversed(found.group(1).lower().split("."))) + f"){found.group(2) or '/'}"
+    return key.replace("\n", "%0A").replace("\t", "%09")
 
 
 def sha1_base32(payload: bytes) -> str:
@@ -253,14 +253,17 @@ def _write_shard(folder: str, block_lines: int, batches: Iterator[pa.RecordBatch
     }])
 
 
-def write_index(records: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> list[tuple]:
+def write_index(
+    records: DataFrame, folder: str, block_lines: int = BLOCK_LINES, shards: int | None = None
+) -> list[tuple]:
     """The two-level index of a table of records; one row per shard, in order of keys."""
+    number = [shards] if shards else []
     dealt = records.select("key", "page_id", "file", "offset", "length")
-    dealt = dealt.repartitionByRange("key", "page_id", "file", "offset")
+    dealt = dealt.repartitionByRange(*number, "key", "page_id", "file", "offset")
     ordered = dealt.sortWithinPartitions("key", "page_id", "file", "offset")
-    shards = stage(ordered.mapInArrow(lambda b: _write_shard(folder, block_lines, b), SHARDS))
-    rows = [(s.first, s.last, s.shard, s.directory) for s in shards.select("first", "last", "shard", "directory").collect()]
-    return sorted(rows, key=lambda s: (s[0].encode("utf-8", "surrogatepass"), s[1].encode("utf-8", "surrogatepass")))
+    written = stage(ordered.mapInArrow(lambda b: _write_shard(folder, block_lines, b), SHARDS))
+    rows = written.select("first", "last", "shard", "directory").collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: (_order(r[0]), _order(r[1])))
 
 
 def _order(key: str) -> bytes:

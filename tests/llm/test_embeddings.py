@@ -1,0 +1,91 @@
+import numpy as np
+import pytest
+
+from clickloom.llm.embeddings import Quantiser, near_duplicates
+
+SCHEMA = "vec_id long, embedding array<double>, class string, vector string"
+
+
+def brute(rows, cosine=0.9):
+    ok = {}
+    for k, (_, v) in enumerate(rows):
+        if v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            a = np.array(v) / max(map(abs, v))
+            ok[k] = a / np.linalg.norm(a)
+    near = {k: set() for k in range(len(rows))}
+    for i in ok:
+        for j in ok:
+            if i != j and len(ok[i]) == len(ok[j]) and (ok[i] @ ok[j] >= cosine or rows[i][1] == rows[j][1]):
+                near[i].add(j)
+    out = []
+    for k, (vec, _) in enumerate(rows):
+        seen, queue = {k}, [k]
+        while queue:
+            for j in near[queue.pop()] - seen:
+                seen.add(j)
+                queue.append(j)
+        least = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+        out.append((vec, len(near[k]), least, vec is not None and vec == least))
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, **options):
+    frame = spark.createDataFrame([(i, v, "c", "v") for i, v in rows], SCHEMA).repartition(3)
+    got = near_duplicates(frame, **options).select("vec_id", "n_links", "component_id", "kept")
+    return sorted((tuple(r) for r in got.collect()), key=repr)
+
+
+def vectors(n=260, size=64, seed=4):
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((n, size))
+    near = base[:40].repeat(3, axis=0)
+    near = near + 0.08 * rng.standard_normal(near.shape)
+    chain = [base[0]]
+    for _ in range(12):
+        chain.append(chain[-1] + 0.3 * rng.standard_normal(size))
+    every = np.concatenate([base, near, chain])
+    return [(int(k), v.tolist()) for k, v in enumerate(every)]
+
+
+@pytest.mark.parametrize("cell_rows", [2048, 4])
+def test_against_brute_force(spark, cell_rows):
+    rows = vectors()
+    rows += [(1000 + k, rows[3][1]) for k in range(30)]
+    want, got = brute(rows), run(spark, rows, cell_rows=cell_rows)
+    assert sum(w[1] for w in want) * 0.95 <= sum(g[1] for g in got) <= sum(w[1] for w in want)
+    assert sum(w == g for w, g in zip(want, got, strict=True)) >= 0.95 * len(rows)
+
+
+def test_edges(spark):
+    v = vectors(20)
+    rows = [(1, None), (2, []), (3, [0.0] * 64), (4, [None] + [1.0] * 63), (5, [float("nan")] * 64), (6, [float("inf")] * 64),
+            (7, v[0][1]), (7, v[0][1]), (None, v[0][1]), (8, [1e300 * x for x in v[1][1]]), (9, [1e-300 * x for x in v[1][1]]),
+            (10, [1.0, 2.0]), (11, [1.0, 2.0]), (12, [1.0, 2.1]), (13, [5.0])]
+    rows += [(100 + k, x) for k, x in v[2:20]]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, []) == []
+    assert run(spark, rows[:3]) == brute(rows[:3])
+
+
+def test_recall_by_cosine():
+    """Shares of pairs at a given cosine that a table brings together, by the codes alone."""
+    rng = np.random.default_rng(8)
+    sample = rng.standard_normal((4000, 64))
+    model = Quantiser(sample)
+    a = rng.standard_normal((3000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.standard_normal((3000, 64))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    for cosine, least in ((0.9, 0.9), (0.95, 0.98), (0.99, 0.999)):
+        b = cosine * a + np.sqrt(1 - cosine**2) * side
+        x, y = model.codes(a), model.codes(b)
+        met = (np.bitwise_count(x ^ y) <= 1).any(axis=1)
+        apart = np.bitwise_count(x ^ y).sum(axis=1)
+        assert (met & (apart <= 32)).mean() >= least
+
+
+def test_codes_are_balanced():
+    sample = np.random.default_rng(3).standard_normal((2000, 64)) + 0.5
+    bits = np.unpackbits(Quantiser(sample).codes(sample).view(np.uint8), axis=1)
+    assert np.abs(bits.mean(axis=0) - 0.5).max() < 0.01
