@@ -1,30 +1,30 @@
 """The registered queries as plain SQL over the same tables, for cross-checking results."""
 
 from clickloom.schema import alert_columns
+from clickloom.sources.tables import ARRIVAL_FACTOR, ARRIVAL_PRIME, DEVICE_ORDER, TYPE_ORDER
 
-_TYPES = (
-    "['VIEW','ADD_TO_CART','SEARCH','WISHLIST','CLICK','CHECKOUT','REMOVE_FROM_CART','PURCHASE']"
-)
+_TYPES = str(list(TYPE_ORDER))
+_DEVICES = str(list(DEVICE_ORDER))
 
 _BASE = f"""
 raw AS (
   SELECT event_id, ts, user_id, CAST(props::json->>'k' AS INTEGER) AS k FROM events
 ), base AS (
   SELECT
-    CASE WHEN event_id % 101 = 0 THEN '' ELSE 'ACC' || lpad((user_id + 1)::varchar, 8, '0') END
+    CASE WHEN event_id % 101 = 0 THEN '' ELSE printf('ACC%08d', user_id + 1) END
       AS acc_id,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS event_time,
     {_TYPES}[(event_id * 31 + user_id * 17 + k * 7) % 8 + 1] AS event_type,
-    CASE WHEN event_id % 97 = 0 THEN NULL ELSE 'PR' || lpad((k % 20)::varchar, 8, '0') END
+    CASE WHEN event_id % 97 = 0 THEN NULL ELSE printf('PR%03d', k) END
       AS product_id,
-    ['Mobile','Desktop','Tablet'][event_id % 3 + 1] AS device_type,
+    {_DEVICES}[event_id % 3 + 1] AS device_type,
     (1 + event_id % 60)::integer AS time_on_page_minutes,
     ts AS event_ts,
     event_id AS seq
   FROM raw
 )"""
 
-_EV = f"""{_BASE}, gaps AS (
+_SESSIONS = """gaps AS (
   SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY acc_id ORDER BY event_ts, seq)
                       > INTERVAL 15 MINUTE THEN 1 ELSE 0 END AS gap
   FROM base
@@ -32,14 +32,22 @@ _EV = f"""{_BASE}, gaps AS (
   SELECT *, 1 + sum(gap) OVER (PARTITION BY acc_id ORDER BY event_ts, seq) AS n FROM gaps
 ), ev AS (
   SELECT acc_id,
-    CASE WHEN acc_id <> '' THEN 'SS' || lpad(n::varchar, 8, '0') END AS session_id,
+    CASE WHEN acc_id <> '' THEN printf('SS%08d', n::bigint) END AS session_id,
     event_time, event_type, product_id, device_type, time_on_page_minutes,
     event_time AS created_at, event_time AS updated_at, event_ts, seq,
     CASE WHEN acc_id <> '' THEN n ELSE 0 END AS n
   FROM numbered
 )"""
 
-_INTENTS = f"""{_EV}, acting AS (
+_EV = f"{_BASE}, {_SESSIONS}"
+
+# The same events arriving in another order, with the sessions they have by time.
+_SWAPPED = f"seq * {ARRIVAL_FACTOR} % {ARRIVAL_PRIME}"
+_EV_SWAPPED = f"{_EV}".replace("), ev AS (", "), timed AS (") + f""", ev AS (
+  SELECT * REPLACE ({_SWAPPED} AS seq) FROM timed
+)"""
+
+_LIFE = """acting AS (
   SELECT * FROM ev
   WHERE acc_id <> '' AND product_id IS NOT NULL
     AND event_type IN ('ADD_TO_CART','WISHLIST','CHECKOUT','PURCHASE','REMOVE_FROM_CART')
@@ -57,7 +65,7 @@ _INTENTS = f"""{_EV}, acting AS (
     OVER (PARTITION BY acc_id, product_id, episode ORDER BY seq) AS attempts
   FROM grouped
 ), closed AS (
-  SELECT acc_id, product_id, episode, min(seq) AS start_seq, min(n) AS start_n,
+  SELECT acc_id, product_id, episode, min(seq) AS start_seq, arg_min(n, seq) AS start_n,
     arg_min(session_id, seq) AS start_session_id, arg_min(event_time, seq) AS start_time,
     arg_min(event_type, seq) AS origin_action, max(attempts) AS attempts,
     min(seq) FILTER (WHERE event_type IN ('PURCHASE','REMOVE_FROM_CART')) AS closed_seq
@@ -93,6 +101,9 @@ _INTENTS = f"""{_EV}, acting AS (
   FROM fired
 )"""
 
+_INTENTS = f"{_EV}, {_LIFE}"
+_INTENTS_SWAPPED = f"{_EV_SWAPPED}, {_LIFE}"
+
 _DOCS = f"""{_EV}, delivered AS (
   SELECT * FROM ev
   UNION ALL
@@ -111,7 +122,7 @@ _DOCS = f"""{_EV}, delivered AS (
 def _catalog(fine: bool) -> str:
     suffix = " || '-' || (p_partkey % 10)::varchar" if fine else ""
     return f"""catalog AS (
-  SELECT 'PR' || lpad(p_partkey::varchar, 8, '0') AS product_id,
+  SELECT printf('PR%03d', p_partkey) AS product_id,
     'CG-' || p_type || '-' || p_size::varchar{suffix} AS category_id,
     p_brand AS brand_id, p_partkey AS catalog_ord
   FROM part
@@ -152,6 +163,16 @@ def _alerts_of(kind: str) -> str:
     return f"WITH {_INTENTS} SELECT {columns} FROM alerts WHERE alert_type = '{kind}'"
 
 
+def _open_intents(intents: str) -> str:
+    return f"""WITH {intents}
+        SELECT acc_id, product_id, origin_action, start_session_id,
+          start_n::integer AS start_session_number, start_time,
+          attempts AS checkout_attempts, fired.seq IS NOT NULL AS discount_applied
+        FROM episodes LEFT JOIN (SELECT acc_id, product_id, episode, seq FROM fired) fired
+          USING (acc_id, product_id, episode)
+        WHERE end_seq IS NULL"""
+
+
 ORACLE_SQL = {
     "decode_events": f"WITH {_EV} SELECT seq, {_EVENT_LIST} FROM ev WHERE seq % 53 <> 0",
     "quarantine_events": f"""WITH {_BASE} SELECT seq, acc_id AS key, 'bad{{' || seq AS value,
@@ -165,10 +186,10 @@ ORACLE_SQL = {
         seq FROM ev""",
     "sessionize": f"WITH {_EV} SELECT acc_id, seq, session_id FROM ev",
     "session_number": """SELECT event_id AS seq,
-        CASE event_id % 6 WHEN 0 THEN 'SS' || lpad((event_id % 1000)::varchar, 8, '0')
+        CASE event_id % 6 WHEN 0 THEN printf('SS%08d', event_id)
           WHEN 2 THEN '' WHEN 3 THEN 'abc' WHEN 4 THEN 'SS99999999999' WHEN 5 THEN 'S1S2' END
           AS session_id,
-        CASE event_id % 6 WHEN 0 THEN (event_id % 1000)::integer WHEN 5 THEN 12 ELSE 0 END
+        CASE event_id % 6 WHEN 0 THEN event_id::integer WHEN 5 THEN 12 ELSE 0 END
           AS session_number FROM events""",
     "catalog_load": f"WITH {_catalog(False)} SELECT * FROM catalog WHERE catalog_ord % 11 <> 4",
     "catalog_enrich": f"""WITH {_BASE}, {_catalog(False)}
@@ -192,13 +213,28 @@ ORACLE_SQL = {
     "cart_removals": _alerts_of("CART_REMOVED"),
     "dynamic_pricing": _alerts_of("DYNAMIC_PRICING"),
     "pricing_alerts": f"WITH {_INTENTS} SELECT {_ALERT_LIST} FROM alerts",
-    "open_intents": f"""WITH {_INTENTS}
-        SELECT acc_id, product_id, origin_action, start_session_id,
-          start_n::integer AS start_session_number, start_time,
-          attempts AS checkout_attempts, fired.seq IS NOT NULL AS discount_applied
-        FROM episodes LEFT JOIN (SELECT acc_id, product_id, episode, seq FROM fired) fired
-          USING (acc_id, product_id, episode)
-        WHERE end_seq IS NULL""",
+    "open_intents": _open_intents(_INTENTS),
+    "pricing_alerts_unordered": f"WITH {_INTENTS_SWAPPED} SELECT {_ALERT_LIST} FROM alerts",
+    "open_intents_unordered": _open_intents(_INTENTS_SWAPPED),
+    "sessionize_arrival": f"""WITH {_BASE}, swapped AS (
+          SELECT * REPLACE ({_SWAPPED} AS seq, CASE WHEN event_id_ % 89 <> 0 THEN event_ts END AS event_ts)
+          FROM (SELECT *, seq AS event_id_ FROM base)
+        ), reached AS (
+          SELECT *, last_value(event_ts IGNORE NULLS) OVER (PARTITION BY acc_id ORDER BY seq
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+          FROM swapped
+        ), counted AS (
+          SELECT *, 1 + sum(CASE WHEN event_ts - before > INTERVAL 15 MINUTE THEN 1 ELSE 0 END)
+            OVER (PARTITION BY acc_id ORDER BY seq) AS n FROM reached
+        ) SELECT acc_id, seq, CASE WHEN acc_id <> '' THEN printf('SS%08d', n::bigint) END AS session_id
+        FROM counted""",
+    "time_parse": """SELECT event_id AS seq, CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN ts
+          WHEN 2 THEN ts - INTERVAL 7 HOUR WHEN 4 THEN date_trunc('day', ts) END AS event_ts,
+        strftime(CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN ts
+          WHEN 2 THEN ts - INTERVAL 7 HOUR WHEN 4 THEN date_trunc('day', ts) END, '%Y.%m.%d') AS index_date
+        FROM events""",
+    "doc_store": f"""WITH {_DOCS}
+        SELECT index_date, doc_id, time_on_page_minutes::float AS time_on_page_minutes, seq FROM latest""",
     "doc_upsert": f"""WITH {_DOCS}
         SELECT index_date, doc_id, acc_id, event_type,
           time_on_page_minutes::float AS time_on_page_minutes, seq FROM latest""",

@@ -10,8 +10,17 @@ ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def iso_parse(text: Column | str) -> Column:
-    """Instant of an ISO-8601 text, honouring its offset; null when it does not parse."""
-    return F.try_to_timestamp(_col(text))
+    """Instant of an ISO-8601 text, honouring its offset; null when it does not parse.
+
+    A date is required, and a text without an offset is UTC, whatever the session's zone.
+    """
+    text = F.trim(_col(text))
+    zoned = text.rlike(r"(?i)[T ].*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?(:?\d{2})?)$")
+    timed = text.rlike(r"(?i)\d[T ]\d")
+    whole = F.when(zoned, text).when(timed, F.concat(text, F.lit("Z"))).otherwise(
+        F.concat(text, F.lit("T00:00:00Z"))
+    )
+    return F.when(text.rlike(r"^[+-]?\d{4,}-\d{1,2}-\d{1,2}([T ]|$)"), F.try_to_timestamp(whole))
 
 
 def iso_format(ts: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom.schema import FUNNEL_STAGES
@@ -26,22 +28,35 @@ def ingestion_velocity(events: DataFrame) -> DataFrame:
     )
 
 
-def ingestion_velocity_filled(events: DataFrame) -> DataFrame:
-    """The same with empty minutes between the first and the last bucket.
+def ingestion_velocity_filled(
+    events: DataFrame, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """The same with empty minutes, from the first to the last bucket or from ``start`` to
+    ``end`` (both included).
 
-    The single-partition window runs over the aggregated minutes, not over events.
+    The range is cut into days, every day unfolds into its minutes in its own task, and the
+    counts meet them in an equi-join; no task holds more than a day at a time.
     """
     minute = F.make_dt_interval(mins=F.lit(1))
     counts = ingestion_velocity(events)
-    until = F.lead("minute").over(Window.orderBy("minute"))
-    spans = counts.select(
-        "minute",
-        "events",
-        F.sequence("minute", F.coalesce(until - minute, F.col("minute")), minute).alias("span"),
+
+    def bound(given: datetime | None, found: Column) -> Column:
+        return found if given is None else F.date_trunc("minute", F.lit(given))
+
+    ends = counts.agg(F.min("minute").alias("_low"), F.max("minute").alias("_high")).select(
+        bound(start, F.col("_low")).alias("low"), bound(end, F.col("_high")).alias("high")
+    )
+    first, last = F.unix_date(F.to_date("low")), F.unix_date(F.to_date("high"))
+    days = ends.where("low <= high").select(
+        "low", "high", F.explode(F.sequence(first, last)).alias("day")
+    )
+    day = F.date_from_unix_date("day").cast("timestamp")
+    until = F.least("high", day + F.make_dt_interval(mins=F.lit(24 * 60 - 1)))
+    spine = days.repartition("day").select(
+        F.explode(F.sequence(F.greatest("low", day), until, minute)).alias("minute")
     )
-    filled = spans.select("events", F.posexplode("span").alias("step", "minute"))
-    return filled.select(
-        "minute", F.when(F.col("step") == 0, F.col("events")).otherwise(0).alias("events")
+    return spine.join(counts, "minute", "left").select(
+        "minute", F.coalesce("events", F.lit(0)).alias("events")
     )
 
 

@@ -6,7 +6,7 @@ the timeout. A step back in time is no gap.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from clickloom.functions import epoch_cell, floor_div, is_blank, session_id
 from clickloom.plans import HOT_ROWS, SPAN, hot_keys
@@ -18,6 +18,9 @@ CELL_SECONDS = 60
 
 _NO_TIME = -(1 << 60)
 
+# Helper columns, under names that input columns do not have.
+_CELL, _RANGE, _BASE, _FLAG = "__cell", "__range", "__base", "__flag"
+
 
 def _gap_flag(ts, previous, gap_minutes: int):
     longer = F.unix_micros(ts) - F.unix_micros(previous) > gap_minutes * 60 * 1_000_000
@@ -62,7 +65,8 @@ def sessionize(
 ) -> DataFrame:
     """Add ``session_no`` and ``session_id`` in event-time order (null for blank accounts).
 
-    Needs ``acc_id, event_ts, seq``. Rows meet their cell's session in an equi-join, whose
+    Needs ``acc_id, event_ts, seq``. A row without a time has no place in this order and belongs
+    to the account's first session. Rows meet their cell's session in an equi-join, whose
     large partitions AQE can split; no task orders the events of an account.
     """
     cells = session_cells(events, gap_minutes, cell_seconds)
@@ -70,8 +74,9 @@ def sessionize(
     cell = F.when(is_blank("acc_id"), F.lit(_NO_TIME) - F.col("seq") - 1).otherwise(
         _cell(cell_seconds)
     )
-    keyed = events.drop("session_no").withColumn("cell", cell)
-    return _named(keyed.join(cells, ["acc_id", "cell"], "left")).drop("cell")
+    keyed = events.drop("session_no").withColumn(_CELL, cell)
+    cells = cells.withColumnRenamed("cell", _CELL)
+    return _named(keyed.join(cells, ["acc_id", _CELL], "left")).drop(_CELL)
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -87,7 +92,8 @@ def sessionize_arrival(
 ) -> DataFrame:
     """Sessions in arrival order (``seq``), as a stream sees the events.
 
-    A hot account is cut into ranges of ``span`` sequence numbers. Each range is summarised
+    A row without a time belongs to the session of the row before it; the next gap is measured
+    from the last time there was. A hot account is cut into ranges of ``span`` sequence numbers. Each range is summarised
     by its first and last time and its inner gaps, and a marker row that opens the range
     carries the session number and the last time reached before it.
     """
@@ -96,61 +102,61 @@ def sessionize_arrival(
     known = events.where(~is_blank("acc_id"))
     hot = hot_keys(known, ["acc_id"], hot_rows)
     if hot.isEmpty():
-        ranged = known.withColumn("range", F.lit(0).cast("long"))
-        rows = ranged.withColumn("base", F.lit(None).cast("long"))
+        ranged = known.withColumn(_RANGE, F.lit(0).cast("long"))
+        rows = ranged.withColumn(_BASE, F.lit(None).cast("long"))
     else:
-        flagged = known.join(
-            F.broadcast(hot.withColumn("is_hot", F.lit(True))), "acc_id", "left"
-        )
+        # At most rows / hot_rows keys; the plan decides by their size whether to broadcast.
+        flagged = known.join(hot.withColumn(_FLAG, F.lit(True)), "acc_id", "left")
         ranged = flagged.withColumn(
-            "range", F.when(F.col("is_hot"), floor_div("seq", span)).otherwise(F.lit(-1))
-        ).drop("is_hot")
-        rows = ranged.withColumn("base", F.lit(None).cast("long")).unionByName(
-            _range_openers(ranged.where(F.col("range") >= 0), gap_minutes, span),
+            _RANGE, F.when(F.col(_FLAG), floor_div("seq", span)).otherwise(F.lit(-1))
+        ).drop(_FLAG)
+        rows = ranged.withColumn(_BASE, F.lit(None).cast("long")).unionByName(
+            _range_openers(ranged.where(F.col(_RANGE) >= 0), gap_minutes, span),
             allowMissingColumns=True,
         )
-    in_range = Window.partitionBy("acc_id", "range").orderBy("seq")
+    in_range = Window.partitionBy("acc_id", _RANGE).orderBy("seq")
+    flagged = rows.withColumn(_FLAG, _gap_flag(F.col("event_ts"), _time_before(in_range), gap_minutes))
+    reached = F.coalesce(F.first(_BASE).over(in_range), F.lit(1)) + F.sum(_FLAG).over(in_range)
     numbered = (
-        rows.withColumn("previous", F.lag("event_ts").over(in_range))
-        .withColumn("flag", _gap_flag(F.col("event_ts"), F.col("previous"), gap_minutes))
-        .withColumn("local", F.sum("flag").over(in_range))
-        .withColumn("start", F.coalesce(F.first("base").over(in_range), F.lit(1)))
-        .where(F.col("base").isNull())
-        .withColumn("session_no", (F.col("start") + F.col("local")).cast("int"))
-        .drop("previous", "flag", "local", "start", "base", "range")
+        flagged.withColumn("session_no", reached.cast("int"))
+        .where(F.col(_BASE).isNull())
+        .drop(_FLAG, _BASE, _RANGE)
     )
     nameless = blank.withColumn("session_no", F.lit(None).cast("int"))
     return _named(numbered.unionByName(nameless))
 
 
+def _time_before(window: WindowSpec) -> Column:
+    """The last time that any earlier row of the window has."""
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.last("event_ts", ignorenulls=True).over(earlier)
+
+
 def _range_openers(rows: DataFrame, gap_minutes: int, span: int) -> DataFrame:
-    in_range = Window.partitionBy("acc_id", "range").orderBy("seq")
-    inner = _gap_flag(
-        F.col("event_ts"), F.lag("event_ts").over(in_range), gap_minutes
-    )
-    timed = F.struct("seq", "event_ts")
+    in_range = Window.partitionBy("acc_id", _RANGE).orderBy("seq")
+    inner = _gap_flag(F.col("event_ts"), _time_before(in_range), gap_minutes)
+    timed = F.when(F.col("event_ts").isNotNull(), F.struct("seq", "event_ts"))
     summary = (
-        rows.select("acc_id", "range", "seq", "event_ts", inner.alias("flag"))
-        .groupBy("acc_id", "range")
+        rows.select("acc_id", _RANGE, "seq", "event_ts", inner.alias(_FLAG))
+        .groupBy("acc_id", _RANGE)
         .agg(
-            F.min(timed).alias("head"),
-            F.max(timed).alias("tail"),
-            F.sum("flag").alias("gaps"),
+            F.min(timed)["event_ts"].alias("head"),
+            F.max(timed)["event_ts"].alias("tail"),
+            F.sum(_FLAG).alias("gaps"),
         )
     )
-    across = Window.partitionBy("acc_id").orderBy("range")
-    edge = _gap_flag(
-        F.col("head.event_ts"), F.lag("tail.event_ts").over(across), gap_minutes
-    )
-    reached = F.sum(F.col("gaps") + F.col("edge")).over(across) + 1
+    across = Window.partitionBy("acc_id").orderBy(_RANGE)
+    so_far = across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    edge = _gap_flag(F.col("head"), F.last("tail", ignorenulls=True).over(before), gap_minutes)
     return (
         summary.withColumn("edge", edge)
         .select(
             "acc_id",
-            F.lead("range").over(across).alias("range"),
-            F.col("tail.event_ts").alias("event_ts"),
-            reached.alias("base"),
+            F.lead(_RANGE).over(across).alias(_RANGE),
+            F.last("tail", ignorenulls=True).over(so_far).alias("event_ts"),
+            (F.sum(F.col("gaps") + F.col("edge")).over(so_far) + 1).alias(_BASE),
         )
-        .where(F.col("range").isNotNull())
-        .withColumn("seq", F.col("range") * span - 1)
+        .where(F.col(_RANGE).isNotNull())
+        .withColumn("seq", F.col(_RANGE) * span - 1)
     )

@@ -5,13 +5,15 @@ from clickloom.plans.hotkeys import (
     payload_bytes,
     small_or_shuffled,
 )
-from clickloom.plans.staging import stage, staging_root
+from clickloom.plans.staging import delete_folder, release_staged, stage, staging_root
 
 __all__ = [
     "HOT_ROWS",
     "SPAN",
+    "delete_folder",
     "hot_keys",
     "payload_bytes",
+    "release_staged",
     "small_or_shuffled",
     "stage",
     "staging_root",

@@ -1,22 +1,36 @@
 """Typed documents in daily indices, upserted by a deterministic id.
 
-The document table is an append-only parquet table partitioned by day and batch. A batch
-that is delivered again replaces its own partitions; a document that is delivered again
-is resolved when the table is read, the highest ``seq`` winning. Nothing already written is
-rewritten, so late re-deliveries to old days cost only their own rows.
+The document table is an append-only parquet table partitioned by day and delivery. A delivery
+is named by its writer and its batch, so writers that count their batches alike do not meet; the
+same delivery again replaces its own partitions. A document that is delivered again is resolved
+when the table is read, the highest ``seq`` winning. ``compact_documents`` folds the deliveries
+of a table in place, while others may go on writing to it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.functions import document_id, iso_parse, utc_day
+from clickloom.plans import delete_folder
+
+# The envelope of a record, and its names in a document.
+ENVELOPE = {
+    "topic": "kafka_topic",
+    "partition": "kafka_partition",
+    "offset": "kafka_offset",
+    "timestamp": "kafka_timestamp",
+}
+COMPACTED = "compacted"
 
 
 def typed_documents(events: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
     """Cast events to the document schema and route them to a daily index.
 
-    ``ingest_ts`` stands in for an event time that does not parse.
+    ``ingest_ts`` stands in for an event time that does not parse. Envelope columns that the
+    events still have are kept under their document names.
     """
     fallback = F.lit(None).cast("timestamp") if ingest_ts is None else ingest_ts
     parsed = iso_parse("event_time")
@@ -36,6 +50,7 @@ def typed_documents(events: DataFrame, ingest_ts: Column | None = None) -> DataF
         utc_day(event_ts).alias("index_date"),
         document_id().alias("doc_id"),
         "seq",
+        *[F.col(c).alias(name) for c, name in ENVELOPE.items() if c in events.columns],
     )
 
 
@@ -53,18 +68,38 @@ def latest_by_id(documents: DataFrame) -> DataFrame:
     )
 
 
-def append_documents(documents: DataFrame, path: str, batch_id: int) -> None:
-    """Write one delivery; the same ``batch_id`` again replaces what it wrote before."""
+def append_documents(
+    documents: DataFrame, path: str, batch_id: int = 0, writer: str | None = None
+) -> str:
+    """Write one delivery and return its name.
+
+    The same ``writer`` and ``batch_id`` again replace what they wrote before. Without a writer
+    the delivery gets a name of its own and never replaces anything.
+    """
+    if writer is not None and writer.startswith(COMPACTED):
+        raise ValueError(f"{COMPACTED} names compacted deliveries")
+    return _append(documents, path, f"{writer or uuid.uuid4().hex}-{batch_id}")
+
+
+def _append(documents: DataFrame, path: str, delivery: str) -> str:
     (
         latest_by_id(documents)
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .withColumn("delivery", F.lit(delivery))
         # Few files per day; a day too large for one task is split by AQE.
         .hint("rebalance", "index_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("index_date", "batch_id")
+        .partitionBy("index_date", "delivery")
         .parquet(path)
     )
+    return delivery
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    stored = spark.read.option("mergeSchema", "true").parquet(path)
+    return stored.withColumns(
+        {name: F.col(name).cast("string") for name in ("index_date", "delivery")}
+    )
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -72,11 +107,26 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     A filter on ``index_date`` prunes the folders that are read.
     """
-    stored = spark.read.option("mergeSchema", "false").parquet(path)
-    text_day = stored.withColumn("index_date", F.col("index_date").cast("string"))
-    return latest_by_id(text_day).drop("batch_id")
+    return latest_by_id(_stored(spark, path)).drop("delivery")
 
 
-def compact_documents(spark: SparkSession, source: str, target: str) -> None:
-    """Fold all deliveries into a new table with one batch per day."""
-    append_documents(read_documents(spark, source), target, 0)
+def compact_documents(spark: SparkSession, path: str) -> int:
+    """Fold the deliveries of every day that has several into one; the folders removed.
+
+    The folded delivery is written under a new name before the ones it was made from are
+    deleted. Readers between the two see documents twice and resolve them; deliveries that
+    arrive meanwhile are not touched; a run that breaks off is completed by the next one.
+    """
+    parts = _stored(spark, path).select("index_date", "delivery").distinct()
+    many = parts.groupBy("index_date").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # One row per folder of the table, which listing it has brought to the driver anyway.
+    folders = parts.join(many.select("index_date"), "index_date").collect()
+    if not folders:
+        return 0
+    names = sorted({row.delivery for row in folders})
+    days = sorted({row.index_date for row in folders})
+    rows = _stored(spark, path).where(F.col("index_date").isin(days) & F.col("delivery").isin(names))
+    _append(rows.drop("delivery"), path, f"{COMPACTED}-{uuid.uuid4().hex}")
+    for row in folders:
+        delete_folder(spark, f"{path}/index_date={row.index_date}/delivery={row.delivery}")
+    return len(folders)

@@ -6,24 +6,21 @@ only, so the same rules can be written in any SQL dialect.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clickloom.functions import account_id, catalog_product_id, session_id
 from clickloom.functions.times import ISO_PATTERN
 from clickloom.operators.sessions import sessionize
+from clickloom import schema as S
 from clickloom.schema import EVENT_COLUMNS
 from clickloom.sinks.topic import event_json
 from clickloom.sources.topic import TOPIC
 
-# The order in which the rules below number types and devices.
+# The order in which the rules below number types and devices.
 TYPE_ORDER = (
-    "VIEW",
-    "ADD_TO_CART",
-    "SEARCH",
-    "WISHLIST",
-    "CLICK",
-    "CHECKOUT",
-    "REMOVE_FROM_CART",
-    "PURCHASE",
+    S.VIEW, S.ADD_TO_CART, S.SEARCH, S.WISHLIST, S.CLICK, S.CHECKOUT, S.REMOVE_FROM_CART, S.PURCHASE
 )
 DEVICE_ORDER = ("Mobile", "Desktop", "Tablet")
 
@@ -32,6 +29,8 @@ EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, props string"
 PART_SCHEMA = "p_partkey long, p_brand string, p_type string, p_size int"
 
 REPLAY_OFFSET = 1_000_000_000
+ARRIVAL_FACTOR = 1_000_003
+ARRIVAL_PRIME = 2_147_483_647
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,9 +45,24 @@ def _pick(values: tuple[str, ...], position) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (position + 1).cast("int"))
 
 
-def unsessioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical events before sessions: ``session_id`` is null."""
-    raw = _events(spark, sf_dir).select(
+def newest_event(spark: SparkSession, sf_dir: str) -> datetime | None:
+    """Time of the newest event, as stored: a reproducible reference instant."""
+    return _events(spark, sf_dir).agg(F.max("ts")).first()[0]
+
+
+def unsessioned_events(
+    spark: SparkSession, sf_dir: str, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """Canonical events before sessions: ``session_id`` is null.
+
+    ``since`` and ``until`` bound the stored time itself, so they reach the scan.
+    """
+    stored = _events(spark, sf_dir)
+    if since is not None:
+        stored = stored.where(F.col("ts") >= F.lit(since.isoformat(" ")).cast("timestamp_ntz"))
+    if until is not None:
+        stored = stored.where(F.col("ts") <= F.lit(until.isoformat(" ")).cast("timestamp_ntz"))
+    raw = stored.select(
         "event_id",
         "user_id",
         "ts",
@@ -57,8 +71,8 @@ def unsessioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     event_id, k, event_time = F.col("event_id"), F.col("k"), F.col("event_time")
     kind = (event_id * 31 + F.col("user_id") * 17 + k * 7) % 8
-    account = F.concat(F.lit("ACC"), F.lpad((F.col("user_id") + 1).cast("string"), 8, "0"))
-    product = F.concat(F.lit("PR"), F.lpad((k % 20).cast("string"), 8, "0"))
+    account = account_id(F.col("user_id") + 1)
+    product = catalog_product_id(k)
     return raw.select(
         F.when(event_id % 101 == 0, "").otherwise(account).alias("acc_id"),
         F.lit(None).cast("string").alias("session_id"),
@@ -92,6 +106,27 @@ def topic_records(events: DataFrame) -> DataFrame:
     )
 
 
+def permuted(events: DataFrame) -> DataFrame:
+    """The same events arriving in another order: ``seq`` runs through the residues of a prime
+    above every id, so it stays unique and accounts step back in their sessions."""
+    return events.withColumn("seq", F.col("seq") * ARRIVAL_FACTOR % ARRIVAL_PRIME)
+
+
+def time_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as texts in the shapes producers send, some of them no time at all."""
+    shape = F.col("event_id") % 6
+    plain = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = (
+        F.when(shape == 0, F.concat(plain, F.lit("Z")))
+        .when(shape == 1, plain)
+        .when(shape == 2, F.concat(plain, F.lit("+07:00")))
+        .when(shape == 3, F.date_format("ts", "HH:mm:ss"))
+        .when(shape == 4, F.date_format("ts", "yyyy-MM-dd"))
+        .otherwise(F.concat(F.lit("not "), plain))
+    )
+    return _events(spark, sf_dir).select(F.col("event_id").alias("seq"), text.alias("event_time"))
+
+
 def with_malformed(records: DataFrame) -> DataFrame:
     """Every 53rd record cannot be decoded."""
     broken = F.concat(F.lit("bad{"), F.col("offset").cast("string"))
@@ -101,21 +136,26 @@ def with_malformed(records: DataFrame) -> DataFrame:
 
 
 def replayed_events(events: DataFrame) -> DataFrame:
-    """All events, and every tenth delivered again later with a changed value."""
-    again = events.where(F.col("seq") % 10 == 0).withColumns(
-        {
-            "seq": F.col("seq") + REPLAY_OFFSET,
-            "time_on_page_minutes": F.col("time_on_page_minutes") + 1,
-        }
-    )
-    return events.unionByName(again)
+    """All events, and every tenth delivered again later with a changed value.
+
+    One pass: each event unfolds into its one or two deliveries.
+    """
+
+    def delivery(seq: Column, minutes: Column) -> Column:
+        return F.struct(seq.alias("seq"), minutes.alias("time_on_page_minutes"))
+
+    seq, minutes = F.col("seq"), F.col("time_on_page_minutes")
+    first, again = delivery(seq, minutes), delivery(seq + REPLAY_OFFSET, minutes + 1)
+    deliveries = F.when(seq % 10 == 0, F.array(first, again)).otherwise(F.array(first))
+    kept = [c for c in events.columns if c not in ("seq", "time_on_page_minutes")]
+    return events.select(*kept, F.inline(deliveries)).select(*events.columns)
 
 
 def session_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session ids in clean, absent and odd shapes, one per event."""
     event_id = F.col("event_id")
     shape = event_id % 6
-    padded = F.concat(F.lit("SS"), F.lpad((event_id % 1000).cast("string"), 8, "0"))
+    padded = session_id(event_id)
     text = (
         F.when(shape == 0, padded)
         .when(shape == 2, "")
@@ -130,9 +170,7 @@ def session_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_catalog(spark: SparkSession, sf_dir: str, fine: bool = False) -> DataFrame:
     """Catalog from ``part``; ``fine`` categories are too small to fill a recommendation."""
     return _part(spark, sf_dir).select(
-        F.concat(F.lit("PR"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias(
-            "product_id"
-        ),
+        catalog_product_id("p_partkey").alias("product_id"),
         _category(fine).alias("category_id"),
         F.col("p_brand").alias("brand_id"),
         F.col("p_partkey").alias("catalog_ord"),
@@ -151,7 +189,7 @@ def catalog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     clean = F.concat_ws(
         ",",
-        F.concat(F.lit("PR"), F.lpad(key.cast("string"), 8, "0")),
+        catalog_product_id(key),
         _category(False),
         F.col("p_brand"),
     )

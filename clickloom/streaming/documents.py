@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,8 +14,15 @@ from clickloom.streaming.queries import triggered
 def start_documents(
     documents: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Write typed documents batch by batch; a repeated batch replaces its own partitions."""
+    """Write typed documents batch by batch; a repeated batch replaces its own partitions.
+
+    Deliveries carry the query's id, which lives in its checkpoint: a new checkpoint is a new
+    writer, so its batches, numbered from 0 again, replace nothing.
+    """
+    started: Future[str] = Future()
     writer = documents.writeStream.foreachBatch(
-        lambda batch, batch_id: append_documents(batch, path, batch_id)
+        lambda batch, batch_id: append_documents(batch, path, batch_id, started.result())
     ).option("checkpointLocation", checkpoint)
-    return triggered(writer, interval).start()
+    query = triggered(writer, interval).start()
+    started.set_result(str(query.id))
+    return query

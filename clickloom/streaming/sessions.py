@@ -14,6 +14,7 @@ from clickloom.operators.sessions import GAP_MINUTES
 
 # Python workers rename columns with a leading underscore.
 _MICROS = "event_micros"
+_KEY = "session_key"
 
 
 class SessionNumberer(StatefulProcessor):
@@ -27,28 +28,41 @@ class SessionNumberer(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values("seq")
+        if not key[0].strip():
+            yield batch.assign(session_no=pd.array([None] * len(batch), dtype="Int32"))
+            return
         number, last = self._reached.get() or (1, None)
-        times = batch[_MICROS].to_numpy(dtype="int64")
-        steps = np.diff(times, prepend=times[0] if last is None else last)
-        numbers = number + np.cumsum(steps > self._gap)
-        self._reached.update((int(numbers[-1]), int(times[-1])))
+        times = batch[_MICROS].to_numpy(dtype="float64", na_value=np.nan)
+        timed = np.flatnonzero(~np.isnan(times))
+        flags = np.zeros(len(batch), dtype=bool)
+        if len(timed):
+            exact = batch[_MICROS].iloc[timed].to_numpy(dtype="int64")
+            steps = np.diff(exact, prepend=exact[0] if last is None else last)
+            flags[timed] = steps > self._gap
+            last = int(exact[-1])
+        numbers = number + np.cumsum(flags)
+        self._reached.update((int(numbers[-1]), last))
         yield batch.assign(session_no=numbers.astype("int32"))
 
 
 def stream_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """Streaming form of ``sessionize_arrival`` for events with an account and a time.
+    """Streaming form of ``sessionize_arrival``, for the same rows: without an account there is
+    no session, without a time that of the row before.
 
     Rows of an account within a micro-batch are ordered by ``seq``; the source's per-trigger
-    limit bounds how many there can be.
+    limit bounds how many there can be. Rows without an account are spread by ``seq``.
     """
-    known = events.where(~is_blank("acc_id") & F.col("event_ts").isNotNull())
-    keyed = known.withColumn(_MICROS, F.unix_micros("event_ts")).drop("event_ts", "session_id")
+    blank = F.repeat(F.lit(" "), (F.pmod("seq", F.lit(64)) + 1).cast("int"))
+    account = F.when(is_blank("acc_id"), blank).otherwise(F.col("acc_id"))
+    keyed = events.withColumns({_MICROS: F.unix_micros("event_ts"), _KEY: account})
+    keyed = keyed.drop("event_ts", "session_id")
     output = T.StructType([*keyed.schema.fields, T.StructField("session_no", T.IntegerType())])
-    numbered = keyed.groupBy("acc_id").transformWithStateInPandas(
+    numbered = keyed.groupBy(_KEY).transformWithStateInPandas(
         SessionNumberer(gap_minutes), output, outputMode="Append", timeMode="None"
     )
+    number = F.col("session_no")
     return (
         numbered.withColumn("event_ts", F.timestamp_micros(_MICROS))
-        .withColumn("session_id", session_id("session_no"))
-        .drop(_MICROS)
+        .withColumn("session_id", F.when(number.isNotNull(), session_id(number)))
+        .drop(_MICROS, _KEY)
     )

@@ -50,3 +50,20 @@ def test_recent(spark):
     newest = dashboards.newest_time(df)
     assert dashboards.recent_events(df, newest).count() == 2
     assert dashboards.recent_events(df, newest, hours=7 * 24).count() == 3
+
+
+def test_velocity_over_a_given_range_and_across_days(spark):
+    df = frame(spark, [("2024-01-01 23:58:10", "VIEW", "P", "M"), ("2024-01-03 00:01:00", "VIEW", "P", "M")])
+    filled = dashboards.ingestion_velocity_filled(df).collect()
+    assert len(filled) == 2 + 24 * 60 + 2 and sum(r.events for r in filled) == 2
+    some = dashboards.ingestion_velocity_filled(
+        df, datetime(2024, 1, 1, 23, 57, 30), datetime(2024, 1, 1, 23, 59)).orderBy("minute").collect()
+    assert [(r.minute.minute, r.events) for r in some] == [(57, 0), (58, 1), (59, 0)]
+    assert dashboards.ingestion_velocity_filled(df.limit(0)).count() == 0
+
+
+def test_a_far_off_time_does_not_fail(spark):
+    df = frame(spark, [("2024-01-01 00:00:00", "VIEW", "P", "M"), ("9999-12-31 00:00:00", "VIEW", "P", "M")])
+    some = dashboards.ingestion_velocity_filled(df, end=datetime(2024, 1, 1, 0, 2)).orderBy("minute")
+    assert [r.events for r in some.collect()] == [1, 0, 0]
+    assert dashboards.ingestion_velocity_filled(df).limit(5).count() == 5

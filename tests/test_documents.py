@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom.sinks import (
@@ -57,26 +58,52 @@ def test_copies_are_dropped_before_the_shuffle(spark):
 def test_replay_changes_nothing(spark, sf_dir, tmp_path):
     path = str(tmp_path / "docs")
     docs = typed_documents(tables.canonical_events(spark, sf_dir))
-    append_documents(docs, path, 0)
+    append_documents(docs, path, 0, "w")
     before = rows(read_documents(spark, path))
     assert len(before) == docs.select("index_date", "doc_id").distinct().count()
-    append_documents(docs, path, 0)
+    append_documents(docs, path, 0, "w")
     assert rows(read_documents(spark, path)) == before
     assert spark.read.parquet(path).count() == len(before)
-    append_documents(docs.where("seq < 300"), path, 1)
+    append_documents(docs.where("seq < 300"), path, 1, "w")
     assert rows(read_documents(spark, path)) == before
 
 
+def folders(path):
+    return sorted(str(f.relative_to(path)) for f in path.glob("index_date=*/delivery=*"))
+
+
 def test_later_delivery_and_compaction(spark, tmp_path):
-    path, folded = str(tmp_path / "docs"), str(tmp_path / "folded")
+    path = tmp_path / "docs"
     first = [event(f"2024-01-0{d}T00:00:00Z", d) for d in (1, 2, 3)]
     again = [event("2024-01-02T00:00:00Z", 10, 9), event("2024-01-04T00:00:00Z", 11)]
-    append_documents(typed_documents(spark.createDataFrame(first, FIELDS)), path, 0)
-    append_documents(typed_documents(spark.createDataFrame(again, FIELDS)), path, 1)
-    got = rows(read_documents(spark, path))
+    append_documents(typed_documents(spark.createDataFrame(first, FIELDS)), str(path), 0, "w")
+    append_documents(typed_documents(spark.createDataFrame(again, FIELDS)), str(path), 1, "w")
+    got = rows(read_documents(spark, str(path)))
     assert [(r[0], r[2], r[3]) for r in got] == [
         ("2024.01.01", 1.0, 1), ("2024.01.02", 9.0, 10), ("2024.01.03", 1.0, 3),
         ("2024.01.04", 1.0, 11)]
-    compact_documents(spark, path, folded)
-    assert rows(read_documents(spark, folded)) == got
-    assert spark.read.parquet(folded).count() == 4
+    assert len(folders(path)) == 5
+    assert compact_documents(spark, str(path)) == 2
+    assert rows(read_documents(spark, str(path))) == got
+    assert len(folders(path)) == 4
+    assert compact_documents(spark, str(path)) == 0
+
+
+def test_writers_do_not_meet(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    for minute, writer in enumerate(["a", "b", None, None]):
+        docs = typed_documents(spark.createDataFrame([event(f"2024-01-01T00:0{minute}:00Z", minute)], FIELDS))
+        append_documents(docs, path, 0, writer)
+    assert len(rows(read_documents(spark, path))) == 4
+    compact_documents(spark, path)
+    append_documents(typed_documents(spark.createDataFrame([event("2024-01-01T00:09:00Z", 9)], FIELDS)), path, 0, "a")
+    assert len(rows(read_documents(spark, path))) == 5
+    with pytest.raises(ValueError):
+        append_documents(docs, path, 0, "compacted")
+
+
+def test_envelope_is_kept(spark):
+    frame = spark.createDataFrame([event("2024-01-01T00:00:00Z", 1)], FIELDS)
+    records = frame.withColumns({"topic": F.lit("t"), "partition": F.lit(3), "offset": F.lit(8)})
+    row = typed_documents(records).first()
+    assert (row.kafka_topic, row.kafka_partition, row.kafka_offset) == ("t", 3, 8)

@@ -71,3 +71,21 @@ def test_vocabulary():
             S.REMOVE_FROM_CART, S.PURCHASE) == (
         "VIEW", "ADD_TO_CART", "SEARCH", "WISHLIST", "CLICK", "CHECKOUT", "REMOVE_FROM_CART",
         "PURCHASE")
+
+
+def test_iso_parse_needs_a_date_and_no_zone(spark):
+    texts = {
+        "2024-01-01T10:00:00Z": 1704103200, "2024-01-01T10:00:00": 1704103200,
+        "2024-01-01 10:00:00": 1704103200, "2024-01-01T10:00:00+07:00": 1704078000,
+        "2024-01-01": 1704067200, "10:00:00": None, "T10:00:00": None, "now": None, "": None,
+        "2024-13-01": None, None: None,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            got = frame.select("t", F.unix_seconds(fn.iso_parse("t")).alias("s")).collect()
+            assert {r.t: r.s for r in got} == texts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

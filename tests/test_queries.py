@@ -20,7 +20,8 @@ def sql():
 
 def test_every_query_has_sql():
     assert set(NAMES) <= set(entry.oracle_sql())
-    assert {n for n in entry.queries() if not n.startswith(('op', 'pipeline'))} <= set(NAMES) | {'open_intents'}
+    corpus = set(entry.corpus.QUERIES) if entry.corpus else set()
+    assert set(entry.queries()) - corpus == set(NAMES)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -34,5 +35,5 @@ def test_query_equals_sql(spark, sql, name):
 def test_counts(spark):
     counts = entry.entry(spark).groupBy("alert_type").count().collect()
     kinds = {r.alert_type: r["count"] for r in counts}
-    assert kinds == {"INTENT_CAPTURED": 236, "CHECKOUT_FRICTION": 17, "CONVERSION_SUCCESS": 39,
-                     "CART_REMOVED": 47, "DYNAMIC_PRICING": 316}
+    assert kinds == {"INTENT_CAPTURED": 236, "CHECKOUT_FRICTION": 4, "CONVERSION_SUCCESS": 11,
+                     "CART_REMOVED": 15, "DYNAMIC_PRICING": 352}

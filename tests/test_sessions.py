@@ -56,3 +56,25 @@ def test_both_orders_agree_on_ordered_input(spark):
     rows = [("A", i * 500, i) for i in range(50)]
     assert numbers(sessionize(frame(spark, rows))) == numbers(
         sessionize_arrival(frame(spark, rows), hot_rows=5, span=7))
+
+
+@pytest.mark.parametrize("hot_rows, span", [(10**9, 10**9), (0, 3), (0, 50)])
+def test_rows_without_a_time_in_arrival_order(spark, hot_rows, span):
+    rng = random.Random(span)
+    rows, clock = [], 0
+    for i in range(200):
+        clock += rng.choice([60, 800, 901, 1200])
+        rows.append((rng.choice(["A", "A", "B", ""]), clock if rng.random() < 0.7 else None, i))
+    want, state = {}, {}
+    for acc, at, seq in rows:
+        if not acc:
+            want[seq] = None
+            continue
+        number, last = state.get(acc, (1, None))
+        if at is not None:
+            number += last is not None and at - last > 900
+            last = at
+        state[acc], want[seq] = (number, last), number
+    data = [(a, None if s is None else START + timedelta(seconds=s), q) for a, s, q in rows]
+    events = spark.createDataFrame(data, "acc_id string, event_ts timestamp, seq long")
+    assert numbers(sessionize_arrival(events, hot_rows=hot_rows, span=span)) == want

@@ -1,4 +1,3 @@
-import json
 
 from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from clickloom.sinks import encode_events, keyed_records
@@ -8,6 +7,7 @@ from clickloom.sources import (
     load_catalog,
     parse_catalog_lines,
     quarantine_events,
+    tables,
 )
 
 SAMPLE = ("ACC00000088", "SS00000001", "2026-07-28T23:30:00.123456+07:00", "VIEW", "PR630",
@@ -114,3 +114,27 @@ def test_catalog_file(spark, tmp_path):
 
 def test_absent_catalog_is_empty(spark, tmp_path):
     assert load_catalog(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_large_numbers_are_not_cut(spark, tmp_path):
+    time = datetime(2024, 1, 1)
+    rows = [(1, time, 99_999_999, '{"k": 1234}'), (2, time, 9_999_999, '{"k": 5}')]
+    frame = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, props string")
+    frame.write.parquet(str(tmp_path / "events.parquet"))
+    got = {r.seq: (r.acc_id, r.product_id) for r in tables.unsessioned_events(spark, str(tmp_path)).collect()}
+    assert got == {1: ("ACC100000000", "PR1234"), 2: ("ACC10000000", "PR005")}
+
+
+def test_time_bounds_reach_the_scan(spark, sf_dir):
+    newest = tables.newest_event(spark, sf_dir)
+    events = tables.unsessioned_events(spark, sf_dir, newest, newest)
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan and events.count() >= 1
+
+
+def test_replays_unfold_in_one_pass(spark, sf_dir):
+    events = tables.unsessioned_events(spark, sf_dir)
+    twice = tables.replayed_events(events)
+    assert twice.columns == events.columns
+    assert twice.count() == events.count() + events.where("seq % 10 = 0").count()
+    assert twice._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
