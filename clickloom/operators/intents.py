@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from clickloom import schema as S
 from clickloom.functions import floor_div, is_blank, parse_session_number
 from clickloom.operators.pricing import first_greater_after, session_summary
-from clickloom.plans import HOT_ROWS, SPAN, hot_keys, stage
+from clickloom.plans import HOT_ROWS, SPAN, hot_keys, small_or_shuffled, stage
 
 _STALE = "STALE"
 _ENTER = "ENTER"
@@ -65,14 +65,14 @@ def _start(base: Column) -> Column:
 
 
 def _with_ranges(acting: DataFrame, hot: DataFrame | None, span: int) -> DataFrame:
-    """Cut the hot accounts into sequence ranges joined up by marker rows.
+    """Cut the hot accounts, or pairs, into sequence ranges joined up by marker rows.
 
-    ``hot`` is broadcast: each of its accounts holds more than ``hot_rows`` events.
+    ``hot``, a staged table, is broadcast if it measures small.
     """
     rows = acting.withColumn("carried", F.lit(None).cast(_START_TYPE))
     if hot is None:
         return rows.withColumn("range", F.lit(-1).cast("long"))
-    flagged = rows.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "acc_id", "left")
+    flagged = rows.join(small_or_shuffled(hot).withColumn("is_hot", F.lit(True)), hot.columns, "left")
     ranged = flagged.withColumn(
         "range", F.when(F.col("is_hot"), floor_div("seq", span)).otherwise(F.lit(-1))
     ).drop("is_hot")
@@ -171,7 +171,8 @@ def _life_cycle(rows: DataFrame) -> DataFrame:
 def _without_sessions(events: DataFrame, hot_rows: int, span: int) -> DataFrame:
     """Life cycle without the account's other sessions, for the branch alerts."""
     acting = acting_events(events)
-    hot = hot_keys(events.where(~is_blank("acc_id")), ["acc_id"], hot_rows)
+    # The windows are over pairs, so pairs are counted, among the rows that act.
+    hot = stage(hot_keys(acting, _PAIR, hot_rows))
     bare = acting.withColumn("greater", F.lit(None).cast(_GREATER_TYPE))
     return _life_cycle(_with_ranges(bare, None if hot.isEmpty() else hot, span))
 
@@ -185,7 +186,7 @@ def _with_sessions(events: DataFrame, hot_rows: int, span: int) -> tuple[DataFra
     summary = stage(session_summary(events))
     (steps_back,) = summary.agg(F.max("steps_back")).first()
     totals = summary.groupBy("acc_id").agg(F.sum("rows").alias("rows"))
-    hot = totals.where(F.col("rows") > hot_rows).select("acc_id")
+    hot = stage(totals.where(F.col("rows") > hot_rows).select("acc_id"))
     acting = acting_events(events).join(
         summary.select("acc_id", "session_no", "greater"), ["acc_id", "session_no"], "left"
     )

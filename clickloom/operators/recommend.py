@@ -10,6 +10,10 @@ from clickloom.sources.catalog import catalog_lookup
 
 LIMIT = 5
 
+# Up to this many rows per group Spark cuts a rank before the shuffle on its own.
+CUT_BEFORE_SHUFFLE = 1000
+SALTS = 64
+
 
 def _distinct_lines(catalog: DataFrame) -> DataFrame:
     return catalog.groupBy("product_id", "category_id", "brand_id").agg(
@@ -23,7 +27,8 @@ def _shortlist(lines: DataFrame, group: str, limit: int) -> DataFrame:
     A product skips its own rows and, in the brand list, fewer than ``limit`` rows already
     taken from its category. So the first ``2 * limit`` rows of an id, and the rows up to the
     ``2 * limit + 1``-th id, always hold ``limit`` rows to take. Both ranks are cut before
-    the shuffle too, so a category holding most of the catalog costs no more.
+    the shuffle too, so a category holding most of the catalog costs no more. Where Spark would
+    not do that, for limits above 15, a group is first cut in ``SALTS`` parts of its own.
     """
     ids, rows_per_id = 2 * limit + 1, 2 * limit
     by_line = Window.partitionBy(group, "product_id").orderBy("catalog_ord")
@@ -32,7 +37,17 @@ def _shortlist(lines: DataFrame, group: str, limit: int) -> DataFrame:
     head = (
         lines.withColumn("line", F.row_number().over(by_line))
         .where(F.col("line") <= rows_per_id)
-        .withColumn("place", F.row_number().over(by_ord))
+    )
+    if ids * rows_per_id > CUT_BEFORE_SHUFFLE:
+        salt = F.pmod(F.xxhash64("product_id", "catalog_ord"), F.lit(SALTS))
+        by_part = Window.partitionBy(group, "salt").orderBy("catalog_ord")
+        head = (
+            head.withColumn("salt", salt)
+            .withColumn("place", F.row_number().over(by_part))
+            .where(F.col("place") <= ids * rows_per_id)
+        )
+    head = (
+        head.withColumn("place", F.row_number().over(by_ord))
         .where(F.col("place") <= ids * rows_per_id)
         .withColumn("ids", F.count(F.when(F.col("line") == 1, 1)).over(so_far))
         .where(F.col("ids") <= ids)

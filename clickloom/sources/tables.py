@@ -29,7 +29,7 @@ EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, props string"
 PART_SCHEMA = "p_partkey long, p_brand string, p_type string, p_size int"
 
 REPLAY_OFFSET = 1_000_000_000
-ARRIVAL_FACTOR = 1_000_003
+ARRIVAL_FACTOR = 1_103_515_245
 ARRIVAL_PRIME = 2_147_483_647
 
 

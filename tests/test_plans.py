@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from clickloom.check_sql import ORACLE_SQL
 from clickloom.operators import dashboards, intents, recommend
 from clickloom.operators.pricing import session_summary
 from clickloom.operators.sessions import sessionize
@@ -40,7 +41,7 @@ def settings(spark):
         spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_no_query_pairs_rows_or_runs_python(spark, name):
     text = plan(entry.queries()[name](spark, SMALL))
     for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
@@ -87,3 +88,10 @@ def test_hot_account_is_split_in_the_session_join(spark, settings):
     assert result.where("session_no IS NULL").count() == 0
     result.collect()
     assert "skew=true" in plan(result)
+
+
+def test_unordered_sessions_take_the_search(spark, sf_dir):
+    """Accounts step back here, so the plan holds the node search and the discounts it finds."""
+    text = plan(entry.queries()["pricing_alerts_unordered"](spark, sf_dir))
+    ordered = plan(entry.queries()["pricing_alerts"](spark, sf_dir))
+    assert text.count("Exchange") > ordered.count("Exchange") and "Union" in text

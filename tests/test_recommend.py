@@ -28,7 +28,7 @@ def random_catalog(seed, unique):
 
 
 @pytest.mark.parametrize("unique", [True, False])
-@pytest.mark.parametrize("limit", [1, 2, 5, 9])
+@pytest.mark.parametrize("limit", [1, 2, 5, 9, 15, 16, 40])
 def test_lists_equal_the_sequential_rule(spark, unique, limit):
     """One catalog made of many: category and brand names are told apart by the seed."""
     rows = []

@@ -1,3 +1,6 @@
+import json
+from datetime import datetime
+
 
 from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from clickloom.sinks import encode_events, keyed_records
