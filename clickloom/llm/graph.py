@@ -39,19 +39,17 @@ def components(edges: DataFrame) -> DataFrame:
     Self-loops, nulls, repeated and reversed edges are allowed and change nothing; an empty
     table gives an empty table.
     """
-    clean = edges.select("a", "b").where("a <> b")
-    current = stage(_small_star(clean.distinct()))
-    while True:
-        larger = stage(_small_star(_large_star(current)))
-        # Stars only, all of them the same as before: the forest is final.
-        if _same(current, larger):
-            return larger.select(F.col("a").alias("id"), F.col("b").alias("root"))
-        current = larger
-
-
-def _same(left: DataFrame, right: DataFrame) -> bool:
-    def digest(df: DataFrame) -> tuple:
-        h = F.xxhash64("a", "b").cast("decimal(38,0)")
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(h), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
-
-    return digest(left) == digest(right)
+    current = stage(_small_star(edges.select("a", "b").where("a <> b").distinct()))
+    while not _settled(current):
+        current = stage(_small_star(_large_star(current)))
+    return current.select(F.col("a").alias("id"), F.col("b").alias("root"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every vertex on the left has one edge, and none of them stands on the right: then
+    the edges are stars, one per component, around its smallest vertex."""
+    several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not several.isEmpty():
+        return False
+    left = edges.select(F.col("a").alias("b"))
+    return edges.join(left, "b", "left_semi").isEmpty()
