@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickloom.llm.arrays import (
     NOT_SPACE, Words, binary_slices, combine, longs, mix, pieces, ranges, split_words,
 )
+from clickloom.llm.bitsets import FILTER_BITS, bit_set, in_set
 from clickloom.llm.tables import beside, read, stage
 
 WINDOW = 13
@@ -40,7 +41,6 @@ MINIMISER = 3
 # Windows in one packed string at most; a document that repeats one word has no end otherwise.
 LONGEST = 64
 HOT_ROWS = 200_000
-FILTER_BITS = 26
 
 PAIRS = "minimiser bigint, doc_id bigint"
 STRINGS = "minimiser bigint, doc_id bigint, start int, packed binary"
@@ -101,7 +101,7 @@ def _strings(
         for piece in pieces(batch, "text"):
             words, row, at, counts, least = _super_kmers(piece, window, m)
             if only is not None and len(least):
-                use = np.flatnonzero(_in_set(only, least))
+                use = np.flatnonzero(in_set(only, least))
                 row, at, counts, least = row[use], at[use], counts[use], least[use]
             if not len(least):
                 continue
@@ -118,42 +118,6 @@ def _strings(
             )
 
 
-def _in_set(flags: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which hashes have their bit set."""
-    bit = hashes >> np.uint64(64 - (8 * len(flags)).bit_length() + 1)
-    return ((flags[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1) > 0
-
-
-def _bit_parts(bits: int, parts_bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One slice of the bit set for every part of the hashes that comes by."""
-    sets: dict[int, np.ndarray] = {}
-    for batch in batches:
-        bit = batch.column("hash").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
-        part = (bit >> np.uint64(bits - parts_bits)).astype(np.int64)
-        place = (bit & np.uint64((1 << (bits - parts_bits)) - 1)).astype(np.int64)
-        for p in np.unique(part).tolist():
-            flags = sets.setdefault(p, np.zeros(1 << (bits - parts_bits), bool))
-            flags[place[part == p]] = True
-    for p, flags in sets.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()])],
-            names=["part", "flags"],
-        )
-
-
-def bit_set(hashes: DataFrame, bits: int, parts_bits: int = 6) -> bytes:
-    """The top ``bits`` bits of every value in ``hash`` as a set of bits; built by part in the
-    tasks."""
-    part = F.shiftrightunsigned("hash", 64 - parts_bits)
-    dealt = hashes.select("hash").repartition(1 << parts_bits, part)
-    built = dealt.mapInArrow(lambda b: _bit_parts(bits, parts_bits, b), "part int, flags binary")
-    out = bytearray(1 << (bits - 3))
-    step = len(out) >> parts_bits
-    for p, flags in built.toLocalIterator():
-        out[p * step : (p + 1) * step] = flags
-    return bytes(out)
-
-
 def _windows_of(rows: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
     """Per window of packed strings: the string, its place in it, its hash; and the words."""
     words = split_words(rows.column("packed").cast(pa.string()), NOT_SPACE, lower=False)
@@ -285,7 +249,7 @@ def _marked(flags, wanted: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[
     """Rows whose document is in the bit set, or those whose is not."""
     bits = np.frombuffer(flags.value, np.uint8)
     for batch in batches:
-        use = _in_set(bits, batch.column("hash").to_numpy().view(np.uint64)) == wanted
+        use = in_set(bits, batch.column("hash").to_numpy().view(np.uint64)) == wanted
         yield batch.select(["doc_id", "text"]).filter(pa.array(use))
 
 
