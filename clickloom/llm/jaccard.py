@@ -6,12 +6,16 @@ here must share a prefix token under *every* order, and only then are the sets c
 
 1. Every text becomes its set of distinct word shingles (64-bit hashes). Texts with the same set
    are one class; only classes are compared, so copies never form pairs.
-2. The first order puts rare tokens first. Rarity comes from a count sketch of fixed size over
-   all classes' tokens; any function of a token gives a valid order, so its errors cost time,
-   never links. The other orders add a seeded hash within coarse levels of rarity.
-3. Classes that share a prefix token of the first order are linked to the smallest class of that
-   token: one row per prefix token, never pairs. Components of this give groups outside which no
-   link exists.
+2. All orders put rare tokens first, tokens that occur once before all others, and differ by a
+   seeded hash within levels of rarity. Rarity comes from a count sketch of fixed size over all
+   tokens; any function of a token gives a valid order, so where cells are shared by chance that
+   costs time, never links. With far more tokens than cells few look as if they occurred once;
+   ``sketch_bits`` should grow with the corpus as far as the tasks' memory allows.
+3. Prefix tokens that only one class has are dropped, most of them before anything is sent. A token with up to ``PAIR_ROWS`` rows makes pairs of its classes, and pairs
+   stay that meet so under every order. The classes of a token with more rows are linked to the
+   smallest of them, one row each and never pairs. Two linked sets share a token under every
+   order, so they are found as a pair or meet in such a star. Components of both give groups
+   outside which no link exists; all other sets are not sent.
 4. A group's sets travel to one task, or, when they hold more than ``cell_tokens`` tokens, to
    cells: classes are split by length (linked sets differ in length by the bound at most, so
    only neighbouring levels meet) and by hash, and every two parts that may link meet in one
@@ -28,22 +32,30 @@ none; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import itertools
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm.arrays import NOT_SPACE, combine, longs, mix, pieces, ranges, split_words
+from clickloom.llm.bitsets import bit_set, in_set
 from clickloom.llm.graph import components
 from clickloom.llm.tables import beside, read, stage
 
 SHINGLE = 4
 PERCENT = 85
-ORDERS = 3
-# Counters of the rarity sketch; one byte of level each when it is sent to the tasks.
-SKETCH_BITS = 22
-SKETCH_PARTS = 64
+# At most four: the order of a token travels in its two lowest bits.
+ORDERS = 2
+# Rows of a token up to which its classes form pairs; the classes of others form a star.
+PAIR_ROWS = 16
+# Cells of the rarity sketch: one bit each when it is sent to the tasks, and one byte for 64.
+SKETCH_BITS = 28
+PART_BITS = 6
+SKETCH_TOKENS = 4_000_000
 CELL_TOKENS = 2_000_000
 
 CLASSES = "doc_id bigint, class bigint, n_shingles bigint"
@@ -51,6 +63,7 @@ PREFIXES = "token bigint, class bigint"
 SETS = "class bigint, n int, tokens binary"
 EDGES = "a bigint, b bigint"
 
+_NONE, _FIRST = np.zeros(0, np.uint64), np.array([True])
 _SEEDS = np.random.default_rng(7).integers(1, 2**63, 16, dtype=np.uint64)
 
 
@@ -68,16 +81,21 @@ def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndar
             continue
         each = counts[picked] - length + 1
         at = ranges(words.first[:-1][picked], each)
-        rows.append(np.repeat(picked, each))
+        rows.append((picked.tolist(), each.tolist()))
         values.append(combine(hashes, length)[at])
     if not rows:
         return np.zeros(0, np.uint64), np.zeros(len(counts) + 1, np.int64)
-    row, value = np.concatenate(rows), np.concatenate(values)
-    order = np.lexsort((value, row))
-    row, value = row[order], value[order]
-    new = np.concatenate([[True], (row[1:] != row[:-1]) | (value[1:] != value[:-1])])
-    row, value = row[new], value[new]
-    return value, np.searchsorted(row, np.arange(len(counts) + 1))
+    # One sort per text is several times faster than one of all by text and value.
+    sizes = np.zeros(len(counts), np.int64)
+    parts: list[np.ndarray] = [_NONE] * len(counts)
+    for picked, value in zip(rows, values, strict=True):
+        at = 0
+        for row, each in zip(*picked, strict=True):
+            own = np.sort(value[at : at + each])
+            at += each
+            own = own[np.concatenate([_FIRST, own[1:] != own[:-1]])]
+            parts[row], sizes[row] = own, len(own)
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def class_ids(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -112,69 +130,105 @@ def _classes(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
-def _one_each(tokens: np.ndarray, first: np.ndarray, own: np.ndarray) -> tuple:
-    """Drop empty sets and all but one of equal sets within a piece."""
+def _one_each(
+    tokens: np.ndarray, first: np.ndarray, own: np.ndarray, use: np.ndarray | None = None
+) -> tuple:
+    """Drop empty sets, all but one of equal sets within a piece, and those not in ``use``."""
     _, at = np.unique(own, return_index=True)
-    at = at[np.diff(first)[at] > 0]
+    keep = np.diff(first)[at] > 0
+    at = at[keep if use is None else keep & use[at]]
     sizes = np.diff(first)[at]
     return tokens[ranges(first[at], sizes)], sizes, own[at]
 
 
-def _counted(n: int, bits: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sketch of one partition, cut into parts that are added up across partitions."""
-    counts = np.zeros(1 << bits, np.uint32)
+@dataclass
+class Rarity:
+    """What the tasks know of the frequency of tokens: for each of ``2 ** bits`` cells of their
+    hash, one bit whether more than one token fell into it, and for every 64 cells the level
+    (binary logarithm) of the fullest."""
+
+    bits: int
+    flags: bytes
+    levels: np.ndarray
+
+    def several(self, tokens: np.ndarray) -> np.ndarray:
+        """False for tokens that certainly occur once."""
+        cell = tokens >> np.uint64(64 - self.bits)
+        byte = np.frombuffer(self.flags, np.uint8)[(cell >> np.uint64(3)).astype(np.int64)]
+        return (byte >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+    def level(self, tokens: np.ndarray) -> np.ndarray:
+        block = (tokens >> np.uint64(64 - self.bits + 6)).astype(np.int64)
+        return np.where(self.several(tokens), 1 + self.levels[block].astype(np.uint64), 0).astype(np.uint64)
+
+
+def _counted(n: int, bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells of the tokens of a partition, by part of the sketch, as compressed differences."""
+
+    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
+        cells = np.sort(np.concatenate(held))
+        edges = np.searchsorted(cells, np.arange((1 << PART_BITS) + 1) << (bits - PART_BITS))
+        raw = []
+        for part, (begin, end) in enumerate(itertools.pairwise(edges.tolist())):
+            own = cells[begin:end] - np.int64(part << (bits - PART_BITS))
+            raw.append(zlib.compress(np.diff(own, prepend=0).astype(np.uint32).tobytes(), 1))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(1 << PART_BITS, dtype=np.int32)), pa.array(raw, pa.binary())],
+            names=["part", "cells"],
+        )
+
     held, size = [], 0
     for batch in batches:
         for _, tokens, first, own in _sets(batch, n):
             tokens, _, _ = _one_each(tokens, first, own)
-            held.append((tokens >> np.uint64(64 - bits)).astype(np.uint32))
+            held.append((tokens >> np.uint64(64 - bits)).astype(np.int64))
             size += len(tokens)
-            if size >= len(counts):
-                counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.uint32)
+            if size >= SKETCH_TOKENS:
+                yield emit(held)
                 held, size = [], 0
-    if held:
-        counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.uint32)
-    if counts.any():
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.arange(parts, dtype=np.int32)),
-                pa.array([np.minimum(c, 65535).astype(np.uint16).tobytes() for c in np.split(counts, parts)]),
-            ],
-            names=["part", "counts"],
-        )
+    if size:
+        yield emit(held)
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Levels (binary logarithms) of the summed counters of each part."""
+def _added(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Flags and levels of the parts that come by; counts stop at 65535."""
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
-        for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            values = np.frombuffer(counts, np.uint16).astype(np.uint64)
-            totals[part] = totals.get(part, 0) + values
-    if totals:
-        levels = [np.ceil(np.log2(v + np.uint64(1))).astype(np.uint8).tobytes() for v in totals.values()]
+        for part, raw in zip(batch.column("part").to_pylist(), batch.column("cells").to_pylist(), strict=True):
+            counts = totals.setdefault(part, np.zeros(1 << (bits - PART_BITS), np.uint16))
+            cells, times = np.unique(
+                np.cumsum(np.frombuffer(zlib.decompress(raw), np.uint32), dtype=np.int64), return_counts=True
+            )
+            counts[cells] = np.minimum(counts[cells].astype(np.int64) + times, 65535)
+    for part, counts in totals.items():
+        flags = np.packbits(counts > 1, bitorder="little").tobytes()
+        levels = np.ceil(np.log2(counts.reshape(-1, 64).max(axis=1).astype(np.float64) + 1)).astype(np.uint8)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.int32()), pa.array(levels, pa.binary())], names=["part", "levels"]
+            [pa.array([part], pa.int32()), pa.array([flags], pa.binary()), pa.array([levels.tobytes()], pa.binary())],
+            names=["part", "flags", "levels"],
         )
 
 
-def rarity(texts: DataFrame, n: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Level of every counter; ``2 ** bits`` bytes whatever the size of the corpus."""
-    parts = min(SKETCH_PARTS, 1 << bits)
-    counted = texts.mapInArrow(lambda b: _counted(n, bits, parts, b), "part int, counts binary")
-    added = counted.repartition(parts, "part").mapInArrow(_added, "part int, levels binary")
-    levels = np.zeros((parts, (1 << bits) // parts), np.uint8)
-    for part, values in added.collect():
-        levels[part] = np.frombuffer(bytes(values), np.uint8)
-    return levels.reshape(-1)
+def rarity(texts: DataFrame, n: int, bits: int = SKETCH_BITS) -> Rarity:
+    """The sketch over all texts, put together part by part; its size is fixed."""
+    counted = texts.mapInArrow(lambda b: _counted(n, bits, b), "part int, cells binary")
+    added = counted.repartition(1 << PART_BITS, "part").mapInArrow(
+        lambda b: _added(bits, b), "part int, flags binary, levels binary"
+    )
+    flags = bytearray(1 << (bits - 3))
+    levels = np.zeros((1 << PART_BITS, 1 << (bits - PART_BITS - 6)), np.uint8)
+    step = len(flags) >> PART_BITS
+    for part, some, own in added.toLocalIterator():
+        flags[part * step : (part + 1) * step] = some
+        levels[part] = np.frombuffer(bytes(own), np.uint8)
+    return Rarity(bits, bytes(flags), levels.reshape(-1))
 
 
-def order_keys(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
+def order_keys(tokens: np.ndarray, rare: Rarity, order: int) -> np.ndarray:
     """Keys of a total order of tokens: rarity level first, a seeded hash within it."""
-    bits = int(len(levels)).bit_length() - 1
-    level = levels[(tokens >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64)
+    level = rare.level(tokens)
     if order:
-        level = level >> np.uint64(2)
+        level = (level + np.uint64(3)) >> np.uint64(2)
     return (level << np.uint64(56)) | (mix(tokens ^ _SEEDS[order]) >> np.uint64(8))
 
 
@@ -185,32 +239,53 @@ def prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def prefixes(
-    tokens: np.ndarray, sizes: np.ndarray, levels: np.ndarray, order: int, percent: int
+    tokens: np.ndarray, sizes: np.ndarray, levels: Rarity, order: int, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Prefix tokens under one order, set by set, and how many each set has."""
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    sort = np.lexsort((order_keys(tokens, levels, order), row))
+    keys = order_keys(tokens, levels, order)
     take = prefix_sizes(sizes, percent)
-    first = np.cumsum(sizes) - sizes
-    return tokens[sort[ranges(first, take)]], take
-
-
-def _prefix_rows(n: int, percent: int, levels, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    picked, at = [_NONE], 0
+    for size, some in zip(sizes.tolist(), take.tolist(), strict=True):
+        own = tokens[at : at + size]
+        if some < size:
+            # Equal keys of different tokens, where they happen, go by token.
+            key = keys[at : at + size]
+            last = np.partition(key, some - 1)[some - 1]
+            below, equal = np.flatnonzero(key < last), np.flatnonzero(key == last)
+            own = own[np.concatenate([below, equal[: some - len(below)]])]
+        picked.append(own)
+        at += size
+    return np.concatenate(picked), take
+
+
+def _prefix_rows(
+    n: int, percent: int, orders: int, levels, wanted, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Prefix tokens under every order that may occur more than once, the order in the lowest
+    bits; with ``wanted``, a broadcast bit set, only those in it."""
+    only = np.frombuffer(wanted.value, np.uint8) if wanted is not None else None
     for batch in batches:
         for _, tokens, first, own in _sets(batch, n):
             tokens, sizes, own = _one_each(tokens, first, own)
             if not len(own):
                 continue
-            shared, take = prefixes(tokens, sizes, levels.value, 0, percent)
-            yield pa.RecordBatch.from_arrays(
-                [longs(shared), longs(np.repeat(own, take))], names=["token", "class"]
-            )
-
-
-def _wanted_sets(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for order in range(orders):
+                shared, take = prefixes(tokens, sizes, levels.value, order, percent)
+                use = levels.value.several(shared)
+                shared, who = shared[use], np.repeat(own, take)[use]
+                shared = mix(shared ^ _SEEDS[order]) << np.uint64(2) | np.uint64(order)
+                if only is not None:
+                    use = in_set(only, shared)
+                    shared, who = shared[use], who[use]
+                yield pa.RecordBatch.from_arrays([longs(shared), longs(who)], names=["token", "class"])
+
+
+def _wanted_sets(n: int, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of the classes in a broadcast bit set."""
+    only = np.frombuffer(wanted.value, np.uint8)
     for batch in batches:
         for _, tokens, first, own in _sets(batch, n):
-            tokens, sizes, own = _one_each(tokens, first, own)
+            tokens, sizes, own = _one_each(tokens, first, own, in_set(only, own))
             begin = np.cumsum(sizes) - sizes
             raw = [tokens[b : b + s].tobytes() for b, s in zip(begin, sizes, strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -222,7 +297,7 @@ def _wanted_sets(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 class _Cell:
     """Sets that may link, and for every order who has which prefix token."""
 
-    def __init__(self, sets: list[np.ndarray], levels: np.ndarray, percent: int, orders: int):
+    def __init__(self, sets: list[np.ndarray], levels: Rarity, percent: int, orders: int):
         self.sets, self.percent = sets, percent
         self.sizes = np.array([len(s) for s in sets], np.int64)
         joined = np.concatenate(sets)
@@ -355,24 +430,49 @@ def _cells(sets: DataFrame, percent: int, cell_tokens: int) -> DataFrame:
     return whole.select(columns).unionAll(placed.select(columns))
 
 
+def _stars(met: DataFrame, pair_rows: int) -> DataFrame:
+    """Classes of a token with many rows, each linked to the smallest of them."""
+    many = met.where((F.col("rows") > pair_rows) & (F.col("class") != F.col("hub")))
+    return many.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
+
+
+def _pairs(met: DataFrame, pair_rows: int, orders: int) -> DataFrame:
+    """Pairs of classes that meet in tokens with few rows under every order.
+
+    A token has at most ``pair_rows`` rows here, so a row makes less than that many pairs.
+    """
+    few = met.where(F.col("rows") <= pair_rows).groupBy("token").agg(F.collect_set("class").alias("who"))
+    pairs = F.flatten(F.transform("who", lambda a: F.transform(
+        F.filter("who", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    order = F.expr("shiftleft(1, cast(token & 3 as int))")
+    found = few.select(order.alias("order"), F.inline(pairs).alias("a", "b"))
+    every = found.groupBy("a", "b").agg(F.bit_or("order").alias("orders"))
+    return every.where(F.col("orders") == (1 << orders) - 1).select("a", "b")
+
+
 def classes(
     docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, orders: int = ORDERS,
-    cell_tokens: int = CELL_TOKENS, sketch_bits: int = SKETCH_BITS,
+    cell_tokens: int = CELL_TOKENS, sketch_bits: int = SKETCH_BITS, pair_rows: int = PAIR_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, class, n_shingles)`` per row, and ``(id, root)`` for every class that is not
     the root of its component."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     members = stage(texts.mapInArrow(lambda b: _classes(n, b), CLASSES))
-    levels = docs.sparkSession.sparkContext.broadcast(rarity(texts, n, sketch_bits))
-    rows = texts.mapInArrow(lambda b: _prefix_rows(n, percent, levels, b), PREFIXES)
-    hubs = rows.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("_last"))
-    hubs = beside(stage(hubs.where("hub < _last").select("token", "hub")))
-    near = rows.join(hubs, "token").where("class <> hub")
-    stars = stage(near.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct())
-    groups = components(stars)
+    context = docs.sparkSession.sparkContext
+    levels = context.broadcast(rarity(texts, n, sketch_bits))
+    rows = texts.mapInArrow(lambda b: _prefix_rows(n, percent, orders, levels, None, b), PREFIXES)
+    hubs = rows.groupBy("token").agg(
+        F.min("class").alias("hub"), F.max("class").alias("_last"), F.count(F.lit(1)).alias("rows")
+    )
+    hubs = stage(hubs.where("hub < _last").select("token", "hub", "rows"))
+    shared = context.broadcast(bit_set(hubs.select(F.col("token").alias("hash"))))
+    rows = texts.mapInArrow(lambda b: _prefix_rows(n, percent, orders, levels, shared, b), PREFIXES)
+    met = stage(rows.join(hubs, "token"))
+    groups = components(_stars(met, pair_rows).unionAll(_pairs(met, pair_rows, orders)))
     named = groups.unionAll(groups.select(F.col("root").alias("id"), "root").distinct())
-    named = beside(stage(named.select(F.col("id").alias("class"), F.col("root").alias("grp"))))
-    sets = texts.mapInArrow(lambda b: _wanted_sets(n, b), SETS).join(named, "class")
+    named = stage(named.select(F.col("id").alias("class"), F.col("root").alias("grp")))
+    wanted = context.broadcast(bit_set(named.select(F.col("class").alias("hash"))))
+    sets = texts.mapInArrow(lambda b: _wanted_sets(n, wanted, b), SETS).join(named, "class")
     # Copies in different places come with the same set; one of them is enough.
     sets = stage(sets.groupBy("class").agg(
         F.first("grp").alias("grp"), F.first("n").alias("n"), F.first("tokens").alias("tokens")))
@@ -383,11 +483,11 @@ def classes(
 
 def similar_groups(
     docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, orders: int = ORDERS,
-    cell_tokens: int = CELL_TOKENS, sketch_bits: int = SKETCH_BITS,
+    cell_tokens: int = CELL_TOKENS, sketch_bits: int = SKETCH_BITS, pair_rows: int = PAIR_ROWS,
 ) -> DataFrame:
     """Per row ``doc_id, class, n_shingles, component_id``: documents are linked when
     ``100 * |A and B| >= percent * |A or B|``; a component is named by its smallest id."""
-    members, roots = classes(docs, n, percent, orders, cell_tokens, sketch_bits)
+    members, roots = classes(docs, n, percent, orders, cell_tokens, sketch_bits, pair_rows)
     roots = beside(stage(roots)).withColumnRenamed("id", "class")
     placed = members.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     # Most components are one document; only the others have a name of their own to look up.

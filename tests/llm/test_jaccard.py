@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from clickloom.llm.jaccard import one_of_each, order_keys, prefix_sizes, shingle_sets, similar_groups
+from clickloom.llm.jaccard import Rarity, one_of_each, order_keys, prefix_sizes, shingle_sets, similar_groups
 
 SCHEMA = "doc_id long, text string, class string, root string"
 
@@ -58,10 +58,12 @@ def documents(seed):
     return rows
 
 
-@pytest.mark.parametrize("n, percent, cell_tokens, bits", [(4, 85, 2_000_000, 22), (4, 85, 200, 10), (2, 60, 100, 8), (5, 80, 60, 8)])
-def test_against_brute_force(spark, n, percent, cell_tokens, bits):
+@pytest.mark.parametrize("n, percent, cell_tokens, bits, pair_rows, orders", [
+    (4, 85, 2_000_000, 28, 16, 2), (4, 85, 200, 12, 1, 3), (2, 60, 100, 13, 3, 2), (5, 80, 60, 20, 1000, 2)])
+def test_against_brute_force(spark, n, percent, cell_tokens, bits, pair_rows, orders):
     rows = documents(n * percent)
-    assert run(spark, rows, n=n, percent=percent, cell_tokens=cell_tokens, sketch_bits=bits) == brute(rows, n, percent)
+    options = dict(cell_tokens=cell_tokens, sketch_bits=bits, pair_rows=pair_rows, orders=orders)
+    assert run(spark, rows, n=n, percent=percent, **options) == brute(rows, n, percent)
 
 
 def test_edges(spark):
@@ -82,7 +84,8 @@ def test_one_of_each(spark):
 
 def test_any_order_keeps_links():
     rng = np.random.default_rng(1)
-    levels = rng.integers(0, 30, 1 << 10).astype(np.uint8)
+    flags = rng.integers(0, 256, 1 << 9).astype(np.uint8).tobytes()
+    levels = Rarity(12, flags, rng.integers(0, 16, 1 << 6).astype(np.uint8))
     for _ in range(200):
         size = int(rng.integers(1, 60))
         a = rng.integers(1, 2**63, size, dtype=np.uint64)
