@@ -99,19 +99,21 @@ def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left @ right.T) / np.sqrt(np.maximum(sizes, 1))
 
 
-def fit(flags: np.ndarray, labels: list[str], landmarks: int, ridge: float, bits: int, n: int) -> Model:
-    """Kernel ridge regression on Nyström features. Rows come in the order in which landmarks
-    are to be taken; every language gets its share of them."""
+def fit(packed: np.ndarray, labels: list[str], landmarks: int, ridge: float, bits: int, n: int) -> Model:
+    """Kernel ridge regression on Nyström features. Rows of packed flags come in the order in
+    which landmarks are to be taken; every language gets its share of them. Only ``ROWS`` rows
+    are unpacked at a time."""
     languages = sorted(set(labels))
     named = np.array(labels, dtype=object)
     share = max(1, landmarks // max(1, len(languages)))
     chosen = np.concatenate([np.flatnonzero(named == name)[:share] for name in languages])
-    marks = flags[chosen]
+    marks = np.unpackbits(packed[chosen], axis=1)
     inner = kernel(marks, marks).astype(np.float64)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     use = values > 1e-6 * values.max()
     whiten = vectors[:, use] / np.sqrt(values[use])
-    features = kernel(flags, marks).astype(np.float64) @ whiten
+    blocks = (packed[k : k + ROWS] for k in range(0, len(packed), ROWS))
+    features = np.concatenate([kernel(np.unpackbits(b, axis=1), marks) for b in blocks]).astype(np.float64) @ whiten
     wanted = np.where(named[:, None] == np.array(languages, dtype=object)[None, :], 1.0, -1.0)
     # Every language weighs the same, however many rows it has.
     weight = np.array([1 / (named == name).sum() for name in labels])[:, None]
@@ -159,8 +161,8 @@ def train(
     found = sorted(((r.k, r.lang, bytes(r.flags)) for r in rows.collect()))
     if not found:
         return None
-    flags = np.unpackbits(np.frombuffer(b"".join(f for _, _, f in found), np.uint8).reshape(len(found), -1), axis=1)
-    return fit(flags, [name for _, name, _ in found], landmarks, ridge, bits, n)
+    packed = np.frombuffer(b"".join(f for _, _, f in found), np.uint8).reshape(len(found), -1)
+    return fit(packed, [name for _, name, _ in found], landmarks, ridge, bits, n)
 
 
 def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
