@@ -152,34 +152,35 @@ def _by_key(key: str, batches: Iterator[pa.RecordBatch], most: int | None) -> It
     """Groups of a stream sorted by ``key``; with ``most``, a group beyond that many rows comes
     in several parts, marked as such."""
     held: list[pa.RecordBatch] = []
-    count, cut = 0, False
+    count, cut, last = 0, False, None
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = batch.column(key).to_numpy(zero_copy_only=False)
         edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         for begin, end in zip([0, *edges], [*edges, len(keys)], strict=True):
-            if held and held[-1].column(key)[0].as_py() != keys[begin]:
-                yield pa.Table.from_batches(held), cut
-                held, count, cut = [], 0, False
+            if keys[begin] != last:
+                if held:
+                    yield pa.Table.from_batches(held), cut
+                held, count, cut, last = [], 0, False, keys[begin]
             held.append(batch.slice(begin, end - begin))
             count += end - begin
             if most is not None and count > most:
                 cut = True
                 yield pa.Table.from_batches(held), cut
-                held, count = [batch.slice(end - 1, 1)], 0
+                held, count = [], 0
     if held:
         yield pa.Table.from_batches(held), cut
 
 
-def _partnered(radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _partnered(radius: int, cell_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries that have another class within the radius in their bucket. Entries of a bucket
-    with more than ``CELL_ROWS`` all stay: the comparison of vectors decides."""
+    with more than ``cell_rows`` all stay: the comparison of vectors decides."""
 
     def emit(table: pa.Table, rows: np.ndarray) -> pa.RecordBatch:
         return table.select(["bucket", "home", "class"]).take(pa.array(rows)).combine_chunks().to_batches()[0]
 
-    for table, cut in _by_key("bucket", batches, CELL_ROWS):
+    for table, cut in _by_key("bucket", batches, cell_rows):
         home = table.column("home").to_numpy()
         rows = np.arange(table.num_rows)
         if not cut:
@@ -288,7 +289,7 @@ def linked_classes(
         return None
     entries = classes.select("class", "vector").mapInArrow(lambda b: _entries(model, b), ENTRIES)
     dealt = entries.repartition("bucket").sortWithinPartitions("bucket")
-    live = stage(dealt.mapInArrow(lambda b: _partnered(radius, b), "bucket bigint, home boolean, class bigint"))
+    live = stage(dealt.mapInArrow(lambda b: _partnered(radius, cell_rows, b), "bucket bigint, home boolean, class bigint"))
     counts = live.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
     big = counts.where(F.col("_n") > cell_rows).select("bucket", F.ceil(F.col("_n") / cell_rows).cast("int").alias("_p"))
     rows = live.join(beside(stage(big)), "bucket", "left").withColumn("_p", F.coalesce("_p", F.lit(1)))

@@ -1,7 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from clickloom.llm.embeddings import Quantiser, near_duplicates
+from clickloom.llm.embeddings import Quantiser, _by_key, near_duplicates
 
 SCHEMA = "vec_id long, embedding array<double>, class string, vector string"
 
@@ -89,3 +90,29 @@ def test_codes_are_balanced():
     sample = np.random.default_rng(3).standard_normal((2000, 64)) + 0.5
     bits = np.unpackbits(Quantiser(sample).codes(sample).view(np.uint8), axis=1)
     assert np.abs(bits.mean(axis=0) - 0.5).max() < 0.01
+
+
+def test_parts_of_a_group_hold_each_row_once():
+    keys = np.repeat([1, 2, 3], [5, 2100, 7])
+    whole = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.arange(len(keys)))], names=["key", "row"])
+    for step in (1, 700, 2053, 5000):
+        batches = [whole.slice(k, step) for k in range(0, len(keys), step)]
+        for most in (None, 1, 100, 2048, 2099):
+            parts = [(t.column("key").unique().to_pylist(), t.column("row").to_pylist(), cut)
+                     for t, cut in _by_key("key", iter(batches), most)]
+            assert [r for _, rows, _ in parts for r in rows] == list(range(len(keys)))
+            assert all(len(k) == 1 for k, _, _ in parts)
+            assert all(cut == (most is not None and (keys == k[0]).sum() > most) for k, _, cut in parts)
+
+
+@pytest.mark.parametrize("cell_rows", [2048, 50])
+def test_links_of_a_bucket_above_the_limit(spark, cell_rows):
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((6000, 64))
+    copies = base[0] + 1e-4 * rng.standard_normal((2100 if cell_rows == 2048 else 300, 64))
+    every = np.concatenate([base, copies])
+    units = every / np.linalg.norm(every, axis=1, keepdims=True)
+    want = (units @ units.T >= 0.9).sum(axis=1) - 1
+    got = run(spark, [(k, v.tolist()) for k, v in enumerate(every)], cell_rows=cell_rows)
+    assert all(g[1] <= want[g[0]] for g in got)
+    assert sum(g[1] for g in got) >= 0.9 * want.sum()
