@@ -3,14 +3,19 @@
 * Equal vectors are one class; only classes are compared.
 * On a bounded sample (``SAMPLE`` classes) rotations are learned that bring the centred vectors
   close to the corners of a cube (iterative quantisation), each from its own random start; bits
-  are cut at the median, so codes are balanced. ``ROTATIONS`` of them are joined to one code.
+  are cut at the median, so codes are balanced. Several are joined to one code.
 * A code is cut into ``SUBBITS``-bit pieces, one hash table each. A class stands in its bucket
   and asks in the buckets one bit away; a bit is only flipped upwards, so a pair meets once in a
   table. Pairs that differ in at most one bit of any piece are found; at cosine 0.9, where each
-  bit differs with probability 0.14, that is expected of about 95 % of pairs, of nearly all
-  above (``tests/llm`` measures it).
-* First only codes travel, and entries without a partner within ``RADIUS`` bits are dropped: one
-  row per entry, never pairs. Then the vectors of the remaining entries meet in their buckets and
+  bit differs with probability 0.14, eight tables find about 95 % of pairs, and nearly all above.
+* How many tables a length and its vectors need is measured when the quantiser is fitted: rows of
+  the sample that nothing was learned from meet neighbours made at exactly the asked cosine, and rotations are added until
+  ``TARGET`` of these pairs meet. Centring takes what all vectors share out of their cosines; where
+  ``MOST`` tables do not make up for that, less of the mean is taken off and bits are cut by random
+  planes through that centre, in the end the origin, where a bit depends on the angle alone.
+* First only codes travel, and entries without a partner within the radius are dropped: one row
+  per entry, never pairs. The radius is the mean distance of the neighbours' codes and four of
+  its standard deviations. Then the vectors of the remaining entries meet in their buckets and
   are compared exactly, in double precision. A pair found in several tables counts in the first.
 * A bucket with more than ``CELL_ROWS`` entries is cut into blocks that meet pairwise, each pair
   of blocks a cell of its own. Cells return links counted per class, and a spanning forest of
@@ -36,10 +41,13 @@ from clickloom.llm.tables import beside, read, stage
 
 COSINE = 0.9
 SAMPLE = 20_000
-ROTATIONS = 2
 ITERATIONS = 30
 SUBBITS = 16
-RADIUS = 32
+TABLES = 8  # to begin with
+MOST = 40
+TARGET = 0.93
+SHARES = (1.0, 0.75, 0.5, 0.25, 0.0)
+TRIALS = 4000
 CELL_ROWS = 2048
 
 MEMBERS = "vec_id bigint, class bigint, vector binary"
@@ -75,31 +83,64 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def neighbours(units: np.ndarray, cosine: float, rng: np.random.Generator) -> np.ndarray:
+    """For each unit vector another one at that cosine, in a random direction."""
+    if units.shape[1] == 1:
+        return units
+    side = rng.standard_normal(units.shape)
+    side -= (side * units).sum(axis=1, keepdims=True) * units
+    return cosine * units + np.sqrt(max(0.0, 1 - cosine**2)) * unit(side)
+
+
 class Quantiser:
-    """Rotations of centred unit vectors, and the thresholds that balance the bits."""
+    """Rotations of shifted unit vectors, thresholds of the bits, and the radius of the codes:
+    as many rotations as pairs at ``cosine`` need to meet."""
 
-    def __init__(self, vectors: np.ndarray, rotations: int = ROTATIONS, iterations: int = ITERATIONS, seed: int = 1):
-        rng = np.random.default_rng(seed)
+    def __init__(self, vectors: np.ndarray, cosine: float = COSINE, iterations: int = ITERATIONS, seed: int = 1):
+        rng, trial = np.random.default_rng(seed), np.random.default_rng([seed, 1])
         self.size = vectors.shape[1]
+        # All directions in whole pieces of a code.
+        width = -(-self.size // SUBBITS) * SUBBITS
         units = unit(vectors)
-        self.mean = units.mean(axis=0)
-        centred = units - self.mean
-        # As many principal directions as make whole pieces of a code, at least one piece.
-        _, directions = np.linalg.eigh(centred.T @ centred)
-        width = max(SUBBITS, self.size // SUBBITS * SUBBITS)
-        basis = directions[:, ::-1][:, :width]
-        reduced = centred @ basis
-        planes = []
-        for _ in range(rotations):
-            turn = np.linalg.qr(rng.standard_normal((reduced.shape[1], width)).T)[0].T[:, :width]
-            if reduced.shape[1] == width:
-                for _ in range(iterations):
+        mean = units.mean(axis=0)
+        # Rotations fit the rows they are learned from better than others: every fifth row is
+        # kept for the measure.
+        tried = np.arange(len(units)) % 5 == 0 if len(units) >= 50 else np.ones(len(units), bool)
+        shown = ~tried if len(units) >= 50 else tried
+        one = units[tried][trial.integers(0, tried.sum(), TRIALS)]
+        other = neighbours(one, cosine, trial)
+        for share in SHARES:
+            self.mean = share * mean
+            self.planes = np.zeros((self.size, 0))
+            self.cut = np.zeros(0)
+            shifted = units - self.mean
+            _, directions = np.linalg.eigh(shifted.T @ shifted)
+            basis = directions[:, ::-1]
+            reduced = shifted[shown] @ basis
+            learned = share == 1 and width == self.size
+            met = np.zeros(TRIALS, bool)
+            apart = np.zeros(TRIALS, np.int64)
+            while True:
+                turn = np.linalg.qr(rng.standard_normal((self.size, width)).T)[0].T
+                for _ in range(iterations if learned else 0):
                     corners = np.where(reduced @ turn >= 0, 1.0, -1.0)
                     left, _, right = np.linalg.svd(reduced.T @ corners)
                     turn = left @ right
-            planes.append(basis @ turn)
-        self.planes = np.concatenate(planes, axis=1)
-        self.cut = np.median(centred @ self.planes, axis=0)
+                planes = basis @ turn
+                cut = np.median(shifted @ planes, axis=0) if share == 1 else np.zeros(width)
+                bits = _pieces(one - self.mean, planes, cut) ^ _pieces(other - self.mean, planes, cut)
+                differ = np.bitwise_count(bits)
+                met |= (differ <= 1).any(axis=1)
+                apart += differ.sum(axis=1, dtype=np.int64)
+                self.planes = np.concatenate([self.planes, planes], axis=1)
+                self.cut = np.concatenate([self.cut, cut])
+                tables = len(self.cut) // SUBBITS
+                if tables >= TABLES and (met.mean() >= TARGET or tables >= MOST):
+                    break
+            if met.mean() >= TARGET:
+                break
+        self.recall = float(met.mean())
+        self.radius = int(np.ceil(apart.mean() + 4 * apart.std()))
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
         """Pieces of every code; a vector of another length is cut or filled up with zeros."""
@@ -108,9 +149,11 @@ class Quantiser:
             width = min(self.size, vectors.shape[1])
             fitted[:, :width] = vectors[:, :width]
             vectors = np.where(fitted.any(axis=1, keepdims=True), fitted, 1.0)
-        bits = (unit(vectors) - self.mean) @ self.planes > self.cut
-        packed = np.packbits(bits, axis=1, bitorder="little")
-        return packed.view(np.uint16) if packed.shape[1] % 2 == 0 else packed.astype(np.uint16)
+        return _pieces(unit(vectors) - self.mean, self.planes, self.cut)
+
+
+def _pieces(shifted: np.ndarray, planes: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    return np.packbits(shifted @ planes > cut, axis=1, bitorder="little").view(np.uint16)
 
 
 def _doubles(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -130,7 +173,9 @@ def _entries(model: Quantiser, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
             for begin in range(0, len(rows), 1000):
                 part = rows[begin : begin + 1000]
                 codes = model.codes(vectors[begin : begin + 1000])
-                raw = np.array([c.tobytes() for c in codes], object)
+                # Whole words, as _partnered reads them.
+                words = np.pad(codes, ((0, 0), (0, -codes.shape[1] % 4)))
+                raw = np.array([c.tobytes() for c in words], object)
                 who, tables = np.divmod(np.arange(codes.size), codes.shape[1])
                 own = codes.reshape(-1)
                 up, bit = np.nonzero((own[:, None] & raised[None, :]) == 0)
@@ -263,7 +308,7 @@ def _compared(cosine: float, model: Quantiser, batches: Iterator[pa.RecordBatch]
             )
 
 
-def _fitted(classes: DataFrame, sample: int) -> Quantiser | None:
+def _fitted(classes: DataFrame, sample: int, cosine: float) -> Quantiser | None:
     """A quantiser learned on about ``sample`` classes, of the length most of them have."""
     total = classes.count()
     if not total:
@@ -275,18 +320,19 @@ def _fitted(classes: DataFrame, sample: int) -> Quantiser | None:
     if not found:
         found = [(r["class"], bytes(r.vector)) for r in classes.limit(1).collect()]
     _, vectors = max(_doubles([v for _, v in found[: 2 * sample]]), key=lambda m: len(m[0]))
-    return Quantiser(vectors)
+    return Quantiser(vectors, cosine)
 
 
 def linked_classes(
-    classes: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, radius: int = RADIUS,
+    classes: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, radius: int | None = None,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame | None:
     """``(class, links, root)`` per cell with links; ``classes`` is a staged table of
-    ``class, n, vector``."""
-    model = _fitted(classes, sample)
+    ``class, n, vector``. Without a ``radius``, the quantiser's is taken."""
+    model = _fitted(classes, sample, cosine)
     if model is None:
         return None
+    radius = model.radius if radius is None else radius
     entries = classes.select("class", "vector").mapInArrow(lambda b: _entries(model, b), ENTRIES)
     dealt = entries.repartition("bucket").sortWithinPartitions("bucket")
     live = stage(dealt.mapInArrow(lambda b: _partnered(radius, cell_rows, b), "bucket bigint, home boolean, class bigint"))
@@ -306,7 +352,7 @@ def linked_classes(
 
 
 def near_duplicates(
-    vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, radius: int = RADIUS,
+    vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, radius: int | None = None,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Per row ``vec_id, class, n_links, component_id, kept``."""

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from clickloom.llm.embeddings import Quantiser, _by_key, near_duplicates
+from clickloom.llm.embeddings import Quantiser, _by_key, near_duplicates, neighbours
 
 SCHEMA = "vec_id long, embedding array<double>, class string, vector string"
 
@@ -116,3 +116,28 @@ def test_links_of_a_bucket_above_the_limit(spark, cell_rows):
     got = run(spark, [(k, v.tolist()) for k, v in enumerate(every)], cell_rows=cell_rows)
     assert all(g[1] <= want[g[0]] for g in got)
     assert sum(g[1] for g in got) >= 0.9 * want.sum()
+
+
+@pytest.mark.parametrize("size", [2, 16, 24, 48, 64, 100, 128, 256, 768])
+@pytest.mark.parametrize("shift", [0.0, 0.5, 1.0, 3.0])
+def test_recall_by_size_and_mean(size, shift):
+    """Of pairs at the bound, by the tables and the radius, with a mean that all vectors share."""
+    rng = np.random.default_rng(9)
+    if size == 768 and shift not in (0.0, 1.0):
+        return
+    drawn = rng.standard_normal((3500, size)) + shift
+    model = Quantiser(drawn[:1500], iterations=5 if size > 256 else 30)
+    a = drawn[1500:] / np.linalg.norm(drawn[1500:], axis=1, keepdims=True)
+    for cosine, least in ((0.9, 0.9), (0.95, 0.95), (0.99, 0.99)):
+        apart = np.bitwise_count(model.codes(a) ^ model.codes(neighbours(a, cosine, rng)))
+        assert ((apart <= 1).any(axis=1) & (apart.sum(axis=1) <= model.radius)).mean() >= least
+
+
+@pytest.mark.parametrize("size", [5, 16, 80])
+def test_sizes_against_brute_force(spark, size):
+    rng = np.random.default_rng(10)
+    base = rng.standard_normal((150, size))
+    every = np.concatenate([base, base[:50] + 0.1 * rng.standard_normal((50, size))])
+    rows = [(k, v.tolist()) for k, v in enumerate(every)]
+    want, got = brute(rows), run(spark, rows)
+    assert sum(w[1] for w in want) * 0.9 <= sum(g[1] for g in got) <= sum(w[1] for w in want)
