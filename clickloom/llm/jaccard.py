@@ -120,13 +120,14 @@ def _classes(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         for piece, _, first, own in _sets(batch, n):
             sizes = np.diff(first)
+            others = [c for c in piece.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column("doc_id"),
+                    *(piece.column(c) for c in others),
                     pa.array(own.view(np.int64), mask=sizes == 0),
                     pa.array(sizes, pa.int64()),
                 ],
-                names=["doc_id", "class", "n_shingles"],
+                names=[*others, "class", "n_shingles"],
             )
 
 
@@ -453,11 +454,13 @@ def _pairs(met: DataFrame, pair_rows: int, orders: int) -> DataFrame:
 def classes(
     docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, orders: int = ORDERS,
     cell_tokens: int = CELL_TOKENS, sketch_bits: int = SKETCH_BITS, pair_rows: int = PAIR_ROWS,
+    hashed: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, class, n_shingles)`` per row, and ``(id, root)`` for every class that is not
-    the root of its component."""
+    """``(doc_id, class, n_shingles)`` per row, ``hashed`` with the ``text_hash`` in front, and
+    ``(id, root)`` for every class that is not the root of its component."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    members = stage(texts.mapInArrow(lambda b: _classes(n, b), CLASSES))
+    rows = texts.select(F.xxhash64("text").alias("text_hash"), "*") if hashed else texts
+    members = stage(rows.mapInArrow(lambda b: _classes(n, b), "text_hash bigint, " * hashed + CLASSES))
     context = docs.sparkSession.sparkContext
     levels = context.broadcast(rarity(texts, n, sketch_bits))
     rows = texts.mapInArrow(lambda b: _prefix_rows(n, percent, orders, levels, None, b), PREFIXES)
@@ -502,12 +505,32 @@ def similar_groups(
 
 
 def one_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents that are the smallest of their component, all columns as they were; of rows
-    that repeat a document whole, and of documents without words, all stay."""
-    groups = similar_groups(docs, n, percent)
-    other = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__other")).distinct()
-    other = beside(stage(other))
-    return docs.join(other, F.col("doc_id").cast("bigint") == F.col("__other"), "left_anti")
+    """One row of each component, all columns as they were: the smallest by id, nulls last, then
+    by hash of the text; of rows that agree in both, the smallest by the other columns. Documents
+    without words all stay."""
+    members, roots = classes(docs, n, percent, hashed=True)
+    roots = beside(stage(roots)).withColumnRenamed("id", "class")
+    placed = members.where("class is not null").join(roots, "class", "left")
+    placed = placed.select("doc_id", "text_hash", F.coalesce("root", "class").alias("root"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    firsts = (
+        placed.groupBy("root").agg(F.count(F.lit(1)).alias("_n"), F.min(own).alias("_first"))
+        .where("_n > 1").select("root", "_first")
+    )
+    # Which rows of a group of several are the one to keep, and how often that one stands there.
+    judged = placed.join(beside(stage(firsts)), "root").groupBy("doc_id", "text_hash").agg(
+        F.bool_or(own == F.col("_first")).alias("_keep"), F.count(F.lit(1)).alias("_n")
+    )
+    judged = stage(judged.where("not _keep or _n > 1").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), F.col("_keep").alias("__keep")
+    ))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text"))
+    left = docs.join(beside(judged), same, "left_anti")
+    repeated = judged.where("__keep")
+    if repeated.isEmpty():
+        return left
+    again = docs.join(beside(stage(repeated)), same).groupBy("__id", "__text")
+    return left.unionByName(again.agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,6 +82,19 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 6, 7]
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    words, other, third = (" ".join(f"{c}{k}" for k in range(100)) for c in "wxy")
+    rows = [(1, words, "c", "r"), (2, words + " more", "c", "r"), (2, other, "c", "r"),
+            (None, words + " end", "c", "r"), (None, third, "c", "r"), (None, third + " more", "c", "r"),
+            (9, "alone here", "d", "r"), (9, "alone here", "c", "r"), (9, "alone here", "c", "r"),
+            (3, other + " more", "c", "r"), (None, None, "c", "r"), (None, None, "c", "r")]
+    for shuffled in (rows, rows[::-1]):
+        kept = one_of_each(spark.createDataFrame(shuffled, SCHEMA).repartition(3))
+        got = sorted((r.doc_id is None, r.doc_id or 0, (r.text or "")[:2], r["class"]) for r in kept.collect())
+        assert got == [(False, 1, "w0", "c"), (False, 2, "x0", "c"), (False, 9, "al", "c"),
+                       (True, 0, "", "c"), (True, 0, "", "c"), (True, 0, "y0", "c")]
+
+
 def test_any_order_keeps_links():
     rng = np.random.default_rng(1)
     flags = rng.integers(0, 256, 1 << 9).astype(np.uint8).tobytes()
