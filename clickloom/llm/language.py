@@ -6,11 +6,12 @@ landmarks turn it into features, one ridge regression per language (one against
 fitted on them, and texts are scored in batches by two matrix products: presence by landmark
 presence, then kernel by coefficients.
 
-N-grams are hashed into ``2 ** BITS`` cells. Training reads a bounded sample: at most
-``PER_LANGUAGE`` labelled texts of each of the ``LANGUAGES`` most frequent labels, chosen by a
-hash of the id; presence of n-grams is found in the tasks, and only those bit sets, at most
-``LANGUAGES * PER_LANGUAGE * 2 ** BITS / 8`` bytes, come to the driver. Prediction is one pass
-over whole texts without a shuffle.
+N-grams are hashed into ``2 ** BITS`` cells. Every label is learned. Training reads a sample of
+about ``ROWS_IN_ALL`` labelled texts, at most ``PER_LANGUAGE`` and at least ``FEWEST`` of each
+label (or all it has), chosen by a hash of the id; presence of n-grams is found in the tasks, and
+only those bit sets, ``2 ** BITS / 8`` bytes each, come to the driver. A label has at least one
+landmark, so with more than ``LANDMARKS`` labels the model grows with them. Prediction is one
+pass over whole texts without a shuffle.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without training
 rows every text is; ties go to the first language in order of names; repeated rows are answered
@@ -34,7 +35,8 @@ N = 3
 BITS = 15
 PER_LANGUAGE = 400
 LANDMARKS = 128
-LANGUAGES = 64
+ROWS_IN_ALL = 25_600
+FEWEST = 8
 RIDGE = 1e-3
 UNKNOWN = "und"
 # Texts per matrix product.
@@ -116,7 +118,9 @@ def fit(packed: np.ndarray, labels: list[str], landmarks: int, ridge: float, bit
     features = np.concatenate([kernel(np.unpackbits(b, axis=1), marks) for b in blocks]).astype(np.float64) @ whiten
     wanted = np.where(named[:, None] == np.array(languages, dtype=object)[None, :], 1.0, -1.0)
     # Every language weighs the same, however many rows it has.
-    weight = np.array([1 / (named == name).sum() for name in labels])[:, None]
+    number = {name: k for k, name in enumerate(languages)}
+    place = np.array([number[name] for name in labels])
+    weight = (1 / np.bincount(place))[place][:, None]
     square = features.T @ (features * weight) + ridge * np.eye(features.shape[1])
     solved = np.linalg.solve(square, features.T @ (wanted * weight))
     return Model(languages, np.packbits(marks, axis=1), bits, n, (whiten @ solved).astype(np.float32))
@@ -126,14 +130,15 @@ def held_out(doc_id) -> object:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _sampled(docs: DataFrame, per_language: int, most_languages: int) -> DataFrame:
-    """Rows to learn from, ``lang, text, _r``: by hash, about twice as many per language as
+def _sampled(docs: DataFrame, per_language: int, rows_in_all: int) -> DataFrame:
+    """Rows to learn from, ``lang, text, _r``: by hash, more than twice as many per language as
     wanted, then cut to the number. The counts that set the rates need no text."""
     rows = docs.where("lang is not null and text is not null and doc_id is not null")
     rows = rows.where(~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    rates = counts.orderBy(F.desc("_n"), "lang").limit(most_languages)
-    rates = beside(stage(rates.select("lang", (2.0 * per_language / F.col("_n")).alias("_rate"))))
+    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
+    per_language = min(per_language, max(FEWEST, rows_in_all // max(1, counts.count())))
+    # The 30 more see that no label is left without rows when few are wanted.
+    rates = stage(counts.select("lang", ((2.0 * per_language + 30) / F.col("_n")).alias("_rate")))
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(1 << 30)) / float(1 << 30)
     picked = rows.select("lang", "text", draw.alias("_r"), F.col("doc_id").cast("bigint").alias("_id"))
     picked = picked.join(beside(rates), "lang").where("_r < _rate").drop("_rate")
@@ -143,7 +148,7 @@ def _sampled(docs: DataFrame, per_language: int, most_languages: int) -> DataFra
 
 def train(
     docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS,
-    most_languages: int = LANGUAGES, ridge: float = RIDGE, bits: int = BITS, n: int = N,
+    rows_in_all: int = ROWS_IN_ALL, ridge: float = RIDGE, bits: int = BITS, n: int = N,
 ) -> Model | None:
     """A model of the labelled documents that are not held out; None if there are none."""
 
@@ -156,7 +161,7 @@ def train(
                 names=["lang", "k", "flags"],
             )
 
-    sample = _sampled(docs, per_language, most_languages)
+    sample = _sampled(docs, per_language, rows_in_all)
     rows = sample.mapInArrow(flagged, "lang string, k int, flags binary").where("flags is not null")
     found = sorted(((r.k, r.lang, bytes(r.flags)) for r in rows.collect()))
     if not found:

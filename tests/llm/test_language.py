@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +53,17 @@ def test_presence_of_long_texts():
     text = "abc déf " * 300_000
     assert (language.presence(text) == language.presence(text[:800])).all()
     assert language.presence("12 3") is None and language.presence(None) is None
+
+
+def test_every_label_is_learned(spark):
+    """More labels than rows in all allow at the usual number, each with letters of its own."""
+    def text(label, k):
+        rng = random.Random(100 * label + k)
+        return " ".join(chr(0x4E00 + 20 * label + rng.randrange(20)) * 2 for _ in range(80))
+
+    rows = [(1000 * label + k, text(label, k), f"l{label:03}", 1.0, "f") for label in range(150) for k in range(30 - label // 8)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    model = language.train(frame, rows_in_all=600)
+    assert model.languages == sorted({r[2] for r in rows}) and len(model.landmarks) >= 150
+    found = {r.doc_id: r.lang_pred for r in language.identify(frame, model).collect()}
+    assert sum(found[r[0]] == r[2] for r in rows) >= 0.99 * len(rows)
