@@ -7,6 +7,7 @@ from clickloom.llm.chat import OP7_SQL, op7_chat_format
 from clickloom.llm.decontaminate import OP6_SQL, op6_decontaminate
 from clickloom.llm.embeddings import OP8_SQL, op8_embedding_dedup
 from clickloom.llm.html import op10_html_text
+from clickloom.llm.infill import OP11_SQL, op11_fill_in_middle
 from clickloom.llm.jaccard import OP9_SQL, op9_jaccard_join
 from clickloom.llm.language import op1_language_id
 from clickloom.llm.lines import OP3_SQL, op3_line_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_html_text": op10_html_text,
+    "op11_fill_in_middle": op11_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op7_chat_format": OP7_SQL,
     "op8_embedding_dedup": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
+    "op11_fill_in_middle": OP11_SQL,
 }
