@@ -12,6 +12,7 @@ from clickloom.llm.jaccard import OP9_SQL, op9_jaccard_join
 from clickloom.llm.language import op1_language_id
 from clickloom.llm.lines import OP3_SQL, op3_line_dedup
 from clickloom.llm.mixing import op4_mixing
+from clickloom.llm.periodic import OP13_SQL, op13_periodic_runs
 from clickloom.llm.substrings import OP5_SQL, op5_substring_dedup
 from clickloom.llm.warc import OP2_SQL, op2_warc
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_html_text": op10_html_text,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -39,4 +41,5 @@ ORACLE_SQL = {
     "op8_embedding_dedup": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
     "op11_fill_in_middle": OP11_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
