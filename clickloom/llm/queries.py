@@ -14,6 +14,7 @@ from clickloom.llm.lines import OP3_SQL, op3_line_dedup
 from clickloom.llm.mixing import op4_mixing
 from clickloom.llm.periodic import OP13_SQL, op13_periodic_runs
 from clickloom.llm.substrings import OP5_SQL, op5_substring_dedup
+from clickloom.llm.toxicity import op12_toxicity
 from clickloom.llm.warc import OP2_SQL, op2_warc
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_html_text": op10_html_text,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_toxicity": op12_toxicity,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
