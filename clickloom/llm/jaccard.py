@@ -55,7 +55,9 @@ PAIR_ROWS = 16
 # Cells of the rarity sketch: one bit each when it is sent to the tasks, and one byte for 64.
 SKETCH_BITS = 28
 PART_BITS = 6
-SKETCH_TOKENS = 4_000_000
+SKETCH_TOKENS = 1_000_000
+# Text split at a time: a task holds some forty times as much for that.
+PIECE_BYTES = 500_000
 CELL_TOKENS = 2_000_000
 
 CLASSES = "doc_id bigint, class bigint, n_shingles bigint"
@@ -111,7 +113,7 @@ def class_ids(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple]:
-    for piece in pieces(batch, "text"):
+    for piece in pieces(batch, "text", PIECE_BYTES):
         tokens, first = shingle_sets(piece.column("text"), n)
         yield piece, tokens, first, class_ids(tokens, first)
 
@@ -480,8 +482,11 @@ def classes(
     sets = stage(sets.groupBy("class").agg(
         F.first("grp").alias("grp"), F.first("n").alias("n"), F.first("tokens").alias("tokens")))
     cells = _cells(sets, percent, cell_tokens).repartition("cell").sortWithinPartitions("cell")
-    links = cells.mapInArrow(lambda b: _cell_edges(levels, percent, orders, b), EDGES)
-    return members, components(stage(links))
+    links = stage(cells.mapInArrow(lambda b: _cell_edges(levels, percent, orders, b), EDGES))
+    # All that was made of them is written: the tasks that follow need none of them again.
+    for sent in (levels, shared, wanted):
+        sent.destroy()
+    return members, components(links)
 
 
 def similar_groups(

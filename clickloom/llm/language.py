@@ -37,6 +37,11 @@ PER_LANGUAGE = 400
 LANDMARKS = 128
 ROWS_IN_ALL = 25_600
 FEWEST = 8
+# Labelled rows that set the least overlap with the learned languages, which of their overlaps is
+# looked at, and the share of it that is enough.
+JUDGED = 4_000
+RARE = 0.002
+MARGIN = 0.7
 RIDGE = 1e-3
 UNKNOWN = "und"
 # Texts per matrix product.
@@ -177,6 +182,7 @@ def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator
         for piece in pieces(batch, "text"):
             texts = piece.column("text")
             names, scores = [UNKNOWN] * piece.num_rows, np.zeros(piece.num_rows)
+            overlaps = np.zeros(piece.num_rows)
             for begin in range(0, piece.num_rows if model else 0, ROWS):
                 part = texts.slice(begin, ROWS).to_pylist()
                 sets = [presence(t, model.bits, model.n) for t in part]
@@ -184,7 +190,9 @@ def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator
                 if not rows:
                     continue
                 flags = np.stack([sets[k] for k in rows]).astype(np.float32)
-                near = (flags @ marks.T) / np.sqrt(np.maximum(np.outer(flags.sum(axis=1), sizes), 1))
+                both, own = flags @ marks.T, flags.sum(axis=1)
+                near = both / np.sqrt(np.maximum(np.outer(own, sizes), 1))
+                overlaps[[begin + k for k in rows]] = both.max(axis=1) / own
                 value = near @ model.coefficients
                 best = value.argmax(axis=1)
                 for k, b, v in zip(rows, best, value.max(axis=1), strict=True):
@@ -192,27 +200,44 @@ def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator
                     scores[begin + k] = min(1.0, max(0.0, (float(v) + 1) / 2))
             yield pa.RecordBatch.from_arrays(
                 [*(piece.column(c) for c in piece.schema.names if c != "text"),
-                 pa.array(names, pa.string()), pa.array(scores)],
-                names=[*(c for c in piece.schema.names if c != "text"), "lang_pred", "score"],
+                 pa.array(names, pa.string()), pa.array(scores), pa.array(overlaps)],
+                names=[*(c for c in piece.schema.names if c != "text"), "lang_pred", "score", "overlap"],
             )
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Per row ``doc_id, text_hash, lang_pred, score``; the score is that of the best language,
-    its regression target -1 to 1 mapped to 0 to 1."""
+    """Per row ``doc_id, text_hash, lang_pred, score, overlap``; the score is that of the best
+    language, its regression target -1 to 1 mapped to 0 to 1; the overlap is the share of the text's
+    n-grams that the landmark nearest in this sense has."""
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
     return texts.mapInArrow(
-        lambda b: _predict(model, b), "doc_id bigint, text_hash bigint, lang_pred string, score double"
+        lambda b: _predict(model, b),
+        "doc_id bigint, text_hash bigint, lang_pred string, score double, overlap double",
     )
 
 
-def in_known_language(docs: DataFrame, model: Model | None = None, least: float = 0.0) -> DataFrame:
-    """The documents whose language is known with a score above ``least``, all columns as they
-    were. Rows that agree in id and text are judged alike."""
-    judged = identify(docs, model or train(docs))
-    bad = judged.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") <= least))
+def least_overlap(docs: DataFrame, model: Model, rows: int = JUDGED, margin: float = MARGIN) -> float:
+    """The overlap below which a text is in no learned language: ``margin`` times the ``RARE``
+    quantile among about ``rows`` labelled rows that are held out; 0 if there are none."""
+    held = docs.where("lang is not null and text is not null").where(held_out(F.col("doc_id")))
+    rate = rows / max(1, held.count())
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(1 << 30)) / float(1 << 30)
+    judged = identify(held.where(draw < rate), model).where(F.col("lang_pred") != UNKNOWN)
+    found = judged.agg(F.percentile("overlap", F.lit(RARE))).first()[0]
+    return margin * (found or 0.0)
+
+
+def in_known_language(docs: DataFrame, model: Model | None = None, least: float | None = None) -> DataFrame:
+    """The documents in a learned language, all columns as they were: those with letters whose
+    overlap reaches ``least``, by default that of ``least_overlap``. Rows that agree in id and text
+    are judged alike."""
+    model = model or train(docs)
+    if least is None:
+        least = least_overlap(docs, model) if model else 0.0
+    judged = identify(docs, model)
+    bad = judged.where((F.col("lang_pred") == UNKNOWN) | (F.col("overlap") < least))
     bad = beside(stage(bad.select("doc_id", "text_hash").distinct()))
     bad = bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
     return docs.join(

@@ -67,3 +67,25 @@ def test_every_label_is_learned(spark):
     assert model.languages == sorted({r[2] for r in rows}) and len(model.landmarks) >= 150
     found = {r.doc_id: r.lang_pred for r in language.identify(frame, model).collect()}
     assert sum(found[r[0]] == r[2] for r in rows) >= 0.99 * len(rows)
+
+
+def test_texts_in_no_learned_language_go(spark, model):
+    """Clean documents of every length stay; other alphabets and strings of consonants go."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    least = language.least_overlap(docs, model)
+    assert 0.3 < least < 0.7
+    odd = ["漢字 仮名 交じり 文 " * 20, "привет мир это текст " * 20, "αβγ δε", "xqzk wvvq kqxz zzq " * 20, "12"]
+    extra = spark.createDataFrame([(-1 - k, t, "xx") for k, t in enumerate(odd)], docs.schema)
+    kept = language.in_known_language(docs.unionByName(extra), model, least)
+    assert kept.where("doc_id < 0").count() == 0
+    assert kept.count() == docs.count()
+    assert language.least_overlap(docs.limit(0), model) == 0
+
+
+def test_overlap_is_the_share_of_common_grams(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(20)
+    got = {r.doc_id: r.overlap for r in language.identify(docs, model).collect()}
+    marks = [set(i for i, bit in enumerate(m) if bit) for m in language.np.unpackbits(model.landmarks, axis=1)]
+    for row in docs.collect():
+        own = set(language.np.flatnonzero(language.presence(row.text, model.bits, model.n)))
+        assert got[row.doc_id] == pytest.approx(max(len(own & m) / len(own) for m in marks), abs=1e-6)
