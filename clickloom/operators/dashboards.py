@@ -65,6 +65,11 @@ def funnel(events: DataFrame) -> DataFrame:
     counted = events.where(F.col("event_type").isin(*FUNNEL_STAGES)).agg(
         *[F.count(F.when(F.col("event_type") == s, 1)).alias(s) for s in FUNNEL_STAGES]
     )
+    return funnel_of(counted)
+
+
+def funnel_of(counted: DataFrame) -> DataFrame:
+    """The funnel from one row with the count of every stage."""
     rows = []
     previous = None
     for position, stage in enumerate(FUNNEL_STAGES, start=1):
@@ -89,6 +94,10 @@ def top_products(events: DataFrame, limit: int = 10) -> DataFrame:
     counts = events.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
         F.count(F.lit(1)).alias("events")
     )
+    return top_of(counts, limit)
+
+
+def top_of(counts: DataFrame, limit: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("events"), "product_id").limit(limit)
 
 
@@ -97,6 +106,11 @@ def device_share(events: DataFrame) -> DataFrame:
     counts = events.where(F.col("device_type").isNotNull()).groupBy("device_type").agg(
         F.count(F.lit(1)).alias("events")
     )
+    return share_of(counts)
+
+
+def share_of(counts: DataFrame) -> DataFrame:
+    """Few rows, one per device type, so one window over all of them."""
     total = F.sum("events").over(Window.partitionBy())
     return counts.withColumn("share", F.round(F.col("events") / total, 6))
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.functions import document_id, iso_parse, utc_day
 from clickloom.plans import delete_folder
+from clickloom.sinks.keyed import merge_counts, read_counts
 
 # The envelope of a record, and its names in a document.
 ENVELOPE = {
@@ -24,6 +25,7 @@ ENVELOPE = {
     "timestamp": "kafka_timestamp",
 }
 COMPACTED = "compacted"
+DAYS = "days"
 
 
 def typed_documents(events: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
@@ -130,3 +132,24 @@ def compact_documents(spark: SparkSession, path: str) -> int:
     for row in folders:
         delete_folder(spark, f"{path}/index_date={row.index_date}/delivery={row.delivery}")
     return len(folders)
+
+
+def count_days(spark: SparkSession, path: str, delivery: str, counts: str, refresh: int) -> None:
+    """Bring the number of documents per day up to date after a delivery, at the keyed table ``counts``.
+
+    Only the days of the delivery change, and only their ids are read: a document that was there
+    before, in another delivery or an earlier run of this one, counts once. Counting a day anew
+    rather than adding to its count needs no order among deliveries, so replays are harmless.
+    """
+    stored = _stored(spark, path)
+    # Partition values: they come from the listing, no file is opened for them.
+    days = stored.where(F.col("delivery") == delivery).select("index_date").distinct()
+    ids = stored.select("index_date", "doc_id").join(F.broadcast(days), "index_date", "left_semi").distinct()
+    counted = ids.groupBy("index_date").agg(F.count(F.lit(1)).alias("events"))
+    merge_counts(counted.select(F.lit(DAYS).alias("view"), F.col("index_date").alias("key"), "events"), counts, refresh)
+
+
+def read_day_counts(spark: SparkSession, counts: str) -> DataFrame:
+    """``daily_index_counts`` as far as the deliveries have been counted."""
+    found = read_counts(spark, counts, DAYS)
+    return found.select(F.col("key").alias("index_date"), F.col("events").alias("documents"))

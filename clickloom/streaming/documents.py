@@ -7,22 +7,35 @@ from concurrent.futures import Future
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.sinks.documents import append_documents
+from clickloom.sinks.documents import append_documents, compact_documents, count_days
 from clickloom.streaming.queries import triggered
 
 
 def start_documents(
-    documents: DataFrame, path: str, checkpoint: str, interval: str | None = None
+    documents: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = None,
+    compact_every: int | None = None,
+    counts: str | None = None,
 ) -> StreamingQuery:
     """Write typed documents batch by batch; a repeated batch replaces its own partitions.
 
     Deliveries carry the query's id, which lives in its checkpoint: a new checkpoint is a new
-    writer, so its batches, numbered from 0 again, replace nothing.
+    writer, so its batches, numbered from 0 again, replace nothing. Every ``compact_every``
+    batches the table is compacted, so that its folders stay few. At ``counts``, a keyed table,
+    the documents of every day that a batch touches are counted again.
     """
     started: Future[str] = Future()
-    writer = documents.writeStream.foreachBatch(
-        lambda batch, batch_id: append_documents(batch, path, batch_id, started.result())
-    ).option("checkpointLocation", checkpoint)
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        delivery = append_documents(batch, path, batch_id, started.result())
+        if counts is not None:
+            count_days(batch.sparkSession, path, delivery, counts, batch_id)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_documents(batch.sparkSession, path)
+
+    writer = documents.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     query = triggered(writer, interval).start()
     started.set_result(str(query.id))
     return query

@@ -1,8 +1,13 @@
 """Purchase intents and their alerts on a stream.
 
-State is keyed by account: the account's live intents by product, and a lower bound of the
-session numbers at which undiscounted ones started. The bound tells, without touching
-the intents, that an event's session cannot set off a discount.
+State is keyed by account: the account's live intents by product, and the undiscounted ones again
+by the number of the session that they started in. An event discounts all that started in a lesser
+session, so whatever waits after it started in its own session or a greater one, and what
+it opens itself goes on top: the numbers form a stack, least first. Discounted intents and those
+that are too young are never read, however many there are.
+
+``open_intents_at`` reads the state of a running, or stopped, query from its checkpoint, and
+``stream_alerts`` can start from the snapshot that a batch job left.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickloom import schema as S
@@ -21,84 +26,150 @@ _INTENT = (
     "attempts bigint, discounted boolean"
 )
 _ORIGIN, _SESSION, _NUMBER, _TIME, _ATTEMPTS, _DISCOUNTED = range(6)
+# Products that one state value lists.
+_LISTED = 64
 
 
-class _Intents:
-    """The account's intents during one micro-batch: read on demand, written once."""
+class _Cached:
+    """A map state during one micro-batch: read on demand, written once."""
 
     def __init__(self, stored) -> None:
         self._stored = stored
-        self._known: dict[str, tuple | None] = {}
-        self._changed: set[str] = set()
+        self._known: dict[tuple, tuple | None] = {}
+        self._changed: set[tuple] = set()
+
+    def get(self, *key) -> tuple | None:
+        if key not in self._known:
+            found = self._stored.getValue(key)
+            self._known[key] = None if found is None else tuple(found)
+        return self._known[key]
+
+    def put(self, value: tuple | None, *key) -> None:
+        self._known[key] = value
+        self._changed.add(key)
+
+    def write(self) -> None:
+        for key in self._changed:
+            value = self._known[key]
+            if value is not None:
+                self._stored.updateValue(key, value)
+            elif self._stored.containsKey(key):
+                self._stored.removeKey(key)
+
+
+class _Waiting:
+    """Products of undiscounted intents by start session number, the least number first.
+
+    ``levels`` has for every number the next greater one and the number of lists, ``lists`` the
+    products. A product stays listed when its intent ends otherwise; whoever takes it looks.
+    """
 
-    def get(self, product: str) -> tuple | None:
-        if product not in self._known:
-            self._known[product] = self._stored.getValue((product,))
-        return self._known[product]
+    def __init__(self, levels, lists, head) -> None:
+        self._levels, self._lists = _Cached(levels), _Cached(lists)
+        self._stored_head = head
+        (self._was,) = head.get() or (None,)
+        self.head: int | None = self._was
 
-    def put(self, product: str, intent: tuple | None) -> None:
-        self._known[product] = intent
-        self._changed.add(product)
+    def add(self, number: int, product: str) -> None:
+        above, at = None, self.head
+        # Only a snapshot is added out of order; else the first number is not less.
+        while at is not None and at < number:
+            above, at = at, self._levels.get(at)[0]
+        if at != number:
+            self._levels.put((at, 1), number)
+            self._lists.put(([product],), number, 0)
+            if above is None:
+                self.head = number
+            else:
+                self._levels.put((number, self._levels.get(above)[1]), above)
+            return
+        after, parts = self._levels.get(number)
+        products = list(self._lists.get(number, parts - 1)[0])
+        if len(products) < _LISTED:
+            self._lists.put(([*products, product],), number, parts - 1)
+        else:
+            self._levels.put((after, parts + 1), number)
+            self._lists.put(([product],), number, parts)
 
-    def live(self) -> list[tuple[str, tuple]]:
-        for (product,), intent in self._stored.iterator():
-            self._known.setdefault(product, intent)
-        return [(p, i) for p, i in self._known.items() if i is not None]
+    def take(self, number: int) -> Iterator[tuple[int, str]]:
+        """Remove and return what started in a session less than ``number``."""
+        while self.head is not None and self.head < number:
+            start = self.head
+            self.head, parts = self._levels.get(start)
+            self._levels.put(None, start)
+            for part in range(parts):
+                for product in self._lists.get(start, part)[0]:
+                    yield start, product
+                self._lists.put(None, start, part)
 
     def write(self) -> None:
-        for product in self._changed:
-            intent = self._known[product]
-            if intent is not None:
-                self._stored.updateValue((product,), intent)
-            elif self._stored.containsKey((product,)):
-                self._stored.removeKey((product,))
+        self._levels.write()
+        self._lists.write()
+        if self.head != self._was:
+            self._stored_head.clear() if self.head is None else self._stored_head.update((self.head,))
 
 
 class IntentTracker(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._stored = handle.getMapState("intents", "product_id string", _INTENT)
-        self._bound = handle.getValueState("bound", "session_no int")
+        self._levels = handle.getMapState("levels", "session_no int", "above int, parts int")
+        self._lists = handle.getMapState("lists", "session_no int, part int", "products array<string>")
+        self._head = handle.getValueState("head", "session_no int")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Take over intents that a batch job has left open."""
+        intents, waiting = _Cached(self._stored), _Waiting(self._levels, self._lists, self._head)
+        rows = initialState.sort_values("start_session_no", ascending=False)
+        columns = ["product_id", "origin", "start_session_id", "start_session_no", "start_time", "attempts", "discounted"]
+        for product, origin, session, number, time, attempts, discounted in zip(*(rows[c] for c in columns)):
+            if product is None:
+                continue
+            intents.put((origin, session, int(number), time, int(attempts), bool(discounted)), product)
+            if not discounted:
+                waiting.add(int(number), product)
+        intents.write()
+        waiting.write()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # Rows count in the order of seq, which chunks need not follow; their number is bounded
+        # by the source's limit per micro-batch, and seven narrow columns are kept of each.
         batch = pd.concat(list(rows)).sort_values("seq")
         # Without an effect of its own, a row counts only where the session changes.
         acts = batch["event_type"].isin(S.ACTING_TYPES) & batch["product_id"].notna()
         batch = batch[acts | batch["session_no"].diff().ne(0)]
-        intents = _Intents(self._stored)
-        (stored_bound,) = self._bound.get() or (None,)
-        bound = stored_bound
+        intents, waiting = _Cached(self._stored), _Waiting(self._levels, self._lists, self._head)
         alerts: list[dict] = []
         columns = ["seq", "event_type", "product_id", "session_id", "event_time", "session_no"]
         for seq, kind, product, session, time, number in zip(*(batch[c] for c in columns)):
-            if bound is not None and number > bound:
-                bound = self._discount(intents, seq, session, number, alerts)
+            number = int(number)
+            self._discount(intents, waiting, seq, session, number, alerts)
             if product is None or kind not in S.ACTING_TYPES:
                 continue
+            before = intents.get(product)
             alert = self._act(intents, kind, product, session, time, number)
             if alert is not None:
                 alerts.append({"product_id": product, "seq": seq, **alert})
             opened = intents.get(product)
-            if opened is not None and not opened[_DISCOUNTED]:
-                bound = opened[_NUMBER] if bound is None else min(bound, opened[_NUMBER])
+            # One that waits with the same number already is listed.
+            listed = before is not None and not before[_DISCOUNTED] and before[_NUMBER] == number
+            if opened is not None and not opened[_DISCOUNTED] and opened is not before and not listed:
+                if opened[_NUMBER] == number and (before is None or kind in S.CAPTURE_TYPES):
+                    waiting.add(number, product)
         intents.write()
-        if bound != stored_bound:
-            self._bound.clear() if bound is None else self._bound.update((int(bound),))
+        waiting.write()
         if alerts:
             yield pd.DataFrame(alerts).assign(acc_id=key[0]).reindex(
                 columns=S.ALERT_COLUMNS
             ).astype({"checkout_attempts": "Int64"}).astype(object).where(lambda d: d.notna(), None)
 
     @staticmethod
-    def _discount(intents, seq, session, number, alerts) -> int | None:
-        """Discount what started in a lesser session; the least start of the rest."""
-        waiting = []
-        for product, intent in intents.live():
-            if intent[_DISCOUNTED]:
+    def _discount(intents: _Cached, waiting: _Waiting, seq, session, number: int, alerts: list) -> None:
+        """Discount what started in a lesser session."""
+        for start, product in waiting.take(number):
+            intent = intents.get(product)
+            if intent is None or intent[_DISCOUNTED] or intent[_NUMBER] != start:
                 continue
-            if number <= intent[_NUMBER]:
-                waiting.append(intent[_NUMBER])
-                continue
-            intents.put(product, intent[:_DISCOUNTED] + (True,))
+            intents.put(intent[:_DISCOUNTED] + (True,), product)
             alerts.append(
                 {
                     "alert_type": S.DYNAMIC_PRICING,
@@ -109,14 +180,13 @@ class IntentTracker(StatefulProcessor):
                     "current_session_id": session,
                 }
             )
-        return min(waiting, default=None)
 
     @staticmethod
     def _act(intents, kind, product, session, time, number) -> dict | None:
         intent = intents.get(product)
         fresh = (kind, session, int(number), time, 0, False)
         if kind in S.CAPTURE_TYPES:
-            intents.put(product, fresh)
+            intents.put(fresh, product)
             return {
                 "alert_type": S.INTENT_CAPTURED,
                 "action": kind,
@@ -126,7 +196,7 @@ class IntentTracker(StatefulProcessor):
         if kind == S.CHECKOUT:
             intent = intent or fresh
             attempts = intent[_ATTEMPTS] + 1
-            intents.put(product, intent[:_ATTEMPTS] + (attempts,) + intent[_DISCOUNTED:])
+            intents.put(intent[:_ATTEMPTS] + (attempts,) + intent[_DISCOUNTED:], product)
             if attempts < 2:
                 return None
             return {
@@ -136,17 +206,29 @@ class IntentTracker(StatefulProcessor):
             }
         if intent is None:
             return None
-        intents.put(product, None)
+        intents.put(None, product)
         if kind == S.PURCHASE:
             return {"alert_type": S.CONVERSION_SUCCESS, "checkout_attempts": intent[_ATTEMPTS]}
         return {"alert_type": S.CART_REMOVED}
 
 
-def stream_alerts(events: DataFrame) -> DataFrame:
+# Columns of ``open_intents`` and their names in the state.
+_SNAPSHOT = {
+    "origin_action": "origin",
+    "start_session_id": "start_session_id",
+    "start_session_number": "start_session_no",
+    "start_time": "start_time",
+    "checkout_attempts": "attempts",
+    "discount_applied": "discounted",
+}
+
+
+def stream_alerts(events: DataFrame, opened: DataFrame | None = None) -> DataFrame:
     """Streaming form of ``pricing_alerts``, same columns.
 
     Intents live until they are closed. There is no watermark: events count in ``seq``
-    order, however old their event time.
+    order, however old their event time. ``opened``, rows of ``open_intents`` over all earlier
+    events, is taken over by the first run of a checkpoint.
     """
     product = F.when(~is_blank("product_id"), F.col("product_id"))
     keyed = events.where(~is_blank("acc_id")).select(
@@ -158,6 +240,24 @@ def stream_alerts(events: DataFrame) -> DataFrame:
         "event_time",
         parse_session_number("session_id").alias("session_no"),
     )
+    initial = None
+    if opened is not None:
+        state = [F.col(name).alias(own) for name, own in _SNAPSHOT.items()]
+        initial = opened.select("acc_id", "product_id", *state).groupBy("acc_id")
     return keyed.groupBy("acc_id").transformWithStateInPandas(
-        IntentTracker(), S.ALERT_SCHEMA, outputMode="Append", timeMode="None"
+        IntentTracker(), S.ALERT_SCHEMA, outputMode="Append", timeMode="None", initialState=initial
+    )
+
+
+def open_intents_at(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The intents that are live in the state of a query of ``stream_alerts``, as ``open_intents``
+    gives them: after its last micro-batch, or after ``batch_id``. The query may be running."""
+    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "intents")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    state = F.col("user_map_value")
+    return reader.load().select(
+        F.col("key.acc_id").alias("acc_id"),
+        F.col("user_map_key.product_id").alias("product_id"),
+        *(state[own].alias(name) for name, own in _SNAPSHOT.items()),
     )

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import dashboards, intents, recommend
 from clickloom.operators.sessions import sessionize_arrival
-from clickloom.sinks import latest_by_id, read_documents, typed_documents
+from clickloom.sinks import latest_by_id, read_day_counts, read_documents, typed_documents
 from clickloom.sources import decode_events, stream_topic_files, tables
 from clickloom.streaming import (
+    read_funnel,
     start_documents,
     start_pipeline,
     start_table,
@@ -107,7 +108,7 @@ def test_recommendations_equal_the_batch(spark, sf_dir, topic, delivered, tmp_pa
 
 
 def test_pipeline_runs_every_job_on_its_own(spark, sf_dir, topic, events, delivered, tmp_path):
-    """All four jobs over the same topic; one of them started again later."""
+    """All five jobs over the same topic, started again later."""
     catalog, opened = tables.part_catalog(spark, sf_dir), []
 
     def open_topic(starting):
@@ -118,8 +119,8 @@ def test_pipeline_runs_every_job_on_its_own(spark, sf_dir, topic, events, delive
     queries = start_pipeline(spark, open_topic, catalog, root)
     for query in queries.values():
         run(query)
-    assert sorted(opened) == ["earliest", "earliest", "earliest", "latest"]
-    assert len({query.id for query in queries.values()}) == 4
+    assert sorted(opened) == ["earliest"] * 4 + ["latest"]
+    assert len({query.id for query in queries.values()}) == 5
     for query in start_pipeline(spark, open_topic, catalog, root).values():
         run(query)
     same(spark.read.parquet(f"{root}/alerts"), intents.pricing_alerts(delivered))
@@ -129,6 +130,8 @@ def test_pipeline_runs_every_job_on_its_own(spark, sf_dir, topic, events, delive
     assert documents.where("kafka_offset <> seq OR kafka_topic IS NULL").count() == 0
     want = latest_by_id(typed_documents(delivered))
     same(documents.select(want.columns), want)
+    same(read_day_counts(spark, f"{root}/days"), dashboards.daily_index_counts(typed_documents(delivered)))
+    same(read_funnel(spark, f"{root}/dashboards"), dashboards.funnel(delivered))
     rejects = spark.read.parquet(f"{root}/rejects")
     assert rejects.count() == events.where("seq % 53 = 0").count()
     assert {r.reject_reason for r in rejects.collect()} == {"malformed_json"}
