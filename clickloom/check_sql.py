@@ -104,6 +104,15 @@ _LIFE = """acting AS (
 _INTENTS = f"{_EV}, {_LIFE}"
 _INTENTS_SWAPPED = f"{_EV_SWAPPED}, {_LIFE}"
 
+# Sessions that are blank, absent or without a number.
+_EV_BLANK = f"{_EV}".replace("), ev AS (", "), timed AS (") + """, ev AS (
+  SELECT * REPLACE (CASE seq % 13 WHEN 0 THEN '' WHEN 1 THEN '  ' WHEN 2 THEN NULL WHEN 3 THEN 'abc'
+      ELSE session_id END AS session_id, CASE WHEN seq % 13 < 4 THEN 0 ELSE n END AS n) FROM timed
+)"""
+
+# An aggregate of the first value that does not pass over an absent session.
+_LIFE_BLANK = _LIFE.replace("arg_min(session_id, seq)", "first(session_id ORDER BY seq)")
+
 _DOCS = f"""{_EV}, delivered AS (
   SELECT * FROM ev
   UNION ALL
@@ -119,18 +128,18 @@ _DOCS = f"""{_EV}, delivered AS (
 )"""
 
 
-def _catalog(fine: bool) -> str:
+def _catalog(fine: bool, where: str = "") -> str:
     suffix = " || '-' || (p_partkey % 10)::varchar" if fine else ""
     return f"""catalog AS (
   SELECT printf('PR%03d', p_partkey) AS product_id,
     'CG-' || p_type || '-' || p_size::varchar{suffix} AS category_id,
     p_brand AS brand_id, p_partkey AS catalog_ord
-  FROM part
+  FROM part {where}
 )"""
 
 
-def _ranked(fine: bool) -> str:
-    return f"""{_catalog(fine)}, candidates AS (
+def _ranked(fine: bool, where: str = "") -> str:
+    return f"""{_catalog(fine, where)}, candidates AS (
   SELECT t.product_id AS target, 1 AS tier, c.* FROM catalog t
   JOIN catalog c ON c.category_id = t.category_id AND c.product_id <> t.product_id
   UNION ALL
@@ -273,4 +282,33 @@ ORACLE_SQL = {
         SELECT device_type, count(*) AS events,
           round(count(*)::double / sum(count(*)) OVER (), 6) AS share
         FROM base GROUP BY device_type""",
+    "decode_odd_numbers": f"""WITH {_BASE}
+        SELECT seq, acc_id, CASE seq % 8 WHEN 0 THEN seq || '.50' WHEN 1 THEN '-' || seq || '.0E+2'
+            WHEN 2 THEN '00' || seq ELSE seq::varchar END AS product_id,
+          CASE seq % 8 WHEN 0 THEN '1e3' WHEN 1 THEN '12.50' WHEN 2 THEN '-0.0' ELSE 'true' END AS session_id,
+          'say "x": 1.50, 2.50' AS device_type, time_on_page_minutes
+        FROM base WHERE seq % 8 IN (0, 1, 2, 6)""",
+    "quarantine_reasons": f"""WITH {_BASE}
+        SELECT seq, acc_id AS key, CASE seq % 8 WHEN 3 THEN 'wrong_type' WHEN 7 THEN 'null_value'
+          ELSE 'malformed_json' END AS reject_reason
+        FROM base WHERE seq % 8 IN (3, 4, 5, 7)""",
+    "topic_formats": f"WITH {_BASE} SELECT seq, event_time AS time_text, acc_id AS key FROM base",
+    "pricing_alerts_hot": f"WITH {_INTENTS} SELECT {_ALERT_LIST} FROM alerts",
+    "pricing_alerts_blank_sessions": f"WITH {_EV_BLANK}, {_LIFE_BLANK} SELECT {_ALERT_LIST} FROM alerts",
+    "recommend_unknown_products": f"""WITH {_EV}, {_ranked(False, "WHERE p_partkey % 3 = 0")}
+        SELECT acc_id, ev.product_id, seq, rank, recommended_id FROM ev JOIN ranked ON target = ev.product_id
+        WHERE event_type IN ('VIEW','CLICK','SEARCH')""",
+    "alerts_across_layouts": f"WITH {_INTENTS} SELECT {_ALERT_LIST} FROM alerts",
+    "handed_over_alerts": f"WITH {_INTENTS} SELECT {_ALERT_LIST} FROM alerts",
+    "live_intents": _open_intents(_INTENTS),
 }
+
+# Streams that keep what a batch job answers are asked the same.
+for _live, _batch in {
+    "live_velocity": "ingestion_velocity",
+    "live_funnel": "funnel",
+    "live_top_products": "top_products",
+    "live_device_share": "device_share",
+    "day_counts_kept": "daily_index_counts",
+}.items():
+    ORACLE_SQL[_live] = ORACLE_SQL[_batch]

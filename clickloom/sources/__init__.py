@@ -5,6 +5,7 @@ from clickloom.sources.topic import (
     read_topic_files,
     stream_topic,
     stream_topic_files,
+    topic_order,
 )
 
 __all__ = [
@@ -17,4 +18,5 @@ __all__ = [
     "read_topic_files",
     "stream_topic",
     "stream_topic_files",
+    "topic_order",
 ]

@@ -1,7 +1,7 @@
 """JSON payload to typed events, with undecodable records set aside.
 
-Unknown keys are ignored and missing ones become null. Numbers and booleans are accepted
-for text fields; ``time_on_page_minutes`` accepts integers, fractions (cut off) and quoted
+Unknown keys are ignored and missing ones become null. Numbers, as they are written, and booleans
+are accepted for text fields; ``time_on_page_minutes`` accepts integers, fractions (cut off) and quoted
 integers. Anything else is a reject with a reason.
 """
 
@@ -22,6 +22,23 @@ _READ_OPTIONS = {
 }
 
 
+# Fixed value: a number as JSON writes it, and what must follow one.
+_NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?(?=[\s,}\]])"
+# Everything up to a number, texts as a whole; each match begins where the last has ended.
+_BEFORE = r'\G((?:[^"0-9\-]++|"(?:[^"\\]++|\\.)*+")*+)'
+_NUMBER_FOR_TEXT = rf'"(?!{_MINUTES}")[^"]*"\s*:\s*-?[0-9]'
+
+
+def _quoted_numbers(value: Column) -> Column:
+    """The record with its numbers in quotes, where a field other than the minutes has one.
+
+    A parser that reads a number as text gives it a canonical form (``12.50`` becomes ``12.5``); in
+    quotes it keeps its own. The rare records only; a number that is not one (``007``) stays.
+    """
+    quoted = F.regexp_replace(value, f"{_BEFORE}({_NUMBER})", '$1"$2"')
+    return F.when(value.rlike(_NUMBER_FOR_TEXT), quoted).otherwise(value)
+
+
 def _json_kind(field: str) -> Column:
     """Type name of a field in the raw JSON; only evaluated on the rare branches below."""
     raw = F.try_variant_get(F.try_parse_json("value"), f"$.{field}", "variant")
@@ -46,7 +63,7 @@ def _minutes(text: Column) -> Column:
 
 def decode_topic(records: DataFrame) -> DataFrame:
     """All records with the nine event columns and ``reject_reason`` (null when decoded)."""
-    parsed = F.from_json("value", _READ_SCHEMA, _READ_OPTIONS)
+    parsed = F.from_json(_quoted_numbers(F.col("value")), _READ_SCHEMA, _READ_OPTIONS)
     # As a generator the parse runs once per record: a filter on its output stays above it.
     fields = records.select("*", F.inline(F.array(parsed)))
     nested = F.lit(False)

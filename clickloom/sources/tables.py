@@ -94,11 +94,11 @@ def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(*EVENT_COLUMNS, "event_ts", "seq")
 
 
-def topic_records(events: DataFrame) -> DataFrame:
+def topic_records(events: DataFrame, value: Column | None = None) -> DataFrame:
     """Events as they lie on the topic."""
     return events.select(
         F.col("acc_id").alias("key"),
-        event_json().alias("value"),
+        (event_json() if value is None else value).alias("value"),
         F.lit(TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("seq").alias("offset"),
@@ -135,6 +135,61 @@ def with_malformed(records: DataFrame) -> DataFrame:
     )
 
 
+def with_blank_sessions(events: DataFrame) -> DataFrame:
+    """Four events of 13 have a session that is empty, blank, absent or without a number."""
+    kind = F.col("seq") % 13
+    session = (
+        F.when(kind == 0, "").when(kind == 1, "  ").when(kind == 3, "abc")
+        .when(kind != 2, F.col("session_id"))
+    )
+    return events.withColumn("session_id", session)
+
+
+def moved_records(events: DataFrame) -> tuple[DataFrame, list[dict[int, int]]]:
+    """Events as records of a topic that went from 3 partitions to 5, and where each layout began.
+
+    An account's partition is its number modulo that of the partitions. The first three go on
+    where they were, the new ones begin with offset 0, below what their accounts have had.
+    """
+    low, high = events.agg(F.min("seq"), F.max("seq")).first()
+    middle = ((low or 0) + (high or 0)) // 2
+    account = F.coalesce(F.substring("key", 4, 20).try_cast("bigint"), F.lit(0))
+    event_id = F.col("offset")
+    late = event_id > middle
+    partition = F.when(late, account % 5).otherwise(account % 3).cast("int")
+    records = topic_records(events).withColumns({
+        "event_id": event_id,
+        "partition": partition,
+        "offset": F.when(late & (partition > 2), event_id - middle - 1).otherwise(event_id),
+    })
+    return records, [{0: 0, 1: 0, 2: 0}, {p: middle + 1 if p < 3 else 0 for p in range(5)}]
+
+
+def odd_records(events: DataFrame) -> DataFrame:
+    """Records as other producers write them: numbers for texts, in every form, and fractions of
+    minutes; some that cannot be decoded, for each of the reasons."""
+    seq = F.col("seq").cast("string")
+    kind = F.col("seq") % 8
+
+    def record(product: Column, session: str) -> Column:
+        return F.concat(
+            F.lit('{"acc_id": "'), "acc_id", F.lit('" , "product_id":'), product,
+            F.lit(f',"session_id" :{session},"time_on_page_minutes":'), F.col("time_on_page_minutes").cast("string"),
+            F.lit('.9,"device_type":"say \\"x\\": 1.50, 2.50"}'),
+        )
+
+    value = (
+        F.when(kind == 0, record(F.concat(seq, F.lit(".50")), "1e3"))
+        .when(kind == 1, record(F.concat(F.lit("-"), seq, F.lit(".0E+2")), '"12.50"'))
+        .when(kind == 2, record(F.concat(F.lit('"00'), seq, F.lit('"')), "-0.0"))
+        .when(kind == 3, record(F.concat(F.lit('{"k":'), seq, F.lit("}")), "null"))
+        .when(kind == 4, record(F.concat(F.lit("00"), seq), "1"))
+        .when(kind == 5, F.concat(F.lit("bad{"), seq))
+        .when(kind == 6, record(seq, "true"))
+    )
+    return topic_records(events, value)
+
+
 def replayed_events(events: DataFrame) -> DataFrame:
     """All events, and every tenth delivered again later with a changed value.
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.functions import iso_parse
 from clickloom.operators.recommend import join_recommendations, prepare_recommendations
 from clickloom.sinks import typed_documents
-from clickloom.sources import decode_events, quarantine_events
+from clickloom.sources import decode_events, quarantine_events, topic_order
 from clickloom.streaming.dashboards import start_dashboards
 from clickloom.streaming.documents import start_documents
 from clickloom.streaming.intents import stream_alerts
@@ -26,6 +26,7 @@ def start_pipeline(
     catalog: DataFrame,
     root: str,
     interval: str | None = None,
+    layouts: list[dict[int, int]] | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start alerts, documents, rejects, dashboards (from the earliest offset) and recommendations
     (from the latest).
@@ -36,11 +37,12 @@ def start_pipeline(
     ``open_topic(starting)`` gives a stream of topic records, for instance
     ``lambda starting: stream_topic(spark, servers, starting=starting)``. Tables lie under
     ``root``; each query has its own checkpoint there and can be stopped and started alone.
+    ``layouts`` is what ``topic_order`` needs where the topic's partitions have changed.
     """
     use_rocksdb_state(spark)
 
     def events(starting: str) -> DataFrame:
-        return decode_events(open_topic(starting)).withColumn("seq", F.col("offset"))
+        return decode_events(topic_order(open_topic(starting), layouts))
 
     def table(name: str, rows: DataFrame) -> StreamingQuery:
         return start_table(rows, f"{root}/{name}", f"{root}/_checkpoints/{name}", interval)

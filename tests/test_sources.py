@@ -1,6 +1,7 @@
 import json
 from datetime import datetime
 
+import pytest
 
 from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from clickloom.sinks import encode_events, keyed_records
@@ -11,6 +12,7 @@ from clickloom.sources import (
     parse_catalog_lines,
     quarantine_events,
     tables,
+    topic_order,
 )
 
 SAMPLE = ("ACC00000088", "SS00000001", "2026-07-28T23:30:00.123456+07:00", "VIEW", "PR630",
@@ -45,6 +47,53 @@ ACCEPTED = [
 ]
 
 
+NUMBERS = [
+    ('{"product_id":12.50}', "12.50"),
+    ('{"product_id" : 1e3 }', "1e3"),
+    ('{"time_on_page_minutes":5,"product_id":-0.0}', "-0.0"),
+    ('{"product_id":1E+2,"acc_id":"a\\"b\\": 1.50, 2.50","session_id":0.10}', "1E+2"),
+    ('{"product_id":12345678901234567890.10}', "12345678901234567890.10"),
+    ('{"product_id":"007"}', "007"),
+    ('{"product_id":"x\\\\","session_id":1.0}', "x\\"),
+    ('{"product_id":true,"acc_id":7.70}', "true"),
+    ('{"acc_id":7.70}', None),
+]
+
+
+def test_numbers_keep_their_form(spark):
+    records = spark.createDataFrame([(value,) for value, _ in NUMBERS], "value string")
+    got = {r.value: r.product_id for r in decode_events(records).collect()}
+    assert got == dict(NUMBERS)
+    others = {r.value: (r.acc_id, r.session_id) for r in decode_events(records).collect()}
+    assert others[NUMBERS[3][0]] == ('a"b": 1.50, 2.50', "0.10") and others[NUMBERS[6][0]][1] == "1.0"
+
+
+def test_long_records(spark):
+    """Many numbers, long texts; a number that is not one is no number in quotes either."""
+    long = "x 1.50 " * 20_000
+    rows = [('{"product_id":1.50,"more":[' + "1.0," * 20_000 + '2.0],"acc_id":"' + long + '"}',),
+            ('{"product_id":007}',), ('{"product_id":1.}',), ('{"product_id":+1}',)]
+    records = spark.createDataFrame(rows, "value string")
+    (good,) = decode_events(records).collect()
+    assert good.product_id == "1.50" and good.acc_id == long
+    assert [r.reject_reason for r in quarantine_events(records).collect()] == ["malformed_json"] * 3
+
+
+def test_order_across_layouts(spark):
+    """Partitions that were added later begin with small offsets; an old one goes on."""
+    layouts = [{0: 0, 1: 0}, {0: 50, 1: 40, 2: 0}, {0: 60, 1: 70, 2: 30, 3: 0}]
+    log = [(1, 39), (1, 40), (2, 29), (2, 30), (3, 0), (0, 49), (0, 59), (0, 60)]
+    rows = spark.createDataFrame([(p, o, "x") for p, o in log], "partition int, offset long, seqs string")
+    got = topic_order(rows, layouts)
+    assert got.columns == [*rows.columns, "seq"]
+    layout = {(r.partition, r.offset): (r.seq >> 48, r.seq & (2**48 - 1)) for r in got.collect()}
+    assert layout == {(1, 39): (0, 39), (1, 40): (1, 40), (2, 29): (1, 29), (2, 30): (2, 30), (3, 0): (2, 0),
+                      (0, 49): (0, 49), (0, 59): (1, 59), (0, 60): (2, 60)}
+    assert [r.seq for r in topic_order(rows).collect()] == [o for _, o in log]
+    with pytest.raises(Exception, match="no layout has partition"):
+        topic_order(spark.createDataFrame([(9, 1)], "partition int, offset long"), layouts).collect()
+
+
 def test_accepted(spark):
     records = spark.createDataFrame([(value,) for value, _ in ACCEPTED], "value string")
     got = {r.value: r.time_on_page_minutes for r in decode_events(records).collect()}
