@@ -7,10 +7,17 @@ classes from the body down, digits replaced. Spark counts the votes per host and
 page is read again from all its elements on the winning path; a page that has none, or no text
 in them, falls back on its own best container.
 
-Skipped everywhere: scripts, styles, comments, menus, asides, footers, forms, and blocks whose
-classes, id or role name adverts, notices, menus, sharing, reader comments and the like; headers
-outside the container. Blocks follow block-level tags; a line break inside a block is white
-space.
+Never read: scripts, styles, comments of the markup, menus, asides, footers, hidden elements, and
+headers outside the article. Blocks follow block-level tags; a line break inside a block is white
+space. Forms and elements whose class, id or role names adverts, notices, sharing, reader comments
+and the like are read, and left out only once the page is known: not ``article``, ``main`` or
+``body``, not an element around one of those or around a first heading, and not if nothing else
+has any text. A name counts by its first and last word (``comment-list``, ``left-sidebar``) unless
+another word says that it is about something (``no-sidebar``, ``has-sidebar``, ``comments-open``).
+
+The best container grows: to the element around it while its neighbours there are text like its
+own, so that headline, lead and all parts of a body stay together, and to the ``article`` that it
+stands in, or the ``main``.
 
 Defined results: a null page is an empty one and has no text; a page without url shares the
 empty host with all others of that kind; a page cut short keeps what is there, without a tag
@@ -33,7 +40,7 @@ from clickloom.llm.tables import beside, read, stage
 # Names of elements of the markup language, by how they are treated.
 RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp".split())
 SKIPPED = frozenset(
-    "head nav aside footer form button select option svg math canvas object embed audio video "
+    "head nav aside footer button select option svg math canvas object embed audio video "
     "dialog menu datalist label input fieldset map".split()
 ) | RAW
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,6 +63,10 @@ NOISE = frozenset(
     "contentinfo search".split()
 )
 
+# Words that make a name say something about the element rather than name it.
+ABOUT = frozenset("no not has with without is open opened closed enabled disabled off on allowed target".split())
+ARTICLES = ("article", "main")
+
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)"
     # Quotes only count after an equals sign; one that is not closed goes on to the end.
@@ -71,45 +82,66 @@ _SPACE = re.compile(r"\s+")
 
 @dataclass
 class Node:
-    """One open element."""
+    """One element: ``noise`` if its names say that it is no part of an article, ``holds`` if there
+    is an article or a first heading in it."""
 
     tag: str
     path: str
     skipped: bool
     number: int
+    parent: int
+    noise: bool = False
+    holds: bool = False
     score: float = 0.0
 
 
-def _attributes(raw: str) -> tuple[list[str], bool]:
-    """Classes, and whether class, id or role names something that is not article text."""
-    classes, noise = [], False
+@dataclass
+class Block:
+    """A piece of text, the elements it stands in from the outermost, and how much of it counts."""
+
+    text: str
+    inside: tuple[int, ...]
+    own: int
+    score: float
+
+
+def _names_noise(name: str) -> bool:
+    words = _WORD.findall(name)
+    return bool(words) and not ABOUT.intersection(words) and (words[0] in NOISE or words[-1] in NOISE)
+
+
+def _attributes(raw: str) -> tuple[list[str], bool, bool]:
+    """Classes, whether class, id or role names something that is not article text, and whether the
+    element is hidden."""
+    classes, noise, hidden = [], False, False
     for name, value in _ATTRIBUTE.findall(raw):
         name = name.lower()
         if name in ("class", "id", "role"):
-            value = value.strip("\"'").lower()
+            items = value.strip("\"'").lower().split()
             if name == "class":
-                classes = value.split()
-            noise = noise or any(
-                w in NOISE for item in value.split() for w in _WORD.findall(item)
-            )
+                classes = items
+            noise = noise or any(_names_noise(item) for item in items)
+            hidden = hidden or (name == "class" and "hidden" in items)
         elif name == "aria-hidden" and value.strip("\"'").lower() == "true":
-            noise = True
-    noise = noise or re.search(r"(?:^|\s)hidden(?:\s|/|$)", raw) is not None
-    return classes, noise
+            hidden = True
+    # The attribute by itself, not a word in the value of another.
+    bare = _ATTRIBUTE.sub(" ", raw).lower().split()
+    return classes, noise, hidden or "hidden" in (word.rstrip("/") for word in bare)
 
 
 class Page:
     """The blocks of a page, each with the elements it stands in, and scored containers."""
 
     def __init__(self, html: str | None):
-        self.blocks: list[tuple[str, frozenset[int]]] = []
+        self.blocks: list[Block] = []
         self.nodes: list[Node] = []
-        self.stack: list[Node] = [Node("", "", False, -1)]
+        self.stack: list[Node] = [Node("", "", False, -1, -1)]
         self.pending: list[str] = []
         self.pending_linked = 0
         self.links = 0
         self._read(html or "")
         self._flush()
+        self._judge()
 
     def _read(self, html: str) -> None:
         at = 0
@@ -147,13 +179,17 @@ class Page:
         if tag in VOID:
             return False
         parent = self.stack[-1]
-        classes, noise = _attributes(raw) if raw else ([], False)
+        classes, noise, hidden = _attributes(raw) if raw else ([], False, False)
         name = tag + "".join("." + _DIGITS.sub("#", c) for c in sorted(set(classes)))
         # Wrappers that the parser may or may not see do not take part in paths.
         path = parent.path if tag in ("html", "p", "b", "i") else f"{parent.path}/{name}"
-        skipped = parent.skipped or tag in SKIPPED or (noise and tag not in ("html", "body"))
-        skipped = skipped or (tag == "header" and not any(n.tag in ("article", "main") for n in self.stack))
-        node = Node(tag, path, skipped, len(self.nodes))
+        skipped = parent.skipped or tag in SKIPPED or (hidden and tag not in ("html", "body"))
+        skipped = skipped or (tag == "header" and not any(n.tag in ARTICLES for n in self.stack))
+        node = Node(tag, path, skipped, len(self.nodes), parent.number)
+        node.noise = (noise or tag == "form") and tag not in ("html", "body", *ARTICLES)
+        if tag in ("article", "main", "h1") and not skipped:
+            for around in self.stack:
+                around.holds = True
         self.nodes.append(node)
         self.stack.append(node)
         self.links += tag == "a"
@@ -195,27 +231,59 @@ class Page:
         self.pending, self.pending_linked = [], 0
         if not text:
             return
-        inside = frozenset(n.number for n in self.stack[1:])
-        self.blocks.append((text, inside))
         own = max(0, len(text) - linked)
         block = next((n.tag for n in reversed(self.stack) if n.tag in BLOCKS), "")
         score = own * (1.0 if block in PARAGRAPHS or own > 80 else 0.3) + 10 * text.count(",")
-        share = 1.0
-        for node in reversed(self.stack[1:]):
-            if node.tag in CONTAINERS:
-                node.score += score * share
-                share /= 2
-                if share < 0.2:
-                    break
+        self.blocks.append(Block(text, tuple(n.number for n in self.stack[1:]), own, score))
+
+    def _judge(self) -> None:
+        """Leave out what is noise, now that the whole page is known, and score the containers."""
+        noise = {n.number for n in self.nodes if n.noise and not n.holds}
+        kept = [b for b in self.blocks if not noise.intersection(b.inside)]
+        self.blocks = kept or self.blocks
+        for block in self.blocks:
+            share = 1.0
+            for number in reversed(block.inside):
+                node = self.nodes[number]
+                if node.tag in CONTAINERS:
+                    node.score += block.score * share
+                    share /= 2
+                    if share < 0.2:
+                        break
 
     def best(self) -> Node | None:
-        """The container with the highest score; an article or main counts half as much again."""
+        """The container with the highest score, grown; an article or main counts half as much again."""
         held = [n for n in self.nodes if n.score > 0]
         favour = {"article": 1.5, "main": 1.25}
-        return max(held, key=lambda n: (n.score * favour.get(n.tag, 1.0), -n.number), default=None)
+        found = max(held, key=lambda n: (n.score * favour.get(n.tag, 1.0), -n.number), default=None)
+        return self._grown(found) if found else None
+
+    def _around(self, node: Node) -> Iterator[Node]:
+        while node.parent >= 0:
+            node = self.nodes[node.parent]
+            yield node
+
+    def _grown(self, node: Node) -> Node:
+        around = list(self._around(node))
+        articles = [n for n in around if n.tag in ARTICLES]
+        if node.tag == "article" or (node.tag == "main" and not articles):
+            return node
+        if articles:
+            return articles[0]
+        for outer in around:
+            if outer.tag in ("body", "html", "td", "table", "tr", "tbody"):
+                break
+            beside = [b for b in self.blocks if outer.number in b.inside and node.number not in b.inside]
+            length = sum(len(b.text) for b in beside)
+            # Neighbours that are mostly links, or next to nothing, are no reason to grow.
+            if outer.tag in CONTAINERS and length and 2 * sum(b.own for b in beside) >= length:
+                node = outer
+            elif length:
+                break
+        return node
 
     def text_in(self, nodes: set[int]) -> str:
-        return "\n".join(text for text, inside in self.blocks if inside & nodes)
+        return "\n".join(b.text for b in self.blocks if nodes.intersection(b.inside))
 
     def on_path(self, path: str) -> set[int]:
         return {n.number for n in self.nodes if n.path == path and not n.skipped and n.tag in CONTAINERS}
