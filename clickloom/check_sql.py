@@ -301,6 +301,9 @@ ORACLE_SQL = {
     "alerts_across_layouts": f"WITH {_INTENTS} SELECT {_ALERT_LIST} FROM alerts",
     "handed_over_alerts": f"WITH {_INTENTS} SELECT {_ALERT_LIST} FROM alerts",
     "live_intents": _open_intents(_INTENTS),
+    "session_totals": f"""WITH {_EV} SELECT acc_id, min(event_ts) AS first_ts, max(event_ts) AS last_ts,
+          count(*) AS events, count(DISTINCT product_id) AS products
+        FROM ev WHERE acc_id <> '' GROUP BY acc_id, n""",
 }
 
 # Streams that keep what a batch job answers are asked the same.
@@ -310,5 +313,6 @@ for _live, _batch in {
     "live_top_products": "top_products",
     "live_device_share": "device_share",
     "day_counts_kept": "daily_index_counts",
+    "newest_stored": "latest_documents",
 }.items():
     ORACLE_SQL[_live] = ORACLE_SQL[_batch]

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators import intents
 from clickloom.plans import stage, staging_root
-from clickloom.sinks import append_documents, compact_documents, count_days, read_day_counts, typed_documents
+from clickloom.sinks import append_documents, compact_documents, count_days, newest_documents, read_day_counts, typed_documents
 from clickloom.sources import decode_events, tables, topic_order
 from clickloom.streaming import (
     open_intents_at,
@@ -103,6 +103,16 @@ def day_counts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_day_counts(spark, counts)
 
 
+def newest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest documents of a table; its newest days are found to hold enough."""
+    documents = f"{_folder(spark)}/documents"
+    rows = typed_documents(tables.replayed_events(tables.canonical_events(spark, sf_dir)))
+    rows = stage(rows)
+    for part in (0, 1):
+        append_documents(rows.where(F.col("seq") % 2 == part), documents, part, "w")
+    return newest_documents(spark, documents, 20).select("index_date", "doc_id", "event_type", "seq")
+
+
 def alerts_across_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alerts of a topic whose number of partitions has changed, so that accounts have moved."""
     events = tables.canonical_events(spark, sf_dir)
@@ -123,5 +133,6 @@ QUERIES = {
     "live_top_products": _standing(read_top_products),
     "live_device_share": _standing(read_device_share),
     "day_counts_kept": day_counts_kept,
+    "newest_stored": newest_stored,
     "alerts_across_layouts": alerts_across_layouts,
 }

@@ -160,3 +160,22 @@ def _range_openers(rows: DataFrame, gap_minutes: int, span: int) -> DataFrame:
         .where(F.col(_RANGE).isNotNull())
         .withColumn("seq", F.col(_RANGE) * span - 1)
     )
+
+
+def session_totals(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Per account and session: its first and last time, events, and different products.
+
+    For tables, and for streams that carry a watermark on ``event_ts``: there a session is put out
+    once no event can extend it any more. A gap of exactly ``gap_minutes`` is no gap, as in
+    ``sessionize``. Rows without an account or a time are in no session.
+    """
+    gap = f"{gap_minutes} minutes"
+    known = events.where(~is_blank("acc_id") & F.col("event_ts").isNotNull())
+    window = F.session_window("event_ts", gap).alias("session")
+    totals = known.groupBy("acc_id", window).agg(
+        F.count(F.lit(1)).alias("events"), F.size(F.collect_set("product_id")).cast("bigint").alias("products")
+    )
+    last = F.col("session.end") - F.make_dt_interval(mins=F.lit(gap_minutes))
+    return totals.select(
+        "acc_id", F.col("session.start").alias("first_ts"), last.alias("last_ts"), "events", "products"
+    )

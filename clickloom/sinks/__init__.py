@@ -3,6 +3,7 @@ from clickloom.sinks.documents import (
     compact_documents,
     count_days,
     latest_by_id,
+    newest_documents,
     read_day_counts,
     read_documents,
     typed_documents,
@@ -18,6 +19,7 @@ __all__ = [
     "keyed_records",
     "latest_by_id",
     "merge_counts",
+    "newest_documents",
     "read_counts",
     "read_day_counts",
     "read_documents",

@@ -11,6 +11,16 @@ from clickloom.sinks.documents import append_documents, compact_documents, count
 from clickloom.streaming.queries import triggered
 
 
+def first_deliveries(documents: DataFrame, bound: str = "1 day") -> DataFrame:
+    """A stream of documents without those that were delivered before, as far as they come within
+    ``bound`` of event time.
+
+    The state holds one id per document and forgets it behind the watermark; what is delivered
+    again later passes, and is resolved where the table is read, as all of it would be without this.
+    """
+    return documents.withWatermark("event_ts", bound).dropDuplicatesWithinWatermark(["index_date", "doc_id"])
+
+
 def start_documents(
     documents: DataFrame,
     path: str,

@@ -8,7 +8,10 @@ from clickloom.sinks import (
     append_documents,
     compact_documents,
     count_days,
+    latest_by_id,
     merge_counts,
+    newest_documents,
+    read_documents,
     read_counts,
     read_day_counts,
     typed_documents,
@@ -17,6 +20,7 @@ from clickloom.sources import tables
 from clickloom.streaming import (
     read_device_share,
     read_funnel,
+    first_deliveries,
     read_top_products,
     read_velocity,
     start_dashboards,
@@ -126,3 +130,68 @@ def test_documents_compact_themselves(spark, events, tmp_path):
     assert stored.groupBy("index_date").count().where("count > 1").count() == 0
     want = dashboards.daily_index_counts(typed_documents(events))
     assert rows_of(read_day_counts(spark, str(tmp_path / "days"))) == rows_of(want)
+
+
+def test_newest_documents_from_few_days(spark, events, tmp_path):
+    """The newest day holds replays of one document only, so the next ones are read as well."""
+    path = str(tmp_path / "documents")
+    docs = typed_documents(events)
+    append_documents(docs, path, 0, "w")
+    late = docs.limit(1).withColumn("index_date", F.lit("9998.01.01")).withColumn("event_ts", F.lit("9998-01-01").cast("timestamp"))
+    for batch in (1, 2, 3):
+        append_documents(late.withColumn("seq", F.lit(10**6 + batch).cast("long")), path, batch, "w")
+    for limit in (1, 2, 50, 10_000):
+        got = newest_documents(spark, path, limit)
+        want = dashboards.latest_documents(read_documents(spark, path), limit)
+        assert [(r.doc_id, r.seq) for r in got.collect()] == [(r.doc_id, r.seq) for r in want.collect()]
+    files = {f.split("index_date=")[1].split("/")[0] for f in newest_documents(spark, path, 1).inputFiles()}
+    plan = newest_documents(spark, path, 1)._jdf.queryExecution().executedPlan().toString()
+    assert files and "9998.01.01" in plan and "PartitionFilters" in plan
+    # Documents without a day are last.
+    append_documents(docs.limit(1).withColumn("index_date", F.lit(None).cast("string")).withColumn("event_ts", F.lit(None).cast("timestamp")).withColumn("doc_id", F.lit("none")), path, 9, "w")
+    everything = newest_documents(spark, path, 10_000).collect()
+    assert everything[-1].doc_id == "none" and len(everything) == read_documents(spark, path).count()
+
+
+def test_first_deliveries(spark, events, tmp_path):
+    """Replays within the bound go; the state forgets ids behind it."""
+    source = str(tmp_path / "in")
+    docs = typed_documents(events).select("index_date", "doc_id", "event_ts", "seq").orderBy("event_ts", "seq").cache()
+    bounds = docs.selectExpr("percentile(unix_micros(event_ts), array(0.33, 0.66, 1.0))").first()[0]
+    low, kept = -1, []
+    for high in bounds:
+        part = docs.where((F.unix_micros("event_ts") > low) & (F.unix_micros("event_ts") <= high))
+        part.unionByName(part.where("seq % 3 = 0")).coalesce(1).write.mode("append").parquet(source)
+        low = high
+        stream = spark.readStream.schema(docs.schema).parquet(source)
+        query = first_deliveries(stream, "1 hour").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        query = query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = rows_of(spark.read.parquet(str(tmp_path / "out")).select("index_date", "doc_id"))
+    assert got == rows_of(latest_by_id(docs).select("index_date", "doc_id"))
+    assert max(kept) < len(got)
+
+
+def test_session_totals_of_a_stream(spark, events, tmp_path):
+    """Closed sessions of a stream are those of the table; exactly the gap is no gap."""
+    from clickloom.operators.sessions import session_totals
+
+    want = {tuple(r) for r in session_totals(events).collect()}
+    source = str(tmp_path / "in")
+    end = events.agg(F.max("event_ts")).first()[0]
+    middle = events.selectExpr("percentile(unix_micros(event_ts), 0.5)").first()[0]
+    for part in (F.unix_micros("event_ts") <= middle, F.unix_micros("event_ts") > middle):
+        events.where(part).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source).withWatermark("event_ts", "1 minute")
+        query = session_totals(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).outputMode("append")
+        query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got <= want and {r[2] for r in want - got} <= {r[2] for r in want if (end - r[2]).total_seconds() <= 16 * 60}
+
+    from datetime import datetime, timedelta
+
+    start = datetime(2024, 1, 1)
+    steps = [timedelta(0), timedelta(minutes=15), timedelta(minutes=30, microseconds=1)]
+    rows = spark.createDataFrame([("A", start + s, "P") for s in steps] + [("", start, "P"), ("A", None, "P")], "acc_id string, event_ts timestamp, product_id string")
+    assert sorted(r.events for r in session_totals(rows).collect()) == [1, 2]
