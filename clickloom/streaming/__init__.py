@@ -1,3 +1,4 @@
+from clickloom.streaming.minutes import final_minutes
 from clickloom.streaming.dashboards import (
     read_device_share,
     read_funnel,
@@ -12,6 +13,7 @@ from clickloom.streaming.queries import start_table, use_rocksdb_state
 from clickloom.streaming.sessions import sessions_reached, stream_sessions
 
 __all__ = [
+    "final_minutes",
     "first_deliveries",
     "read_device_share",
     "read_funnel",

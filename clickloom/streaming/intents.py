@@ -84,7 +84,7 @@ class _Waiting:
                 self._levels.put((number, self._levels.get(above)[1]), above)
             return
         after, parts = self._levels.get(number)
-        products = list(self._lists.get(number, parts - 1)[0])
+        products = list((self._lists.get(number, parts - 1) or ((),))[0])
         if len(products) < _LISTED:
             self._lists.put(([*products, product],), number, parts - 1)
         else:
@@ -98,7 +98,7 @@ class _Waiting:
             self.head, parts = self._levels.get(start)
             self._levels.put(None, start)
             for part in range(parts):
-                for product in self._lists.get(start, part)[0]:
+                for product in (self._lists.get(start, part) or ((),))[0]:
                     yield start, product
                 self._lists.put(None, start, part)
 
@@ -110,10 +110,15 @@ class _Waiting:
 
 
 class IntentTracker(StatefulProcessor):
+    def __init__(self, expire_ms: int | None = None) -> None:
+        self._expire_ms = expire_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._stored = handle.getMapState("intents", "product_id string", _INTENT)
+        # The lists of products may go with the intents; what holds them together stays.
+        ttl = {} if self._expire_ms is None else {"ttlDurationMs": self._expire_ms}
+        self._stored = handle.getMapState("intents", "product_id string", _INTENT, **ttl)
         self._levels = handle.getMapState("levels", "session_no int", "above int, parts int")
-        self._lists = handle.getMapState("lists", "session_no int, part int", "products array<string>")
+        self._lists = handle.getMapState("lists", "session_no int, part int", "products array<string>", **ttl)
         self._head = handle.getValueState("head", "session_no int")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
@@ -223,12 +228,16 @@ _SNAPSHOT = {
 }
 
 
-def stream_alerts(events: DataFrame, opened: DataFrame | None = None) -> DataFrame:
+def stream_alerts(
+    events: DataFrame, opened: DataFrame | None = None, expire_ms: int | None = None
+) -> DataFrame:
     """Streaming form of ``pricing_alerts``, same columns.
 
     Intents live until they are closed. There is no watermark: events count in ``seq``
     order, however old their event time. ``opened``, rows of ``open_intents`` over all earlier
-    events, is taken over by the first run of a checkpoint.
+    events, is taken over by the first run of a checkpoint. With ``expire_ms`` an intent that has not
+    changed for so long, by the clock, is forgotten: it raises no alert and leaves the state. That
+    needs a query with an interval: one over all that is available has no clock to end by.
     """
     product = F.when(~is_blank("product_id"), F.col("product_id"))
     keyed = events.where(~is_blank("acc_id")).select(
@@ -245,7 +254,8 @@ def stream_alerts(events: DataFrame, opened: DataFrame | None = None) -> DataFra
         state = [F.col(name).alias(own) for name, own in _SNAPSHOT.items()]
         initial = opened.select("acc_id", "product_id", *state).groupBy("acc_id")
     return keyed.groupBy("acc_id").transformWithStateInPandas(
-        IntentTracker(), S.ALERT_SCHEMA, outputMode="Append", timeMode="None", initialState=initial
+        IntentTracker(expire_ms), S.ALERT_SCHEMA, outputMode="Append",
+        timeMode="None" if expire_ms is None else "ProcessingTime", initialState=initial,
     )
 
 

@@ -1,15 +1,17 @@
 """State of running streams: read from outside, started from a batch, and no slower with what it need not read."""
 
 import random
+import time
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators import intents
+from clickloom.operators import dashboards, intents
 from clickloom.operators.sessions import sessionize_arrival
 from clickloom.sources import tables
 from clickloom.streaming import (
+    final_minutes,
     open_intents_at,
     sessions_reached,
     start_table,
@@ -194,3 +196,52 @@ def test_tracker_equals_the_model(seed):
     clean = [tuple(None if v is None or v is pd.NA or v != v else v for v in r) for r in got]
     assert sorted(((a[0], a[2], a[3]) for a in clean), key=repr) == sorted(((a[0], a[2], a[3]) for a in want), key=repr)
     assert len(handle.states["intents"].held) == len(opened)
+
+
+@pytest.mark.parametrize("expire_ms", [None, 1])
+def test_expiry(spark, tmp_path, expire_ms):
+    """Off: as ever. On: an intent of the batch before raises no alert."""
+    source = str(tmp_path / "in")
+    halves = [[("A", "P", "ADD_TO_CART", "SS1", "t", 1), ("A", "Q", "WISHLIST", "SS1", "t", 2)],
+              [("A", "R", "ADD_TO_CART", "SS2", "t", 3), ("A", "P", "PURCHASE", "SS2", "t", 4)]]
+    query, seen = None, 0
+    for half in halves:
+        spark.createDataFrame(half, EVENT_FIELDS).coalesce(1).write.mode("append").parquet(source)
+        seen += len(half)
+        if query is None:
+            stream = spark.readStream.schema(EVENT_FIELDS).parquet(source)
+            alerts = stream_alerts(stream, expire_ms=expire_ms)
+            query = start_table(alerts, str(tmp_path / "out"), str(tmp_path / "cp"), "1 second")
+        until = time.time() + 60
+        while sum(p["numInputRows"] for p in query.recentProgress) < seen and time.time() < until:
+            time.sleep(0.2)
+    query.stop()
+    kinds = sorted(r.alert_type for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    more = [] if expire_ms else ["CONVERSION_SUCCESS", "DYNAMIC_PRICING", "DYNAMIC_PRICING"]
+    assert kinds == [*more, *["INTENT_CAPTURED"] * 3]
+
+
+def test_final_minutes_and_late_rows(spark, sf_dir, tmp_path):
+    """Events out of order: final minutes and late rows are the velocity, once each."""
+    events = tables.unsessioned_events(spark, sf_dir).select("event_ts", "seq").cache()
+    source = str(tmp_path / "in")
+    bounds = events.selectExpr("percentile(unix_micros(event_ts), array(0.3, 0.6, 1.0))").first()[0]
+    low = -1
+    for number, high in enumerate(bounds):
+        inside = (F.unix_micros("event_ts") > low) & (F.unix_micros("event_ts") <= high) & (F.col("seq") % 9 != 0)
+        # One event of nine comes with the last part.
+        part = events.where(inside if number < 2 else inside | (F.col("seq") % 9 == 0))
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        run(start_table(final_minutes(stream), str(tmp_path / "out"), str(tmp_path / "cp")))
+        low = high
+    out = spark.read.parquet(str(tmp_path / "out"))
+    late = [r.seq for r in out.where("kind = 'late'").collect()]
+    assert len(late) == len(set(late)) > 10 and all(s % 9 == 0 for s in late)
+    end = events.agg(F.max("event_ts")).first()[0]
+    closed = F.col("minute") <= F.lit(end) - F.expr("interval 11 minutes")
+    got = out.where(closed).groupBy("minute").agg(F.sum("events").alias("events"))
+    want = dashboards.ingestion_velocity(events).where(closed)
+    assert rows_of(got) == rows_of(want)
+    per_part = out.where("kind = 'final'").groupBy("minute").count()
+    assert per_part.where("count > 64").count() == 0
