@@ -3,16 +3,21 @@
 * Equal vectors are one class; only classes are compared.
 * On a bounded sample (``SAMPLE`` classes) rotations are learned that bring the centred vectors
   close to the corners of a cube (iterative quantisation), each from its own random start; bits
-  are cut at the median, so codes are balanced. Several are joined to one code.
-* A code is cut into ``SUBBITS``-bit pieces, one hash table each. A class stands in its bucket
-  and asks in the buckets one bit away; a bit is only flipped upwards, so a pair meets once in a
-  table. Pairs that differ in at most one bit of any piece are found; at cosine 0.9, where each
-  bit differs with probability 0.14, eight tables find about 95 % of pairs, and nearly all above.
-* How many tables a length and its vectors need is measured when the quantiser is fitted: rows of
-  the sample that nothing was learned from meet neighbours made at exactly the asked cosine, and rotations are added until
-  ``TARGET`` of these pairs meet. Centring takes what all vectors share out of their cosines; where
-  ``MOST`` tables do not make up for that, less of the mean is taken off and bits are cut by random
-  planes through that centre, in the end the origin, where a bit depends on the angle alone.
+  are cut at the median, so codes are balanced. Of a length that is no multiple of a piece, more
+  directions than the length has are learned, to whole pieces.
+* A code is cut into pieces, one hash table each. Their width follows the number of classes
+  (``piece_bits``), so that buckets stay short at every size. A class stands in its bucket and
+  asks in the buckets one bit away; a bit is only flipped upwards, so a pair meets once in a
+  table. Pairs that differ in at most one bit of any piece are found.
+* How many tables the vectors need is measured when the quantiser is fitted, on two kinds of pairs
+  of rows that nothing was learned from: their real neighbours in the sample, a little above the
+  asked cosine, and neighbours made at exactly that cosine by moving towards other rows, so
+  along the directions that the data have. Tables are added until ``TARGET`` of both meet.
+  Centring takes what all vectors share out of their cosines; where ``MOST`` tables do not make
+  up for that, the cuts of the same rotations move from the median towards the origin.
+* If no cut meets the target, and for vectors of any length but the most frequent one, planes
+  are drawn at random through the origin. There a bit differs with the probability angle / pi
+  whatever the data, so the number of tables follows from ``PROVEN`` alone.
 * First only codes travel, and entries without a partner within the radius are dropped: one row
   per entry, never pairs. The radius is the mean distance of the neighbours' codes and four of
   its standard deviations. Then the vectors of the remaining entries meet in their buckets and
@@ -42,13 +47,17 @@ from clickloom.llm.tables import beside, read, stage
 COSINE = 0.9
 SAMPLE = 20_000
 ITERATIONS = 30
-SUBBITS = 16
+SUBBITS = 16  # of a piece, where the number of classes is not known
+BUCKET_ROWS = 64  # entries that a bucket should hold
 TABLES = 8  # to begin with
 MOST = 40
 TARGET = 0.93
+PROVEN = 0.95
 SHARES = (1.0, 0.75, 0.5, 0.25, 0.0)
 TRIALS = 4000
 CELL_ROWS = 2048
+# Places in the number of a bucket: the length of its vectors, the table, the piece.
+TABLE_AT, SIZE_AT = 32, 44
 
 MEMBERS = "vec_id bigint, class bigint, vector binary"
 ENTRIES = "bucket bigint, home boolean, class bigint, code binary"
@@ -83,77 +92,151 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def neighbours(units: np.ndarray, cosine: float, rng: np.random.Generator) -> np.ndarray:
-    """For each unit vector another one at that cosine, in a random direction."""
+def piece_bits(classes: int) -> int:
+    """The least width at which buckets of ``classes`` codes hold ``BUCKET_ROWS`` entries."""
+    bits = 8
+    while bits < 32 and classes * (1 + bits / 2) > BUCKET_ROWS << bits:
+        bits += 1
+    return bits
+
+
+def neighbours(
+    units: np.ndarray, cosine: float, rng: np.random.Generator, side: np.ndarray | None = None
+) -> np.ndarray:
+    """For each unit vector another one at that cosine, in a random direction or towards ``side``."""
     if units.shape[1] == 1:
         return units
-    side = rng.standard_normal(units.shape)
-    side -= (side * units).sum(axis=1, keepdims=True) * units
+    side = rng.standard_normal(units.shape) if side is None else side
+    side = side - (side * units).sum(axis=1, keepdims=True) * units
+    flat = np.abs(side).max(axis=1) < 1e-9
+    if flat.any():
+        side[flat] = rng.standard_normal((flat.sum(), units.shape[1]))
+        side[flat] -= (side[flat] * units[flat]).sum(axis=1, keepdims=True) * units[flat]
     return cosine * units + np.sqrt(max(0.0, 1 - cosine**2)) * unit(side)
 
 
+def _real_neighbours(
+    units: np.ndarray, tried: np.ndarray, cosine: float, rng: np.random.Generator
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a tried row and any row, of cosines from the asked one to a quarter of the way
+    to 1; about ``TRIALS``, from all tried rows alike."""
+    rows = rng.permutation(np.flatnonzero(tried))
+    each = max(1, TRIALS // len(rows))
+    ones, others = [], []
+    for begin in range(0, len(rows), 256):
+        part = rows[begin : begin + 256]
+        found = units[part] @ units.T
+        a, b = np.nonzero((found >= cosine) & (found < cosine + (1 - cosine) / 4))
+        order = rng.permutation(len(a))
+        order = order[np.argsort(a[order], kind="stable")]
+        a, b = a[order], b[order]
+        first = np.searchsorted(a, a)
+        use = np.arange(len(a)) - first < each
+        ones.append(part[a[use]])
+        others.append(b[use])
+    return units[np.concatenate(ones)[:TRIALS]], units[np.concatenate(others)[:TRIALS]]
+
+
 class Quantiser:
-    """Rotations of shifted unit vectors, thresholds of the bits, and the radius of the codes:
-    as many rotations as pairs at ``cosine`` need to meet."""
+    """Directions, the cuts of their bits, and the radius of the codes: as many pieces of
+    ``bits`` as pairs at ``cosine`` need to meet in one."""
 
-    def __init__(self, vectors: np.ndarray, cosine: float = COSINE, iterations: int = ITERATIONS, seed: int = 1):
+    def __init__(
+        self, vectors: np.ndarray, cosine: float = COSINE, iterations: int = ITERATIONS, seed: int = 1,
+        bits: int = SUBBITS,
+    ):
         rng, trial = np.random.default_rng(seed), np.random.default_rng([seed, 1])
-        self.size = vectors.shape[1]
-        # All directions in whole pieces of a code.
-        width = -(-self.size // SUBBITS) * SUBBITS
+        self.size, self.bits = vectors.shape[1], bits
         units = unit(vectors)
-        mean = units.mean(axis=0)
+        centred = units - units.mean(axis=0)
         # Rotations fit the rows they are learned from better than others: every fifth row is
         # kept for the measure.
         tried = np.arange(len(units)) % 5 == 0 if len(units) >= 50 else np.ones(len(units), bool)
-        shown = ~tried if len(units) >= 50 else tried
+        shown = centred[~tried if len(units) >= 50 else tried]
         one = units[tried][trial.integers(0, tried.sum(), TRIALS)]
-        other = neighbours(one, cosine, trial)
+        pairs = [(one, neighbours(one, cosine, trial, centred[trial.integers(0, len(units), TRIALS)]))]
+        real = _real_neighbours(units, tried, cosine, trial)
+        if len(real[0]) >= 50:
+            pairs.append(real)
+        planes = np.zeros((self.size, 0))
+        middle = np.zeros(0)
         for share in SHARES:
-            self.mean = share * mean
-            self.planes = np.zeros((self.size, 0))
-            self.cut = np.zeros(0)
-            shifted = units - self.mean
-            _, directions = np.linalg.eigh(shifted.T @ shifted)
-            basis = directions[:, ::-1]
-            reduced = shifted[shown] @ basis
-            learned = share == 1 and width == self.size
-            met = np.zeros(TRIALS, bool)
-            apart = np.zeros(TRIALS, np.int64)
-            while True:
-                turn = np.linalg.qr(rng.standard_normal((self.size, width)).T)[0].T
-                for _ in range(iterations if learned else 0):
-                    corners = np.where(reduced @ turn >= 0, 1.0, -1.0)
-                    left, _, right = np.linalg.svd(reduced.T @ corners)
-                    turn = left @ right
-                planes = basis @ turn
-                cut = np.median(shifted @ planes, axis=0) if share == 1 else np.zeros(width)
-                bits = _pieces(one - self.mean, planes, cut) ^ _pieces(other - self.mean, planes, cut)
-                differ = np.bitwise_count(bits)
-                met |= (differ <= 1).any(axis=1)
-                apart += differ.sum(axis=1, dtype=np.int64)
-                self.planes = np.concatenate([self.planes, planes], axis=1)
-                self.cut = np.concatenate([self.cut, cut])
-                tables = len(self.cut) // SUBBITS
-                if tables >= TABLES and (met.mean() >= TARGET or tables >= MOST):
-                    break
-            if met.mean() >= TARGET:
-                break
-        self.recall = float(met.mean())
-        self.radius = int(np.ceil(apart.mean() + 4 * apart.std()))
+            met = [np.zeros(len(a), bool) for a, _ in pairs]
+            apart = [np.zeros(len(a), np.int64) for a, _ in pairs]
+            for table in range(MOST):
+                here = slice(table * bits, (table + 1) * bits)
+                while planes.shape[1] < here.stop:
+                    turn = self._rotation(shown, iterations, rng)
+                    planes = np.concatenate([planes, turn], axis=1)
+                    middle = np.concatenate([middle, np.median(units @ turn, axis=0)])
+                for k, (a, b) in enumerate(pairs):
+                    differ = np.bitwise_count(
+                        _pieces(a, planes[:, here], share * middle[here], bits)
+                        ^ _pieces(b, planes[:, here], share * middle[here], bits)
+                    )[:, 0]
+                    met[k] |= differ <= 1
+                    apart[k] += differ
+                self.recall = min(float(m.mean()) for m in met)
+                if table + 1 >= TABLES and self.recall >= TARGET:
+                    self.planes, self.cut = planes[:, : here.stop], share * middle[: here.stop]
+                    self.radius = max(int(np.ceil(x.mean() + 4 * x.std())) for x in apart)
+                    return
+        self._draw(cosine)
+
+    def _rotation(self, shown: np.ndarray, iterations: int, rng: np.random.Generator) -> np.ndarray:
+        """Directions whose signs are close to the rows', whole pieces of them."""
+        width = -(-self.size // self.bits) * self.bits
+        turn = np.linalg.qr(rng.standard_normal((width, self.size)))[0].T
+        for _ in range(iterations):
+            corners = np.where(shown @ turn >= 0, 1.0, -1.0)
+            left, _, right = np.linalg.svd(shown.T @ corners, full_matrices=False)
+            turn = left @ right
+        return turn
+
+    @classmethod
+    def drawn(cls, size: int, cosine: float = COSINE, bits: int = SUBBITS) -> Quantiser:
+        """Without a sample: random planes through the origin."""
+        model = cls.__new__(cls)
+        model.size, model.bits = size, bits
+        model._draw(cosine)
+        return model
+
+    def _draw(self, cosine: float) -> None:
+        differs = float(np.arccos(np.clip(cosine, -1.0, 1.0)) / np.pi)
+        meets = (1 - differs) ** self.bits + self.bits * differs * (1 - differs) ** (self.bits - 1)
+        tables = TABLES if meets >= 1 else max(TABLES, int(np.ceil(np.log(1 - PROVEN) / np.log1p(-meets))))
+        if tables > 1 << SIZE_AT - TABLE_AT:
+            raise ValueError(f"a cosine of {cosine} is too small for codes")
+        count = tables * self.bits
+        self.planes = np.random.default_rng([self.size, 2]).standard_normal((self.size, count))
+        self.cut = np.zeros(count)
+        self.recall = 1 - (1 - meets) ** tables
+        self.radius = int(np.ceil(count * differs + 4 * np.sqrt(count * differs * (1 - differs))))
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
-        """Pieces of every code; a vector of another length is cut or filled up with zeros."""
-        if vectors.shape[1] != self.size:
-            fitted = np.zeros((len(vectors), self.size))
-            width = min(self.size, vectors.shape[1])
-            fitted[:, :width] = vectors[:, :width]
-            vectors = np.where(fitted.any(axis=1, keepdims=True), fitted, 1.0)
-        return _pieces(unit(vectors) - self.mean, self.planes, self.cut)
+        """The pieces of every vector's code, one column per table."""
+        return _pieces(unit(vectors), self.planes, self.cut, self.bits)
+
+
+class Quantisers:
+    """The quantiser learned for the most frequent length, and drawn ones for all others."""
+
+    def __init__(self, learned: Quantiser, cosine: float):
+        self.cosine, self.bits = cosine, learned.bits
+        self.by_size = {learned.size: learned}
+
+    def of(self, size: int) -> Quantiser:
+        if size not in self.by_size:
+            if len(self.by_size) > 8:  # the learned one stays, as the first
+                del self.by_size[list(self.by_size)[1]]
+            self.by_size[size] = Quantiser.drawn(size, self.cosine, self.bits)
+        return self.by_size[size]
 
 
-def _pieces(shifted: np.ndarray, planes: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    return np.packbits(shifted @ planes > cut, axis=1, bitorder="little").view(np.uint16)
+def _pieces(units: np.ndarray, planes: np.ndarray, cut: np.ndarray, bits: int) -> np.ndarray:
+    kind = np.uint16 if bits <= 16 else np.uint32
+    above = (units @ planes > cut).reshape(len(units), -1, bits)
+    return (above.astype(kind) << np.arange(bits, dtype=kind)).sum(axis=2, dtype=kind)
 
 
 def _doubles(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -164,27 +247,28 @@ def _doubles(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, np.frombuffer(b"".join(raw[k] for k in rows), np.float64).reshape(len(rows), -1)
 
 
-def _entries(model: Quantiser, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entries(models: Quantisers, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets of every class: its own in each table, and those one raised bit away."""
-    raised = (1 << np.arange(SUBBITS)).astype(np.uint16)
+    raised = 1 << np.arange(models.bits, dtype=np.int64)
     for batch in batches:
         names = batch.column("class").to_numpy()
         for rows, vectors in _doubles(batch.column("vector").to_pylist()):
+            model = models.of(vectors.shape[1])
             for begin in range(0, len(rows), 1000):
                 part = rows[begin : begin + 1000]
                 codes = model.codes(vectors[begin : begin + 1000])
                 # Whole words, as _partnered reads them.
-                words = np.pad(codes, ((0, 0), (0, -codes.shape[1] % 4)))
+                words = np.pad(codes, ((0, 0), (0, -codes.shape[1] % (8 // codes.itemsize))))
                 raw = np.array([c.tobytes() for c in words], object)
                 who, tables = np.divmod(np.arange(codes.size), codes.shape[1])
-                own = codes.reshape(-1)
+                own = codes.reshape(-1).astype(np.int64)
                 up, bit = np.nonzero((own[:, None] & raised[None, :]) == 0)
                 asks = own[up] | raised[bit]
-                bucket = np.concatenate([tables << SUBBITS | own, tables[up] << SUBBITS | asks])
+                bucket = np.concatenate([tables << TABLE_AT | own, tables[up] << TABLE_AT | asks])
                 at = np.concatenate([who, who[up]])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket.astype(np.int64) | (vectors.shape[1] << 32)),
+                        pa.array(bucket | (vectors.shape[1] << SIZE_AT)),
                         pa.array(np.arange(len(at)) < len(who)),
                         pa.array(names[part][at]),
                         pa.array(raw[at].tolist(), pa.binary()),
@@ -218,7 +302,9 @@ def _by_key(key: str, batches: Iterator[pa.RecordBatch], most: int | None) -> It
         yield pa.Table.from_batches(held), cut
 
 
-def _partnered(radius: int, cell_rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _partnered(
+    models: Quantisers, radius: int | None, cell_rows: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
     """Entries that have another class within the radius in their bucket. Entries of a bucket
     with more than ``cell_rows`` all stay: the comparison of vectors decides."""
 
@@ -233,12 +319,14 @@ def _partnered(radius: int, cell_rows: int, batches: Iterator[pa.RecordBatch]) -
                 continue
             codes = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint64).reshape(len(rows), -1)
             names = table.column("class").to_numpy()
+            size = table.column("bucket")[0].as_py() >> SIZE_AT
+            most = models.of(size).radius if radius is None else radius
             near = np.zeros(len(rows), bool)
             at = np.flatnonzero(home)
             for begin in range(0, len(rows), 256):
                 part = slice(begin, begin + 256)
                 apart = np.bitwise_count(codes[part, None, :] ^ codes[None, at, :]).sum(axis=2)
-                met = (apart <= radius) & (names[part, None] != names[None, at])
+                met = (apart <= most) & (names[part, None] != names[None, at])
                 near[part] |= met.any(axis=1)
                 near[at] |= met.any(axis=0)
             rows = rows[near]
@@ -262,7 +350,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _compared(cosine: float, model: Quantiser, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(cosine: float, models: Quantisers, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of every cell: ``(class, links, root)``, the number of vectors a class is linked to
     there and the first class of its component there."""
     for table, _ in _by_key("cell", batches, None):
@@ -270,7 +358,7 @@ def _compared(cosine: float, model: Quantiser, batches: Iterator[pa.RecordBatch]
         if n < 2:
             continue
         bucket = int(table.column("bucket")[0].as_py())
-        number = (bucket & 0xFFFFFFFF) >> SUBBITS
+        number = bucket >> TABLE_AT & (1 << SIZE_AT - TABLE_AT) - 1
         home = table.column("home").to_numpy()
         names = table.column("class").to_numpy()
         weight = table.column("n").to_numpy()
@@ -278,7 +366,7 @@ def _compared(cosine: float, model: Quantiser, batches: Iterator[pa.RecordBatch]
         _, first, second = table.column("cell")[0].as_py().split("/")
         crossing = first != second
         (_, vectors), = _doubles(table.column("vector").to_pylist())
-        codes = model.codes(vectors)
+        codes = models.of(vectors.shape[1]).codes(vectors)
         units = unit(vectors)
         at = np.flatnonzero(home)
         links = np.zeros(n, np.int64)
@@ -308,8 +396,8 @@ def _compared(cosine: float, model: Quantiser, batches: Iterator[pa.RecordBatch]
             )
 
 
-def _fitted(classes: DataFrame, sample: int, cosine: float) -> Quantiser | None:
-    """A quantiser learned on about ``sample`` classes, of the length most of them have."""
+def _fitted(classes: DataFrame, sample: int, cosine: float) -> Quantisers | None:
+    """Quantisers, with one learned on about ``sample`` classes for the length most of them have."""
     total = classes.count()
     if not total:
         return None
@@ -320,7 +408,7 @@ def _fitted(classes: DataFrame, sample: int, cosine: float) -> Quantiser | None:
     if not found:
         found = [(r["class"], bytes(r.vector)) for r in classes.limit(1).collect()]
     _, vectors = max(_doubles([v for _, v in found[: 2 * sample]]), key=lambda m: len(m[0]))
-    return Quantiser(vectors, cosine)
+    return Quantisers(Quantiser(vectors, cosine, bits=piece_bits(total)), cosine)
 
 
 def linked_classes(
@@ -329,13 +417,12 @@ def linked_classes(
 ) -> DataFrame | None:
     """``(class, links, root)`` per cell with links; ``classes`` is a staged table of
     ``class, n, vector``. Without a ``radius``, the quantiser's is taken."""
-    model = _fitted(classes, sample, cosine)
-    if model is None:
+    models = _fitted(classes, sample, cosine)
+    if models is None:
         return None
-    radius = model.radius if radius is None else radius
-    entries = classes.select("class", "vector").mapInArrow(lambda b: _entries(model, b), ENTRIES)
+    entries = classes.select("class", "vector").mapInArrow(lambda b: _entries(models, b), ENTRIES)
     dealt = entries.repartition("bucket").sortWithinPartitions("bucket")
-    live = stage(dealt.mapInArrow(lambda b: _partnered(radius, cell_rows, b), "bucket bigint, home boolean, class bigint"))
+    live = stage(dealt.mapInArrow(lambda b: _partnered(models, radius, cell_rows, b), "bucket bigint, home boolean, class bigint"))
     counts = live.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
     big = counts.where(F.col("_n") > cell_rows).select("bucket", F.ceil(F.col("_n") / cell_rows).cast("int").alias("_p"))
     rows = live.join(beside(stage(big)), "bucket", "left").withColumn("_p", F.coalesce("_p", F.lit(1)))
@@ -347,7 +434,7 @@ def linked_classes(
     placed = rows.select("cell", "bucket", "home", "block", "class").join(beside(classes), "class")
     cells = placed.repartition("cell").sortWithinPartitions("cell")
     return stage(cells.mapInArrow(
-        lambda b: _compared(cosine, model, b), "class bigint, links bigint, root bigint"
+        lambda b: _compared(cosine, models, b), "class bigint, links bigint, root bigint"
     ))
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from clickloom.llm.embeddings import Quantiser, _by_key, near_duplicates, neighbours
+from clickloom.llm.embeddings import Quantiser, _by_key, near_duplicates, neighbours, piece_bits, unit
 
 SCHEMA = "vec_id long, embedding array<double>, class string, vector string"
 
@@ -141,3 +141,71 @@ def test_sizes_against_brute_force(spark, size):
     rows = [(k, v.tolist()) for k, v in enumerate(every)]
     want, got = brute(rows), run(spark, rows)
     assert sum(w[1] for w in want) * 0.9 <= sum(g[1] for g in got) <= sum(w[1] for w in want)
+
+
+def uneven(n, size, power, common, seed=5):
+    """Directions of very unequal weight around a mean that all vectors share."""
+    rng = np.random.default_rng(seed)
+    scale = np.arange(1, size + 1) ** -power
+    turn = np.linalg.qr(rng.standard_normal((size, size)))[0]
+    mean = rng.standard_normal(size)
+    mean *= common * np.linalg.norm(scale) / np.linalg.norm(mean)
+    return (rng.standard_normal((n, size)) * scale) @ turn + mean
+
+
+def clustered(n, size, seed=8):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((n // 20, size))
+    return centres[rng.integers(0, len(centres), n)] + 0.32 * rng.standard_normal((n, size))
+
+
+@pytest.mark.parametrize("bits", [10, 16, 20])
+@pytest.mark.parametrize("size", [5, 64, 100, 256])
+@pytest.mark.parametrize("make", [
+    lambda n, size: uneven(n, size, 1.0, 1.0), lambda n, size: uneven(n, size, 1.0, 0.5),
+    lambda n, size: uneven(n, size, 1.0, 2.0), clustered,
+], ids=["common", "less", "more", "clusters"])
+def test_recall_of_real_pairs(make, size, bits):
+    """Of all pairs at the bound and above, and of those a little above it."""
+    units = unit(make(3000, size))
+    model = Quantiser(units, iterations=10, bits=bits)
+    codes = model.codes(units)
+    a, b = np.nonzero(np.triu(units @ units.T >= 0.9, 1))
+    rng = np.random.default_rng(1)
+    drawn = rng.permutation(len(a))[:100_000]
+    a, b = a[drawn], b[drawn]
+    apart = np.bitwise_count(codes[a] ^ codes[b])
+    found = (apart <= 1).any(axis=1) & (apart.sum(axis=1) <= model.radius)
+    close = (units[a] * units[b]).sum(axis=1) < 0.92
+    assert found.mean() >= 0.9
+    assert close.sum() < 100 or found[close].mean() >= 0.85
+
+
+def test_drawn_planes_find_pairs_of_any_vectors():
+    for size in (2, 7, 300):
+        for bits in (8, 16, 24):
+            model = Quantiser.drawn(size, bits=bits)
+            a = unit(uneven(4000, size, 1.0, 3.0))
+            b = neighbours(a, 0.9, np.random.default_rng(2))
+            apart = np.bitwise_count(model.codes(a) ^ model.codes(b))
+            if size > 2:  # in a plane, all pairs meet the same few directions
+                assert ((apart <= 1).any(axis=1) & (apart.sum(axis=1) <= model.radius)).mean() >= 0.9
+            assert model.recall >= 0.95
+
+
+def test_width_follows_the_number_of_classes():
+    assert [piece_bits(n) for n in (0, 1, 10_000, 10**6, 10**9)] == [8, 8, 10, 18, 28]
+    for n in (5_000, 10**5, 10**7, 10**10):
+        bits = piece_bits(n)
+        assert n * (1 + bits / 2) <= 64 * 2**bits
+
+
+def test_several_lengths(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for size in (24, 40, 64):
+        base = rng.standard_normal((90 if size == 40 else 40, size))
+        near = base[:30] + 0.1 * rng.standard_normal((30, size))
+        rows += [(len(rows) + k, v.tolist()) for k, v in enumerate(np.concatenate([base, near]))]
+    want, got = brute(rows), run(spark, rows)
+    assert sum(w[1] for w in want) * 0.9 <= sum(g[1] for g in got) <= sum(w[1] for w in want)
