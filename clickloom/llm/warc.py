@@ -48,6 +48,8 @@ FILE_BYTES = 1 << 30
 # Ranges of one file that are at most this far apart are read together, up to READ_BYTES.
 GAP_BYTES = 64 * 1024
 READ_BYTES = 8 << 20
+# Archive bytes that a reading task is dealt at a time.
+TASK_BYTES = 128 << 20
 DATE = "1970-01-01T00:00:00Z"
 
 RECORDS = (
@@ -386,9 +388,17 @@ _CAPTURE_SCHEMA = pa.schema([
 ])
 
 
-def read_records(places: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records at ``file, offset, length``; a revisit has no payload of its own."""
-    dealt = places.select("file", "offset", "length").repartitionByRange("file", "offset")
+def read_records(
+    places: DataFrame, folder: str, with_payload: bool = True, task_bytes: int = TASK_BYTES
+) -> DataFrame:
+    """The records at ``file, offset, length``; a revisit has no payload of its own.
+
+    ``places`` should be a written table, as their lengths are summed first: the small rows say
+    nothing of the bytes behind them, so tasks are dealt stretches of ``task_bytes`` of a file.
+    """
+    total = places.agg(F.sum("length")).first()[0] or 0
+    stretch = F.floor(F.col("offset") / task_bytes)
+    dealt = places.select("file", "offset", "length").repartition(-(-total // task_bytes) or 1, "file", stretch)
     ordered = dealt.sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(lambda b: _range_reads(folder, with_payload, b), CAPTURES)
 

@@ -59,6 +59,16 @@ def test_every_record_is_read_back(archive):
             assert (r.page_id, r.url, bytes(r.payload)) in source
 
 
+def test_reading_tasks_follow_the_archive_bytes(archive):
+    folder, frame, _, shards = archive
+    places = warc.look_up(frame, folder, shards)
+    for task_bytes in (1 << 30, 500):
+        read = warc.read_records(places, folder, task_bytes=task_bytes)
+        total = sum(r.length for r in places.select("length").collect())
+        assert read.rdd.getNumPartitions() == -(-total // task_bytes)
+        assert read.count() == places.count()
+
+
 def test_lookup_of_single_urls(spark, archive):
     folder, _, records, shards = archive
     rows = records.collect()
