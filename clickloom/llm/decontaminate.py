@@ -9,8 +9,9 @@ backwards at once, their occurrences located by walking to sampled positions, an
 spans merged per document. Documents are never shuffled.
 
 The phrases are the stated query set. They are read in blocks of at most ``BLOCK_WORDS`` words,
-each sent to the tasks as one array; with more than one block the texts are searched once per
-block and spans and items of a document are merged afterwards.
+each sent to the tasks as one array. With more than one block the texts are searched once per
+block, one block after the other, and what was found is written before the next block is read: the
+driver never holds more than three blocks. Spans and items of a document are merged afterwards.
 
 Defined results: a null text and an empty one have no words; a null or empty item has no
 phrase; an item with a null id marks words but is not listed; repeated rows of documents are
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -272,31 +275,35 @@ def contaminated_spans(
     """Per document ``doc_id, text, n_words``, the merged word ``spans`` that occurrences of
     benchmark windows cover, and the sorted ids of the ``items`` that occur."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    found = []
-    for block in _blocks(benchmark, block_words):
-        known = phrases_of([i for i, _ in block], [t for _, t in block], window)
-        found.append(texts.mapInArrow(lambda b, k=known: _search(k, b), SPANS))
-    if not found:
-        empty = phrases_of([], [], window)
-        return texts.mapInArrow(lambda b: _search(empty, b), SPANS)
-    if len(found) == 1:
-        return found[0]
-    return _merged(found)
-
-
-def _merged(found: list[DataFrame]) -> DataFrame:
-    """Results of several phrase blocks as one. Rows that repeat are numbered by no column, so
-    equal rows of a block are folded with their number and unfolded again."""
-    every = found[0].select(*found[0].columns)
-    for more in found[1:]:
-        every = every.unionAll(more)
-    key = ["doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_h"), F.isnull("text").alias("_null")]
-    grouped = every.groupBy(*key).agg(
-        F.first("text").alias("text"),
-        F.first("n_words").alias("n_words"),
-        F.expr("count(1) div {}".format(len(found))).alias("_rows"),
+    blocks = _blocks(benchmark, block_words)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return _searched(texts, first, window)
+    written = [
+        stage(
+            _searched(texts, block, window).where("size(spans) > 0")
+            .select("doc_id", _text_key().alias("_text"), "spans", "items").distinct()
+        )
+        for block in chain([first, second], blocks)
+    ]
+    return _merged(_searched(texts, [], window), written)
+
+
+def _searched(texts: DataFrame, block: list, window: int) -> DataFrame:
+    known = phrases_of([i for i, _ in block], [t for _, t in block], window)
+    return texts.mapInArrow(lambda b: _search(known, b), SPANS)
+
+
+def _text_key():
+    return F.sha2("text", 256)
+
+
+def _merged(every: DataFrame, written: list[DataFrame]) -> DataFrame:
+    """All rows with what several phrase blocks found in them; rows that agree in ``doc_id`` and
+    ``text`` hold the same."""
+    found = reduce(DataFrame.unionAll, written).groupBy("doc_id", "_text").agg(
         F.array_distinct(F.flatten(F.collect_set("spans"))).alias("_spans"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("_items"),
     )
     merged = F.aggregate(
         F.array_sort("_spans"),
@@ -312,10 +319,14 @@ def _merged(found: list[DataFrame]) -> DataFrame:
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
-    return grouped.select(
-        "doc_id", "text", "n_words", merged.alias("spans"), "items",
-        F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_k"),
-    ).drop("_k")
+    hits = stage(found.select(F.col("doc_id").alias("_id"), "_text", merged.alias("_merged"), "_items"))
+    joined = every.join(
+        beside(hits), F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_key() == F.col("_text")), "left"
+    )
+    return joined.select(
+        "doc_id", "text", "n_words", F.coalesce("_merged", "spans").alias("spans"),
+        F.coalesce("_items", "items").alias("items"),
+    )
 
 
 def report(spans: DataFrame) -> DataFrame:

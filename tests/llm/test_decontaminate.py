@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import random
 import re
@@ -5,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from clickloom.llm import decontaminate
 from clickloom.llm.decontaminate import FMIndex, contaminated_spans, decontaminated, report, suffix_order
 
 DOCS = "doc_id long, text string, spans string, items string"
@@ -63,6 +65,23 @@ def test_blocks_of_phrases(spark):
     assert run(spark, docs, items, window=3, block_words=4) == brute(docs, items, 3)
 
 
+def test_blocks_are_let_go(spark):
+    """The phrases of a block are gone before the next but one is read."""
+    docs, items = material(9)
+    alive = []
+    made = decontaminate.phrases_of
+
+    def counted(*args):
+        gc.collect()
+        alive.append(sum(isinstance(o, decontaminate.Phrases) for o in gc.get_objects()))
+        return made(*args)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(decontaminate, "phrases_of", counted)
+        assert run(spark, docs + docs[:3], items[:12], window=3, block_words=1) == brute(docs + docs[:3], items[:12], 3)
+    assert len(alive) > 6 and max(alive[2:]) <= alive[0] + 3
+
+
 def test_edges(spark):
     long = " ".join(f"u{k}" for k in range(40_000)) + " one, two; THREE four"
     docs = [(1, None), (2, ""), (3, long), (None, "one two three four"), (3, long), (4, "é one-two"), (5, "...")]
