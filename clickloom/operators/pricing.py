@@ -33,12 +33,13 @@ def session_summary(events: DataFrame) -> DataFrame:
     number (null when there is none). ``steps_back``: an event of this number comes after
     one of a greater number. ``rows``: events of this number.
 
-    The aggregate combines on the map side. The window sees session numbers, not events,
-    and at most ``BLOCK`` of them at a time: an account shared by many visitors may have
-    any number of sessions.
+    The aggregates combine on the map side. The window sees session numbers, not events or
+    texts (all texts without digits are number 0), and at most ``BLOCK`` of them at a time: an
+    account shared by many visitors may have any number of sessions.
     """
-    # Grouping by the id text too keeps the aggregate on fixed-width buffers.
-    seen = (
+    # Grouping by the id text first keeps that aggregate, the one over all events, on
+    # fixed-width buffers.
+    texts = (
         _sessions(events)
         .groupBy("acc_id", "session_no", "session_id")
         .agg(
@@ -46,22 +47,31 @@ def session_summary(events: DataFrame) -> DataFrame:
             F.max("seq").alias("last_seq"),
             F.count(F.lit(1)).alias("rows"),
         )
+    )
+    seen = (
+        texts.groupBy("acc_id", "session_no")
+        .agg(
+            F.min(F.struct("first_seq", "session_id")).alias("first"),
+            F.max("last_seq").alias("last_seq"),
+            F.sum("rows").alias("rows"),
+        )
         .withColumn("block", floor_div(F.col("session_no").cast("long"), BLOCK))
     )
-    downwards = Window.partitionBy("acc_id", "block").orderBy(F.desc("session_no"))
-    above = downwards.rangeBetween(Window.unboundedPreceding, -1)
-    same = downwards.rangeBetween(Window.currentRow, Window.currentRow)
+    above = (
+        Window.partitionBy("acc_id", "block")
+        .orderBy(F.desc("session_no"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     folded = seen.select(
         "acc_id",
         "block",
         "session_no",
-        F.min(F.struct("first_seq", "session_id")).over(above).alias("head"),
+        F.min("first").over(above).alias("head"),
         F.max("last_seq").over(above).alias("last"),
         F.max("session_no").over(above).alias("top"),
-        F.max("last_seq").over(same).alias("own_last"),
-        F.sum("rows").over(same).alias("rows"),
-        F.lag("session_no").over(downwards).alias("earlier_no"),
-    ).where(~F.col("session_no").eqNullSafe(F.col("earlier_no")))
+        F.col("last_seq").alias("own_last"),
+        "rows",
+    )
     head = F.least("head", "head_beyond")
     greater = F.struct(
         head["first_seq"].alias("first_seq"),
@@ -87,7 +97,7 @@ def _beyond(seen: DataFrame) -> DataFrame:
         seen.where(F.col("session_no") >= BLOCK)
         .groupBy("acc_id", "block")
         .agg(
-            F.min(F.struct("first_seq", "session_id")).alias("head"),
+            F.min("first").alias("head"),
             F.max("last_seq").alias("last"),
             F.max("session_no").alias("top"),
         )

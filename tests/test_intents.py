@@ -151,3 +151,21 @@ def test_search_equals_brute_force(spark, span):
     got = first_greater_after(stale, frame(spark, rows), span).collect()
     assert {(r.acc_id, r.start_session_id, r.seq) for r in got} == want
     assert len(got) == len(want)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_many_texts_of_one_number(spark, seed):
+    """Texts without digits are all session 0, and leading zeros make no other number."""
+    rng = random.Random(seed)
+    texts = ["".join(rng.choice("abcdef") for _ in range(6)) for _ in range(150)]
+    texts += ["x1", "x01", "x001", "y1", "2", "02"]
+    kinds = ["ADD_TO_CART", "VIEW", "CHECKOUT", "PURCHASE", "REMOVE_FROM_CART"]
+    rows = [
+        (rng.choice(["A", "A", "B"]), rng.choice("PQR"), rng.choice(kinds), rng.choice(texts), f"t{i}", i)
+        for i in range(400)
+    ]
+    check(spark, rows)
+    summary = pricing.session_summary(frame(spark, rows)).collect()
+    want = {(r[0], session_number(r[3])) for r in rows}
+    assert len(summary) == len(want) and {(r.acc_id, r.session_no) for r in summary} == want
+    assert sum(r["rows"] for r in summary) == len(rows)
