@@ -8,13 +8,19 @@ event_time, seq``.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickloom import schema as S
 from clickloom.functions import floor_div, is_blank, parse_session_number
 from clickloom.operators.pricing import first_greater_after, session_summary
-from clickloom.plans import HOT_ROWS, SPAN, hot_keys, small_or_shuffled, stage
+from clickloom.plans import HOT_ROWS, SPAN, small_or_shuffled, stage
+
+# A session summary of at most this content is sent to every task.
+SUMMARY_BYTES = 32 * 1024 * 1024
 
+_ENDED = "ENDED"
 _STALE = "STALE"
 _ENTER = "ENTER"
 _ENTER_LIVE = "ENTER_LIVE"
@@ -22,12 +28,9 @@ _EXIT = "EXIT"
 
 _PAIR = ["acc_id", "product_id"]
 INPUT_COLUMNS = (*_PAIR, "event_type", "session_id", "event_time", "seq")
-_GREATER_TYPE = (
-    "struct<first_seq: bigint, first_session_id: string, last_seq: bigint, top_no: int>"
-)
 _START_TYPE = (
     "struct<seq: bigint, origin: string, session_id: string, session_no: int, "
-    f"event_time: string, greater: {_GREATER_TYPE}, base: bigint>"
+    "event_time: string, base: bigint>"
 )
 
 
@@ -59,7 +62,6 @@ def _start(base: Column) -> Column:
         F.col("session_id").alias("session_id"),
         F.col("session_no").alias("session_no"),
         F.col("event_time").alias("event_time"),
-        F.col("greater").alias("greater"),
         base.alias("base"),
     ).cast(_START_TYPE)
 
@@ -172,30 +174,52 @@ def _without_sessions(events: DataFrame, hot_rows: int, span: int) -> DataFrame:
     """Life cycle without the account's other sessions, for the branch alerts."""
     acting = acting_events(events)
     # The windows are over pairs, so pairs are counted, among the rows that act.
-    hot = stage(hot_keys(acting, _PAIR, hot_rows))
-    bare = acting.withColumn("greater", F.lit(None).cast(_GREATER_TYPE))
-    return _life_cycle(_with_ranges(bare, None if hot.isEmpty() else hot, span))
+    counts = acting.groupBy(*_PAIR).agg(F.count(F.lit(1)).alias("rows"))
+    (most,) = counts.agg(F.max("rows")).first()
+    return _life_cycle(_with_ranges(acting, _above(counts, most, hot_rows), span))
+
+
+def _above(counts: DataFrame, most: int | None, hot_rows: int) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows, staged; None, without a job, if none has."""
+    if (most or 0) <= hot_rows:
+        return None
+    return stage(counts.where(F.col("rows") > hot_rows).drop("rows"))
+
+
+class _Sessions(NamedTuple):
+    """What lies beyond each session, whether that is small, and whether any account steps back."""
 
+    greater: DataFrame
+    small: bool
+    steps_back: bool
 
-def _with_sessions(events: DataFrame, hot_rows: int, span: int) -> tuple[DataFrame, bool]:
-    """Life cycle with the account's greater sessions, and whether any account steps back.
 
-    The session summary is staged: two facts about it decide whether the plan needs ranges
-    for hot accounts and a search for accounts that step back. Most inputs need neither.
+def _with_sessions(events: DataFrame, hot_rows: int, span: int) -> tuple[DataFrame, _Sessions]:
+    """Life cycle, and the account's sessions that its intents are to be held against.
+
+    The session summary is staged: what one job over it finds decides whether the plan needs
+    ranges for hot accounts, a search for accounts that step back, and a shuffle to meet
+    the summary. Most inputs need neither of the first two.
     """
     summary = stage(session_summary(events))
-    (steps_back,) = summary.agg(F.max("steps_back")).first()
-    totals = summary.groupBy("acc_id").agg(F.sum("rows").alias("rows"))
-    hot = stage(totals.where(F.col("rows") > hot_rows).select("acc_id"))
-    acting = acting_events(events).join(
-        summary.select("acc_id", "session_no", "greater"), ["acc_id", "session_no"], "left"
+    accounts = summary.groupBy("acc_id").agg(
+        F.sum("rows").alias("rows"),
+        F.max("steps_back").alias("steps_back"),
+        F.sum(F.lit(64) + F.octet_length("acc_id") + _octets("greater.first_session_id")).alias("bytes"),
     )
-    if hot.isEmpty():
-        hot = None
-    return _life_cycle(_with_ranges(acting, hot, span)), bool(steps_back)
+    most, steps_back, size = accounts.agg(F.max("rows"), F.max("steps_back"), F.sum("bytes")).first()
+    hot = _above(accounts.select("acc_id", "rows"), most, hot_rows)
+    rows = _life_cycle(_with_ranges(acting_events(events), hot, span))
+    greater = summary.select("acc_id", "session_no", "greater")
+    small = (size or 0) <= SUMMARY_BYTES
+    return rows, _Sessions(F.broadcast(greater) if small else greater, small, bool(steps_back))
+
 
+def _octets(text: str) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0))
 
-# Columns of an unfolded record after ``alert_type``; the second half serves the search.
+
+# Columns of an unfolded record after ``alert_type``; the last three serve ended intents.
 _RECORD_FIELDS = {
     "seq": "bigint",
     "action": "string",
@@ -207,7 +231,6 @@ _RECORD_FIELDS = {
     "start_seq": "bigint",
     "end_seq": "bigint",
     "session_no": "int",
-    "top_no": "int",
 }
 
 
@@ -265,35 +288,51 @@ def _branch(kind: str) -> Column:
     return _record(kind, when, **values)
 
 
-def _discount(state: str) -> Column:
-    """The first event of a greater session lies after the start: that sets off the discount."""
+def _ended(state: str) -> Column:
+    """The intent at its end: what lies beyond its session decides about a discount."""
     when, end = _ENDS[state]
-    first = f"{state}.greater.first_seq"
     return _record(
-        S.DYNAMIC_PRICING,
-        f"{when} and {first} > {state}.seq and {first} <= coalesce({end}, {first})",
-        seq=first,
-        action=f"'{S.PRICING_ACTION}'",
-        start_session_id=f"{state}.session_id",
-        current_session_id=f"{state}.greater.first_session_id",
-    )
-
-
-def _stale(state: str) -> Column:
-    """It lies before the start, but others lie after: the first of those must be searched."""
-    when, end = _ENDS[state]
-    greater = f"{state}.greater"
-    return _record(
-        _STALE,
-        f"{when} and {greater}.first_seq < {state}.seq and {greater}.last_seq > {state}.seq",
+        _ENDED,
+        when,
         start_seq=f"{state}.seq",
         end_seq=end,
         session_no=f"{state}.session_no",
-        top_no=f"{greater}.top_no",
         start_session_id=f"{state}.session_id",
     )
 
 
+def _judged(records: DataFrame, greater: DataFrame) -> DataFrame:
+    """Ended intents become discounts or, where the first must still be found, stale; or they go.
+
+    The first event of a greater session after the start, and not after the end, sets off the
+    discount. It may lie before the start while others lie after: then the first of those must be
+    searched, which only happens in accounts that step back. Other records stay as they are.
+    """
+    kind = F.col("alert_type")
+    first, start = F.col("greater.first_seq"), F.col("start_seq")
+    until = F.coalesce("end_seq", first)
+    discount = (kind == _ENDED) & (first > start) & (first <= until)
+    stale = (kind == _ENDED) & (first < start) & (F.col("greater.last_seq") > start)
+    judged = (
+        F.when(discount, S.DYNAMIC_PRICING).when(stale, _STALE).when(kind != _ENDED, kind)
+    )
+    session = F.col("greater.first_session_id")
+    return (
+        records.join(greater, ["acc_id", "session_no"], "left")
+        .withColumns(
+            {
+                "alert_type": judged,
+                "seq": F.when(discount, first).otherwise(F.col("seq")),
+                "action": F.when(discount, F.lit(S.PRICING_ACTION)).otherwise(F.col("action")),
+                "current_session_id": F.when(discount, session),
+                "top_no": F.col("greater.top_no"),
+            }
+        )
+        .where(kind.isNotNull())
+        .drop("greater")
+    )
+
+
 def _unfold(rows: DataFrame, records: list[Column]) -> DataFrame:
     return rows.select(*_PAIR, F.inline(F.array_compact(F.array(*records))))
 
@@ -330,30 +369,46 @@ def open_intents(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN)
 
     One is discounted when any event of a greater session lies after its start.
     """
-    rows, _ = _with_sessions(events, hot_rows, span)
+    rows, sessions = _with_sessions(events, hot_rows, span)
     live_after, _ = _ENDS["start_after"]
     start = F.col("start_after")
-    return rows.where(live_after).select(
+    live = rows.where(live_after).select(
         *_PAIR,
         start["origin"].alias("origin_action"),
         start["session_id"].alias("start_session_id"),
-        start["session_no"].alias("start_session_number"),
+        start["session_no"].alias("session_no"),
         start["event_time"].alias("start_time"),
         F.col("attempts_after").alias("checkout_attempts"),
-        F.coalesce(start["greater"]["last_seq"] > start["seq"], F.lit(False)).alias(
-            "discount_applied"
-        ),
+        start["seq"].alias("start_seq"),
+    )
+    passed = F.col("greater.last_seq") > F.col("start_seq")
+    return live.join(sessions.greater, ["acc_id", "session_no"], "left").select(
+        *_PAIR,
+        "origin_action",
+        "start_session_id",
+        F.col("session_no").alias("start_session_number"),
+        "start_time",
+        "checkout_attempts",
+        F.coalesce(passed, F.lit(False)).alias("discount_applied"),
     )
 
 
 def _alerts(events: DataFrame, kinds: list[str], hot_rows: int, span: int) -> DataFrame:
-    rows, steps_back = _with_sessions(events, hot_rows, span)
-    records = [_branch(kind) for kind in kinds] + [_discount(state) for state in _ENDS]
-    if not steps_back:
-        return _unfold(rows, records).select(*S.ALERT_COLUMNS)
-    unfolded = stage(_unfold(rows, records + [_stale(state) for state in _ENDS]))
-    stale = unfolded.where(F.col("alert_type") == _STALE)
-    found = first_greater_after(stale, events, span).select(
+    rows, sessions = _with_sessions(events, hot_rows, span)
+    records = _unfold(rows, [_branch(kind) for kind in kinds] + [_ended(state) for state in _ENDS])
+    kind = F.col("alert_type")
+    if sessions.small or not kinds:
+        judged = _judged(records, sessions.greater)
+    else:
+        # Only intents that end are shuffled to meet their sessions, all else stays in place.
+        records = stage(records)
+        judged = _judged(records.where(kind == _ENDED), sessions.greater).unionByName(
+            records.where(kind != _ENDED), allowMissingColumns=True
+        )
+    if not sessions.steps_back:
+        return judged.select(*S.ALERT_COLUMNS)
+    judged = stage(judged)
+    found = first_greater_after(judged.where(kind == _STALE), events, span).select(
         F.lit(S.DYNAMIC_PRICING).alias("alert_type"),
         *_PAIR,
         "seq",
@@ -361,7 +416,7 @@ def _alerts(events: DataFrame, kinds: list[str], hot_rows: int, span: int) -> Da
         "start_session_id",
         "current_session_id",
     )
-    alerts = unfolded.where(F.col("alert_type") != _STALE).select(*S.ALERT_COLUMNS)
+    alerts = judged.where(kind != _STALE).select(*S.ALERT_COLUMNS)
     return alerts.unionByName(found, allowMissingColumns=True)
 
 

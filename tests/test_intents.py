@@ -89,6 +89,13 @@ def test_messy_inputs_equal_the_model(spark, hot_rows, span):
     check(spark, many(range(60)), hot_rows, span)
 
 
+@pytest.mark.parametrize("hot_rows, span", [(NEVER, NEVER), (20, 13)])
+def test_summary_too_large_to_send(spark, monkeypatch, hot_rows, span):
+    """Ended intents are shuffled to their sessions, other alerts come from where they are."""
+    monkeypatch.setattr(intents, "SUMMARY_BYTES", -1)
+    check(spark, many(range(200, 230)), hot_rows, span)
+
+
 @pytest.mark.parametrize("block", [3])
 def test_session_numbers_in_blocks(spark, monkeypatch, block):
     monkeypatch.setattr(pricing, "BLOCK", block)

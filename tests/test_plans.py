@@ -65,6 +65,26 @@ def test_alerts_order_rows_in_one_shuffle(stored, settings):
     assert text.count("Exchange hashpartitioning(acc_id") == 1
 
 
+def test_only_ended_intents_are_shuffled_to_their_sessions(stored, settings, monkeypatch):
+    """A large summary is met behind the windows: acting rows are exchanged once, by pair."""
+    settings(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(intents, "SUMMARY_BYTES", -1)
+    for operator in (intents.dynamic_pricing, intents.open_intents):
+        lines = plan(operator(stored)).splitlines()
+        exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(acc_id" in line]
+        by_pair = [i for i in exchanges if "product_id" in lines[i].split("hashpartitioning")[1]]
+        windows = [i for i, line in enumerate(lines) if "Window " in line]
+        assert len(exchanges) == 3 and len(by_pair) == 1
+        # Printed from the top: the session's exchange, the windows, the exchange by pair.
+        assert exchanges[0] < min(windows) and max(windows) < by_pair[0]
+
+
+def test_small_inputs_count_hot_keys_without_writing(stored, monkeypatch):
+    """Branch alerts of an input without hot pairs stage nothing."""
+    monkeypatch.setattr(intents, "stage", None)
+    assert intents.branch_alerts(stored, "CHECKOUT_FRICTION").count() >= 0
+
+
 def test_top_products_never_sorts_everything(stored):
     text = plan(dashboards.top_products(stored))
     assert "TakeOrderedAndProject" in text and "partial_count" in text
