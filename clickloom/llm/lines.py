@@ -10,7 +10,9 @@ parts. What comes back per document is a compressed bitmap of the lines to keep.
 
 Defined results: a null or empty text is one empty line; keys without characters are never
 dropped; rows that agree in ``doc_id`` and ``text`` are one document for counting, each is
-answered; null ids are a document like any other; an empty table gives an empty one.
+answered; null ids answered; null ids are a document like any other; an empty table gives an empty one. There are
+no ties: a key is dropped by its number of documents alone. Batches are cut into pieces of a few
+megabytes, a longer text is a piece of its own. Columns that are not carried are not read.
 """
 
 from __future__ import annotations
@@ -224,7 +226,8 @@ def without_common_lines(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Per row ``doc_id, doc, n_lines, n_dropped, kept``: the text without the lines whose key
-    stands in at least ``min_docs`` documents; and the columns in ``carry`` as they were."""
+    stands in at least ``min_docs`` documents; and the columns in ``carry`` as they were, one
+    with the name of a result as ``<name>_carried``."""
     keep = beside(keep_bitmaps(docs, min_docs, min_chars))
     keep = keep.select(F.col("doc_id").alias("_id"), F.col("doc").alias("_doc"), "keep")
     rows = _identified(docs, carry)
@@ -236,10 +239,14 @@ def without_common_lines(
     if carry:
         schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
     applied = joined.mapInArrow(_apply, schema)
-    return applied.select(*applied.columns[:5], "carried.*") if carry else applied
+    own = applied.columns[:5]
+    return applied.select(
+        *own, *(F.col(f"carried.`{c}`").alias(f"{c}_carried" if c in own else c) for c in carry)
+    )
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` without its common lines, as a digest; odd rows as the module says."""
     kept = without_common_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
