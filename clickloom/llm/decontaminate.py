@@ -16,7 +16,9 @@ driver never holds more than three blocks. Spans and items of a document are mer
 Defined results: a null text and an empty one have no words; a null or empty item has no
 phrase; an item with a null id marks words but is not listed; repeated rows of documents are
 answered one by one, repeated items count once; without benchmark rows nothing is hit. Columns
-of the input beyond ``doc_id`` and ``text`` are not touched.
+of the input beyond ``doc_id`` and ``text`` are not touched. There are no ties: every occurrence
+counts. Batches are cut into pieces of a few megabytes, a longer text is a piece of its own;
+a shard holds whole pieces.
 """
 
 from __future__ import annotations
@@ -361,6 +363,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark windows in every text of ``documents``, counted; odd rows as the module says."""
     return report(contaminated_spans(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 

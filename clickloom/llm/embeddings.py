@@ -29,7 +29,8 @@
 Defined results: vectors that are null, empty, zero, or hold a null or a number that is not
 finite are alone, as are vectors of a length no other has; only vectors of one length are
 compared. Repeated rows count as vectors of their own. A null id is answered with the smallest
-id of its component and is not kept; an empty table gives an empty one.
+id of its component and is not kept; an empty table gives an empty one. Ties of distance do not
+matter, as every pair that meets is compared with the bound. Columns beyond id and vector are not read.
 """
 
 from __future__ import annotations
@@ -477,6 +478,7 @@ def near_duplicates(
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and components of all ``embeddings``; odd rows as the module says."""
     found = near_duplicates(read(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", "kept")
 

@@ -22,7 +22,8 @@ stands in, or the ``main``.
 Defined results: a null page is an empty one and has no text; a page without url shares the
 empty host with all others of that kind; a page cut short keeps what is there, without a tag
 that is not closed; ties go to the path that is smaller; repeated rows are answered one by one;
-an empty table gives an empty one.
+an empty table gives an empty one. A page of any length is parsed whole, one at a time; other columns
+of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -349,5 +350,6 @@ def extracted(pages: DataFrame) -> DataFrame:
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all ``pages``; odd rows as the module says."""
     pages = extracted(read(spark, sf_dir, "pages"))
     return pages.withColumn("n_chars", F.char_length("text").cast("bigint"))

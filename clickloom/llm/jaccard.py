@@ -27,7 +27,9 @@ here must share a prefix token under *every* order, and only then are the sets c
 Defined results: null and empty texts have no shingles and are alone, as their own component;
 fewer words than a shingle make the whole sequence one shingle; repeated rows are one class and
 each is answered; a null id is answered with the smallest id of its component, null if there is
-none; an empty table gives an empty one.
+none; an empty table gives an empty one. Ties of rarity are broken by the seeded hash. Batches are cut
+into pieces of half a megabyte, a longer text is a piece of its own and shingled whole. Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -539,6 +541,7 @@ def one_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Da
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shingles and component of every row of ``documents``; odd rows as the module says."""
     groups = similar_groups(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", "n_shingles", "component_id")
 

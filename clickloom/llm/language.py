@@ -16,7 +16,9 @@ pass over whole texts without a shuffle.
 Defined results: a text that is null or has no letter is ``und`` with score 0; without training
 rows every text is; ties go to the first language in order of names; repeated rows are answered
 one by one; a null id is never held out and never trained on; an empty table gives an empty one.
-Language, source and id of a row have no part in its prediction.
+Language, source and id of a row have no part in its prediction, other columns of the input,
+whatever their names, are not read. Batches are cut into pieces of a few megabytes, a longer text
+is a piece of its own and scored whole.
 """
 
 from __future__ import annotations
@@ -248,6 +250,7 @@ def in_known_language(docs: DataFrame, model: Model | None = None, least: float
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text of ``documents``; odd rows as the module says."""
     docs = read(spark, sf_dir, "documents")
     found = identify(docs, train(docs))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -14,7 +14,10 @@ a larger one. Chance is a hash of seed and units: reruns agree, whatever the par
 
 Defined results: a null or empty text has size 0 and is taken 0 words; null is a source of its
 own, last in order; units that agree in every way (id, source, size) are folded into one with a
-number and share the same decision; an empty table gives an empty one.
+number and share the same decision; an empty table gives an empty one. Ties between sources are
+none, as their names differ; a text of any length is only counted, in the JVM. Other columns are not
+read, and come along unchanged in the mix, except one named ``copy``. The targets order all
+sources in one task, one narrow row each.
 """
 
 from __future__ import annotations
@@ -201,6 +204,7 @@ def mixture(
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each row of ``documents`` the mix takes; odd rows as the module says."""
     plan = mixed(read(spark, sf_dir, "documents"))
     return plan.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")

@@ -19,7 +19,9 @@ together and finds the smallest document of each.
 Defined results: null and empty texts have no words; a document with fewer words than a window
 loses none; rows with a null id neither lose words nor make others lose some; rows that share an
 id are one document, so none of them is earlier than another, each is answered, and a span is
-applied only to the row whose words it was found in; an empty table gives an empty one.
+applied only to the row whose words it was found in; an empty table gives an empty one. Batches are
+cut into pieces of a few megabytes, a longer text is a piece of its own; other columns of the input,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -314,6 +316,7 @@ def without_repeats(
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` without repeated windows, as a digest; odd rows as the module says."""
     kept = without_repeats(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 

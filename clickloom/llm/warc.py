@@ -22,7 +22,7 @@ spreads over many shards, as the page is part of the order.
 Defined results: a null page has an empty payload; of equal payloads, the record with the
 largest id is the response, and so are rows that repeat that id; with only null ids all are
 responses, otherwise a null id is a revisit; a null url is filed under ``-``; an empty table
-gives an empty one.
+gives an empty one. A page of any length is one record; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -412,6 +412,7 @@ def archive_folder(spark: SparkSession) -> str:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``pages`` written as records and read back; odd rows as the module says."""
     pages = read(spark, sf_dir, "pages")
     folder = archive_folder(spark)
     shards = write_index(write_archives(pages, folder), folder)
