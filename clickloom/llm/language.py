@@ -6,10 +6,10 @@ landmarks turn it into features, one ridge regression per language (one against
 fitted on them, and texts are scored in batches by two matrix products: presence by landmark
 presence, then kernel by coefficients.
 
-N-grams are hashed into ``2 ** BITS`` cells. Every label is learned. Training reads a sample of
-about ``ROWS_IN_ALL`` labelled texts, at most ``PER_LANGUAGE`` and at least ``FEWEST`` of each
-label (or all it has), chosen by a hash of the id; presence of n-grams is found in the tasks, and
-only those bit sets, ``2 ** BITS / 8`` bytes each, come to the driver. A label has at least one
+N-grams are hashed into ``2 ** BITS`` cells. Every label is learned, from every labelled text that
+is not held out: tasks sum the moments of their kernel values, Spark adds these up in the order of the
+tasks, and the driver gets one row of sums for each landmark and label. Landmarks are chosen by a hash of
+the id; only their bit sets, ``2 ** BITS / 8`` bytes each, come to the driver. A label has at least one
 landmark, so with more than ``LANDMARKS`` labels the model grows with them. Prediction is one
 pass over whole texts without a shuffle.
 
@@ -23,27 +23,28 @@ is a piece of its own and scored whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.llm.arrays import mix, pieces
 from clickloom.llm.tables import beside, read, stage
 
 N = 3
 BITS = 15
-PER_LANGUAGE = 400
 LANDMARKS = 128
-ROWS_IN_ALL = 25_600
+# Texts of a label that a bound on the rows in all leaves at least.
 FEWEST = 8
-# Labelled rows that set the least overlap with the learned languages, which of their overlaps is
-# looked at, and the share of it that is enough.
-JUDGED = 4_000
+# Which of the overlaps of all labelled rows that are held out is looked at, the share of it that is
+# enough, and the cells they are counted in to find it.
 RARE = 0.002
 MARGIN = 0.7
+CELLS = 4096
 RIDGE = 1e-3
 UNKNOWN = "und"
 # Texts per matrix product.
@@ -108,73 +109,155 @@ def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left @ right.T) / np.sqrt(np.maximum(sizes, 1))
 
 
-def fit(packed: np.ndarray, labels: list[str], landmarks: int, ridge: float, bits: int, n: int) -> Model:
-    """Kernel ridge regression on Nyström features. Rows of packed flags come in the order in
-    which landmarks are to be taken; every language gets its share of them. Only ``ROWS`` rows
-    are unpacked at a time."""
-    languages = sorted(set(labels))
-    named = np.array(labels, dtype=object)
-    share = max(1, landmarks // max(1, len(languages)))
-    chosen = np.concatenate([np.flatnonzero(named == name)[:share] for name in languages])
-    marks = np.unpackbits(packed[chosen], axis=1)
+def _fitted(marks: np.ndarray, square: np.ndarray, sums: np.ndarray, ridge: float) -> np.ndarray:
+    """Coefficients of the kernel ridge regression on Nyström features, from weighted moments of
+    kernel values: their products, landmark by landmark, and their sums, label by landmark."""
     inner = kernel(marks, marks).astype(np.float64)
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     use = values > 1e-6 * values.max()
     whiten = vectors[:, use] / np.sqrt(values[use])
-    blocks = (packed[k : k + ROWS] for k in range(0, len(packed), ROWS))
-    features = np.concatenate([kernel(np.unpackbits(b, axis=1), marks) for b in blocks]).astype(np.float64) @ whiten
-    wanted = np.where(named[:, None] == np.array(languages, dtype=object)[None, :], 1.0, -1.0)
-    # Every language weighs the same, however many rows it has.
-    number = {name: k for k, name in enumerate(languages)}
-    place = np.array([number[name] for name in labels])
-    weight = (1 / np.bincount(place))[place][:, None]
-    square = features.T @ (features * weight) + ridge * np.eye(features.shape[1])
-    solved = np.linalg.solve(square, features.T @ (wanted * weight))
-    return Model(languages, np.packbits(marks, axis=1), bits, n, (whiten @ solved).astype(np.float32))
+    # A row is wanted at 1 for its own language and at -1 for the others.
+    wanted = whiten.T @ (2 * sums.T - sums.sum(axis=0)[:, None])
+    solved = np.linalg.solve(whiten.T @ square @ whiten + ridge * np.eye(whiten.shape[1]), wanted)
+    return (whiten @ solved).astype(np.float32)
 
 
 def held_out(doc_id) -> object:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _sampled(docs: DataFrame, per_language: int, rows_in_all: int) -> DataFrame:
-    """Rows to learn from, ``lang, text, _r``: by hash, more than twice as many per language as
-    wanted, then cut to the number. The counts that set the rates need no text."""
+def _learnable(docs: DataFrame) -> DataFrame:
+    """All rows to learn from, ``lang, text, _r, _id``; ``_r`` is a hash of the id from 0 to 1."""
     rows = docs.where("lang is not null and text is not null and doc_id is not null")
     rows = rows.where(~held_out(F.col("doc_id")))
-    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
-    per_language = min(per_language, max(FEWEST, rows_in_all // max(1, counts.count())))
-    # The 30 more see that no label is left without rows when few are wanted.
-    rates = stage(counts.select("lang", ((2.0 * per_language + 30) / F.col("_n")).alias("_rate")))
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.select("lang", "text", draw.alias("_r"), F.col("doc_id").cast("bigint").alias("_id"))
-    picked = picked.join(beside(rates), "lang").where("_r < _rate").drop("_rate")
-    order = Window.partitionBy("lang").orderBy("_r", "_id", "text")
-    return picked.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= per_language)
+    return rows.select("lang", "text", draw.alias("_r"), F.col("doc_id").cast("bigint").alias("_id"))
+
+
+def _drawn(rows: DataFrame, counts: DataFrame, per_language: int) -> DataFrame:
+    """By hash, more than twice as many rows per language as wanted. ``counts``, ``lang, rows``, is
+    staged; the 30 more see that no label is left without rows when few are wanted."""
+    rates = stage(counts.select("lang", ((2.0 * per_language + 30) / F.col("rows")).alias("_rate")))
+    return rows.join(beside(rates), "lang").where("_r < _rate").drop("_rate")
+
+
+def _first(rows: DataFrame, most: int, tie: str) -> DataFrame:
+    order = Window.partitionBy("lang").orderBy("_r", "_id", tie)
+    return rows.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= most)
+
+
+def _bounded(rows: DataFrame, per_language: int | None, rows_in_all: int | None) -> DataFrame:
+    """Of rows to learn from only so many, for callers who ask for that."""
+    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")))
+    if rows_in_all is not None:
+        share = max(FEWEST, rows_in_all // max(1, counts.count()))
+        per_language = share if per_language is None else min(per_language, share)
+    return stage(_first(_drawn(rows, counts, per_language), per_language, "text").drop("_k"))
+
+
+def _with_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each label have a letter."""
+    seen: dict[str, int] = {}
+    for batch in batches:
+        for name, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            if any(map(str.isalpha, text)):
+                seen[name] = seen.get(name, 0) + 1
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["lang", "rows"]
+    )
+
+
+def _near(texts: list, marks: np.ndarray, sizes: np.ndarray, bits: int, n: int):
+    """Of the texts with letters: their places, kernel values, common n-grams and own n-grams; None
+    if there are none."""
+    sets = [presence(t, bits, n) for t in texts]
+    rows = [k for k, s in enumerate(sets) if s is not None]
+    if not rows:
+        return None
+    flags = np.stack([sets[k] for k in rows]).astype(np.float32)
+    both, own = flags @ marks.T, flags.sum(axis=1)
+    return rows, both / np.sqrt(np.maximum(np.outer(own, sizes), 1)), both, own
+
+
+def _moments(
+    packed: np.ndarray, counts: dict[str, int], bits: int, n: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Rows of one task's weighted sums: products with each landmark, then the sum of each label."""
+    marks = np.unpackbits(packed, axis=1).astype(np.float32)
+    sizes = marks.sum(axis=1)
+    number = {name: k for k, name in enumerate(sorted(counts))}
+    # Every language weighs the same, however many rows it has.
+    weight = np.array([1 / counts[name] for name in sorted(counts)])
+    square, sums = np.zeros((len(marks), len(marks))), np.zeros((len(number), len(marks)))
+    for batch in batches:
+        for piece in pieces(batch, "text"):
+            for begin in range(0, piece.num_rows, ROWS):
+                part = piece.slice(begin, ROWS)
+                found = _near(part.column("text").to_pylist(), marks, sizes, bits, n)
+                if found is None:
+                    continue
+                named = part.column("lang").to_pylist()
+                place = np.array([number[named[k]] for k in found[0]])
+                near = found[1].astype(np.float64)
+                weighted = near * weight[place][:, None]
+                square += near.T @ weighted
+                np.add.at(sums, place, weighted)
+    rows = np.concatenate([square, sums])
+    used = np.flatnonzero(rows.any(axis=1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(used, pa.int32()), pa.array([TaskContext.get().partitionId()] * len(used), pa.int32()),
+         pa.array(list(rows[used]), pa.list_(pa.float64()))],
+        names=["k", "task", "sums"],
+    )
 
 
 def train(
-    docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS,
-    rows_in_all: int = ROWS_IN_ALL, ridge: float = RIDGE, bits: int = BITS, n: int = N,
+    docs: DataFrame, per_language: int | None = None, landmarks: int = LANDMARKS,
+    rows_in_all: int | None = None, ridge: float = RIDGE, bits: int = BITS, n: int = N,
 ) -> Model | None:
-    """A model of the labelled documents that are not held out; None if there are none."""
+    """A model of all labelled documents that are not held out, or of so many as the caller bounds
+    them to; None if there are none."""
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [presence(t, bits, n) for t in batch.column("text").to_pylist()]
             packed = [None if s is None else np.packbits(s).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), batch.column("_k"), pa.array(packed, pa.binary())],
-                names=["lang", "k", "flags"],
+                [*(batch.column(c) for c in ("lang", "_r", "_id")), pa.array(packed, pa.binary())],
+                names=["lang", "_r", "_id", "flags"],
             )
 
-    sample = _sampled(docs, per_language, rows_in_all)
-    rows = sample.mapInArrow(flagged, "lang string, k int, flags binary").where("flags is not null")
-    found = sorted(((r.k, r.lang, bytes(r.flags)) for r in rows.collect()))
-    if not found:
+    rows = _learnable(docs)
+    if per_language is not None or rows_in_all is not None:
+        rows = _bounded(rows, per_language, rows_in_all)
+    texts = rows.select("lang", "text")
+    counted = texts.mapInArrow(_with_letters, "lang string, rows bigint")
+    counted = stage(counted.groupBy("lang").agg(F.sum("rows").alias("rows")))
+    counts = {r.lang: r.rows for r in counted.collect()}
+    if not counts:
+        return None
+    share = max(1, landmarks // len(counts))
+    chosen = _drawn(rows, counted, share).mapInArrow(flagged, "lang string, _r double, _id bigint, flags binary")
+    chosen = _first(chosen.where("flags is not null"), share, "flags").select("lang", "_k", "flags").collect()
+    if not chosen:
         return None
-    packed = np.frombuffer(b"".join(f for _, _, f in found), np.uint8).reshape(len(found), -1)
-    return fit(packed, [name for _, name, _ in found], landmarks, ridge, bits, n)
+    packed = b"".join(bytes(r.flags) for r in sorted(chosen, key=lambda r: (r.lang, r._k)))
+    packed = np.frombuffer(packed, np.uint8).reshape(len(chosen), -1)
+    size = len(packed)
+    parts = texts.mapInArrow(
+        lambda b: _moments(packed, counts, bits, n, b), "k int, task int, sums array<double>"
+    )
+    # Added in the order of the tasks, so that reruns agree.
+    parts = parts.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("task", "sums"))).alias("parts"))
+    added = F.aggregate(
+        "parts", F.array_repeat(F.lit(0.0), size),
+        lambda total, part: F.zip_with(total, part["sums"], lambda a, b: a + b),
+    )
+    moments = np.zeros((size + len(counts), size))
+    for row in parts.select("k", added.alias("sums")).collect():
+        moments[row.k] = row.sums
+    marks = np.unpackbits(packed, axis=1)
+    return Model(sorted(counts), packed, bits, n, _fitted(marks, moments[:size], moments[size:], ridge))
 
 
 def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,14 +269,10 @@ def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator
             names, scores = [UNKNOWN] * piece.num_rows, np.zeros(piece.num_rows)
             overlaps = np.zeros(piece.num_rows)
             for begin in range(0, piece.num_rows if model else 0, ROWS):
-                part = texts.slice(begin, ROWS).to_pylist()
-                sets = [presence(t, model.bits, model.n) for t in part]
-                rows = [k for k, s in enumerate(sets) if s is not None]
-                if not rows:
+                found = _near(texts.slice(begin, ROWS).to_pylist(), marks, sizes, model.bits, model.n)
+                if found is None:
                     continue
-                flags = np.stack([sets[k] for k in rows]).astype(np.float32)
-                both, own = flags @ marks.T, flags.sum(axis=1)
-                near = both / np.sqrt(np.maximum(np.outer(own, sizes), 1))
+                rows, near, both, own = found
                 overlaps[[begin + k for k in rows]] = both.max(axis=1) / own
                 value = near @ model.coefficients
                 best = value.argmax(axis=1)
@@ -207,28 +286,60 @@ def _predict(model: Model | None, batches: Iterator[pa.RecordBatch]) -> Iterator
             )
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None, judges: Column | None = None) -> DataFrame:
     """Per row ``doc_id, text_hash, lang_pred, score, overlap``; the score is that of the best
     language, its regression target -1 to 1 mapped to 0 to 1; the overlap is the share of the text's
-    n-grams that the landmark nearest in this sense has."""
+    n-grams that the landmark nearest in this sense has. ``judges``, a condition, comes along."""
     texts = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text",
+        *([] if judges is None else [judges.alias("judges")]),
     )
+    more = "" if judges is None else ", judges boolean"
     return texts.mapInArrow(
         lambda b: _predict(model, b),
-        "doc_id bigint, text_hash bigint, lang_pred string, score double, overlap double",
+        f"doc_id bigint, text_hash bigint{more}, lang_pred string, score double, overlap double",
     )
 
 
-def least_overlap(docs: DataFrame, model: Model, rows: int = JUDGED, margin: float = MARGIN) -> float:
+def _judges() -> Column:
+    """The rows whose overlaps set the least one: labelled and held out."""
+    return F.expr("lang is not null and text is not null") & held_out(F.col("doc_id"))
+
+
+def _quantile(values: DataFrame, share: float) -> float | None:
+    """The quantile of ``overlap``, interpolated; None without rows. Rows are counted in cells, then the
+    distinct values of the one or two cells that it lies in: fractions of n-gram numbers below
+    ``2 ** BITS``, which are few however many rows there are."""
+    cell = F.floor(F.col("overlap") * CELLS)
+    counts = sorted(tuple(r) for r in values.groupBy(cell.alias("cell")).count().collect())
+    place = (sum(c for _, c in counts) - 1) * share
+    if place < 0:
+        return None
+    ranks, cells, least = (math.floor(place), math.ceil(place)), {}, 0
+    for name, count in counts:
+        for rank in ranks:
+            if least <= rank < least + count:
+                cells.setdefault(name, least)
+        least += count
+    inside = values.where(cell.isin(*cells)).groupBy("overlap").count().collect()
+    # The cells are neighbours among those that have rows.
+    at, least = {}, min(cells.values())
+    for value, count in sorted(tuple(r) for r in inside):
+        at |= {rank: value for rank in ranks if least <= rank < least + count}
+        least += count
+    low, high = at[ranks[0]], at[ranks[1]]
+    return low + (high - low) * (place - ranks[0])
+
+
+def _least(judged: DataFrame, margin: float) -> float:
+    """Of staged rows of ``identify`` that judge."""
+    return margin * (_quantile(judged.where(F.col("lang_pred") != UNKNOWN), RARE) or 0.0)
+
+
+def least_overlap(docs: DataFrame, model: Model, margin: float = MARGIN) -> float:
     """The overlap below which a text is in no learned language: ``margin`` times the ``RARE``
-    quantile among about ``rows`` labelled rows that are held out; 0 if there are none."""
-    held = docs.where("lang is not null and text is not null").where(held_out(F.col("doc_id")))
-    rate = rows / max(1, held.count())
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(1 << 30)) / float(1 << 30)
-    judged = identify(held.where(draw < rate), model).where(F.col("lang_pred") != UNKNOWN)
-    found = judged.agg(F.percentile("overlap", F.lit(RARE))).first()[0]
-    return margin * (found or 0.0)
+    quantile among all labelled rows that are held out; 0 if there are none."""
+    return _least(stage(identify(docs.where(_judges()), model)), margin)
 
 
 def in_known_language(docs: DataFrame, model: Model | None = None, least: float | None = None) -> DataFrame:
@@ -237,8 +348,11 @@ def in_known_language(docs: DataFrame, model: Model | None = None, least: float
     are judged alike."""
     model = model or train(docs)
     if least is None:
-        least = least_overlap(docs, model) if model else 0.0
-    judged = identify(docs, model)
+        # One pass finds all overlaps, those that judge and those that are judged.
+        judged = stage(identify(docs, model, _judges()))
+        least = _least(judged.where("judges"), MARGIN)
+    else:
+        judged = identify(docs, model)
     bad = judged.where((F.col("lang_pred") == UNKNOWN) | (F.col("overlap") < least))
     bad = beside(stage(bad.select("doc_id", "text_hash").distinct()))
     bad = bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))

@@ -89,3 +89,52 @@ def test_overlap_is_the_share_of_common_grams(spark, model):
     for row in docs.collect():
         own = set(language.np.flatnonzero(language.presence(row.text, model.bits, model.n)))
         assert got[row.doc_id] == pytest.approx(max(len(own & m) / len(own) for m in marks), abs=1e-6)
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    """More texts of a label than a sample would have: the regression over every row, done at once."""
+    rng = random.Random(5)
+    letters = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "ijklmnop"}
+    rows = []
+    for doc in range(2_000):
+        lang = "aa" if doc % 10 else ("bb", "cc")[doc % 20 // 10]
+        words = ("".join(rng.choices(letters[lang], k=rng.randrange(2, 5))) for _ in range(8))
+        rows.append((doc, " ".join(words) if doc % 97 else "12 3", lang, 1.0, "f"))
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5, "doc_id")
+    model = language.train(frame, landmarks=12)
+    held = {r.doc_id for r in frame.where(language.held_out(F.col("doc_id"))).collect()}
+    sets = {r[0]: language.presence(r[1]) for r in rows if r[0] not in held}
+    used = [r for r in rows if sets.get(r[0]) is not None]
+    np, names = language.np, [r[2] for r in used]
+    assert names.count("aa") > 1_000
+    marks = np.unpackbits(model.landmarks, axis=1)
+    values, vectors = np.linalg.eigh(language.kernel(marks, marks).astype(float))
+    whiten = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+    features = language.kernel(np.stack([sets[r[0]] for r in used]), marks).astype(float) @ whiten
+    weight = np.array([1 / names.count(name) for name in names])[:, None]
+    wanted = np.array([[1.0 if name == lang else -1.0 for lang in sorted(letters)] for name in names])
+    square = features.T @ (features * weight) + language.RIDGE * np.eye(features.shape[1])
+    want = whiten @ np.linalg.solve(square, features.T @ (wanted * weight))
+    assert model.languages == sorted(letters) and np.allclose(model.coefficients, want, rtol=1e-3, atol=1e-3)
+
+
+def test_the_least_overlap_is_judged_by_all_held_out_rows(spark):
+    """More held-out rows than a sample would have, and values that meet in a cell or do not."""
+    np, rng = language.np, random.Random(6)
+    rows = []
+    for doc in range(15_000):
+        words = " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 6))) for _ in range(3))
+        rows.append((doc, words if doc % 50 else "12", "aa" if doc % 11 else None, 1.0, "f"))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    model = language.train(frame, per_language=60, landmarks=16)
+    held = frame.where(language.held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    found = [r.overlap for r in language.identify(held, model).collect() if r.lang_pred != "und"]
+    assert len(found) > 4_400
+    least = language.least_overlap(frame, model)
+    assert least == pytest.approx(0.7 * np.quantile(found, 0.002), abs=1e-12)
+    kept = {r.doc_id for r in language.in_known_language(frame, model).collect()}
+    assert kept == {r.doc_id for r in language.in_known_language(frame, model, least).collect()}
+    for values in ([0.5], [0.1, 0.9], [0.2, 0.2, 0.2001, 0.7], [k / 999 for k in range(1000)]):
+        staged = spark.createDataFrame([(v,) for v in values], "overlap double")
+        for share in (0.0, 0.002, 0.37, 0.5, 1.0):
+            assert language._quantile(staged, share) == pytest.approx(np.quantile(values, share), abs=1e-12)
