@@ -6,6 +6,10 @@ session, so whatever waits after it started in its own session or a greater one,
 it opens itself goes on top: the numbers form a stack, least first. Discounted intents and those
 that are too young are never read, however many there are.
 
+Every state access of a Python processor is a message of its own. So an account with at most
+``FEW`` live intents keeps all of them in one value, read and written once per micro-batch; one with more
+moves them to the maps, of which only what is needed is read, and stays there while it has any.
+
 ``open_intents_at`` reads the state of a running, or stopped, query from its checkpoint, and
 ``stream_alerts`` can start from the snapshot that a batch job left.
 """
@@ -15,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickloom import schema as S
@@ -28,6 +32,15 @@ _INTENT = (
 _ORIGIN, _SESSION, _NUMBER, _TIME, _ATTEMPTS, _DISCOUNTED = range(6)
 # Products that one state value lists.
 _LISTED = 64
+# Live intents that an account keeps in one value.
+FEW = 64
+_FEW_COLUMNS = ("product_id", "origin", "start_session_id", "start_session_no", "start_time", "attempts", "discounted")
+_FEW_STATE = (
+    "product_id array<string>, origin array<string>, start_session_id array<string>, start_session_no array<int>, "
+    "start_time array<string>, attempts array<bigint>, discounted array<boolean>"
+)
+_BATCH = ("seq", "event_type", "product_id", "session_id", "event_time", "session_no")
+_Alert = Row(*S.ALERT_COLUMNS)
 
 
 class _Cached:
@@ -36,12 +49,14 @@ class _Cached:
     def __init__(self, stored) -> None:
         self._stored = stored
         self._known: dict[tuple, tuple | None] = {}
+        self._held: dict[tuple, bool] = {}
         self._changed: set[tuple] = set()
 
     def get(self, *key) -> tuple | None:
         if key not in self._known:
             found = self._stored.getValue(key)
             self._known[key] = None if found is None else tuple(found)
+            self._held[key] = found is not None
         return self._known[key]
 
     def put(self, value: tuple | None, *key) -> None:
@@ -53,7 +68,7 @@ class _Cached:
             value = self._known[key]
             if value is not None:
                 self._stored.updateValue(key, value)
-            elif self._stored.containsKey(key):
+            elif self._held[key] if key in self._held else self._stored.containsKey(key):
                 self._stored.removeKey(key)
 
 
@@ -109,6 +124,48 @@ class _Waiting:
             self._stored_head.clear() if self.head is None else self._stored_head.update((self.head,))
 
 
+class _Few:
+    """The live intents of an account that has few, all in memory."""
+
+    def __init__(self, value: tuple | None) -> None:
+        lists = value or ((),) * len(_FEW_COLUMNS)
+        self.held: dict[str, tuple] = {product: intent for product, *intent in zip(*lists, strict=True)}
+        self.held = {product: tuple(intent) for product, intent in self.held.items()}
+        self.changed = False
+
+    def get(self, product: str) -> tuple | None:
+        return self.held.get(product)
+
+    def put(self, value: tuple | None, product: str) -> None:
+        self.changed = True
+        if value is None:
+            self.held.pop(product, None)
+        else:
+            self.held[product] = value
+
+    def value(self) -> tuple:
+        rows = [(product, *intent) for product, intent in self.held.items()]
+        return tuple(list(column) for column in zip(*rows, strict=True))
+
+
+class _FewWaiting:
+    """What ``_Waiting`` is, for intents in memory."""
+
+    def __init__(self, intents: _Few) -> None:
+        self._products: dict[int, list[str]] = {}
+        for product, intent in intents.held.items():
+            if not intent[_DISCOUNTED]:
+                self.add(intent[_NUMBER], product)
+
+    def add(self, number: int, product: str) -> None:
+        self._products.setdefault(number, []).append(product)
+
+    def take(self, number: int) -> Iterator[tuple[int, str]]:
+        for start in sorted(n for n in self._products if n < number):
+            for product in self._products.pop(start):
+                yield start, product
+
+
 class IntentTracker(StatefulProcessor):
     def __init__(self, expire_ms: int | None = None) -> None:
         self._expire_ms = expire_ms
@@ -121,34 +178,37 @@ class IntentTracker(StatefulProcessor):
         self._lists = handle.getMapState("lists", "session_no int, part int", "products array<string>", **ttl)
         self._head = handle.getValueState("head", "session_no int")
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        """Take over intents that a batch job has left open."""
-        intents, waiting = _Cached(self._stored), _Waiting(self._levels, self._lists, self._head)
-        rows = initialState.sort_values("start_session_no", ascending=False)
-        columns = ["product_id", "origin", "start_session_id", "start_session_no", "start_time", "attempts", "discounted"]
-        for product, origin, session, number, time, attempts, discounted in zip(*(rows[c] for c in columns)):
-            if product is None:
-                continue
-            intents.put((origin, session, int(number), time, int(attempts), bool(discounted)), product)
-            if not discounted:
-                waiting.add(int(number), product)
-        intents.write()
-        waiting.write()
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # Rows count in the order of seq, which chunks need not follow; their number is bounded
         # by the source's limit per micro-batch, and seven narrow columns are kept of each.
-        batch = pd.concat(list(rows)).sort_values("seq")
-        # Without an effect of its own, a row counts only where the session changes.
-        acts = batch["event_type"].isin(S.ACTING_TYPES) & batch["product_id"].notna()
-        batch = batch[acts | batch["session_no"].diff().ne(0)]
+        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        batch["product_id"] = batch["product_id"].astype(object).where(batch["product_id"].notna(), None)
+        alerts = self._in_maps(zip(*(batch[c] for c in _BATCH)))
+        if alerts:
+            yield pd.DataFrame(alerts).assign(acc_id=key[0]).reindex(
+                columns=S.ALERT_COLUMNS
+            ).astype({"checkout_attempts": "Int64"}).astype(object).where(lambda d: d.notna(), None)
+
+    def _in_maps(self, batch: Iterator[tuple]) -> list[dict]:
         intents, waiting = _Cached(self._stored), _Waiting(self._levels, self._lists, self._head)
+        alerts = self._advance(batch, intents, waiting)
+        intents.write()
+        waiting.write()
+        return alerts
+
+    def _advance(self, batch: Iterator[tuple], intents, waiting) -> list[dict]:
+        """The alerts of rows in order, whose effects the intents and what waits take."""
         alerts: list[dict] = []
-        columns = ["seq", "event_type", "product_id", "session_id", "event_time", "session_no"]
-        for seq, kind, product, session, time, number in zip(*(batch[c] for c in columns)):
+        last = None
+        for seq, kind, product, session, time, number in batch:
             number = int(number)
+            acts = product is not None and kind in S.ACTING_TYPES
+            # Without an effect of its own, a row counts only where the session changes.
+            if not acts and number == last:
+                continue
+            last = number
             self._discount(intents, waiting, seq, session, number, alerts)
-            if product is None or kind not in S.ACTING_TYPES:
+            if not acts:
                 continue
             before = intents.get(product)
             alert = self._act(intents, kind, product, session, time, number)
@@ -160,15 +220,10 @@ class IntentTracker(StatefulProcessor):
             if opened is not None and not opened[_DISCOUNTED] and opened is not before and not listed:
                 if opened[_NUMBER] == number and (before is None or kind in S.CAPTURE_TYPES):
                     waiting.add(number, product)
-        intents.write()
-        waiting.write()
-        if alerts:
-            yield pd.DataFrame(alerts).assign(acc_id=key[0]).reindex(
-                columns=S.ALERT_COLUMNS
-            ).astype({"checkout_attempts": "Int64"}).astype(object).where(lambda d: d.notna(), None)
+        return alerts
 
     @staticmethod
-    def _discount(intents: _Cached, waiting: _Waiting, seq, session, number: int, alerts: list) -> None:
+    def _discount(intents, waiting, seq, session, number: int, alerts: list) -> None:
         """Discount what started in a lesser session."""
         for start, product in waiting.take(number):
             intent = intents.get(product)
@@ -217,6 +272,58 @@ class IntentTracker(StatefulProcessor):
         return {"alert_type": S.CART_REMOVED}
 
 
+class AccountTracker(IntentTracker):
+    """``IntentTracker`` on rows, with the intents of accounts that have few in one value.
+
+    With ``expire_ms`` all are in the maps, where each expires on its own.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self._few = handle.getValueState("few", _FEW_STATE)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Take over intents that a batch job has left open: one row per account."""
+        few = _Few(None)
+        for row in initialState["intents"]:
+            if row["product_id"] is not None:
+                few.put(tuple(row[c] for c in _FEW_COLUMNS[1:]), row["product_id"])
+        self._store(few, False)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # As above: the rows of an account in one micro-batch are put in order here.
+        rows = list(rows)
+        at = [rows[0].__fields__.index(name) for name in _BATCH]
+        batch = sorted((tuple(row[k] for k in at) for row in rows), key=lambda r: (r[0] is None, r[0] or 0))
+        value = None if self._expire_ms is not None else self._few.get()
+        if self._expire_ms is not None or (value is None and self._stored.exists()):
+            alerts = self._in_maps(batch)
+        else:
+            few = _Few(value)
+            alerts = self._advance(batch, few, _FewWaiting(few))
+            if few.changed:
+                self._store(few, value is not None)
+        for alert in alerts:
+            alert["acc_id"] = key[0]
+            yield _Alert(*map(alert.get, S.ALERT_COLUMNS))
+
+    def _store(self, few: _Few, had: bool) -> None:
+        if self._expire_ms is None and 0 < len(few.held) <= FEW:
+            self._few.update(few.value())
+            return
+        if had:
+            self._few.clear()
+        if not few.held:
+            return
+        intents, waiting = _Cached(self._stored), _Waiting(self._levels, self._lists, self._head)
+        for product, intent in sorted(few.held.items(), key=lambda item: -item[1][_NUMBER]):
+            intents.put(intent, product)
+            if not intent[_DISCOUNTED]:
+                waiting.add(intent[_NUMBER], product)
+        intents.write()
+        waiting.write()
+
+
 # Columns of ``open_intents`` and their names in the state.
 _SNAPSHOT = {
     "origin_action": "origin",
@@ -252,9 +359,10 @@ def stream_alerts(
     initial = None
     if opened is not None:
         state = [F.col(name).alias(own) for name, own in _SNAPSHOT.items()]
-        initial = opened.select("acc_id", "product_id", *state).groupBy("acc_id")
-    return keyed.groupBy("acc_id").transformWithStateInPandas(
-        IntentTracker(expire_ms), S.ALERT_SCHEMA, outputMode="Append",
+        intents = F.collect_list(F.struct("product_id", *state)).alias("intents")
+        initial = opened.groupBy("acc_id").agg(intents).groupBy("acc_id")
+    return keyed.groupBy("acc_id").transformWithState(
+        AccountTracker(expire_ms), S.ALERT_SCHEMA, outputMode="Append",
         timeMode="None" if expire_ms is None else "ProcessingTime", initialState=initial,
     )
 
@@ -262,12 +370,22 @@ def stream_alerts(
 def open_intents_at(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
     """The intents that are live in the state of a query of ``stream_alerts``, as ``open_intents``
     gives them: after its last micro-batch, or after ``batch_id``. The query may be running."""
-    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "intents")
-    if batch_id is not None:
-        reader = reader.option("batchId", batch_id)
+
+    def read(variable: str) -> DataFrame:
+        reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", variable)
+        return (reader if batch_id is None else reader.option("batchId", batch_id)).load()
+
     state = F.col("user_map_value")
-    return reader.load().select(
+    many = read("intents").select(
         F.col("key.acc_id").alias("acc_id"),
         F.col("user_map_key.product_id").alias("product_id"),
         *(state[own].alias(name) for name, own in _SNAPSHOT.items()),
     )
+    kept = spark.read.format("state-metadata").load(checkpoint).select("operatorProperties").collect()
+    if not any('"few"' in (row[0] or "") for row in kept):
+        # Of a query of ``IntentTracker``.
+        return many
+    few = F.arrays_zip(*(F.col(f"value.{c}").alias(c) for c in _FEW_COLUMNS))
+    few = read("few").select(F.col("key.acc_id").alias("acc_id"), F.inline(few).alias(*_FEW_COLUMNS))
+    named = (F.col(own).alias(name) for name, own in _SNAPSHOT.items())
+    return many.unionByName(few.select("acc_id", "product_id", *named))

@@ -5,8 +5,9 @@ import time
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
+from clickloom import schema as S
 from clickloom.operators import dashboards, intents
 from clickloom.operators.sessions import sessionize_arrival
 from clickloom.sources import tables
@@ -19,7 +20,8 @@ from clickloom.streaming import (
     stream_sessions,
     use_rocksdb_state,
 )
-from clickloom.streaming.intents import IntentTracker
+from clickloom.streaming import intents as live
+from clickloom.streaming.intents import AccountTracker, IntentTracker
 from tests.model import EVENT_FIELDS, blank, messy_events, session_number, track
 
 
@@ -245,3 +247,111 @@ def test_final_minutes_and_late_rows(spark, sf_dir, tmp_path):
     assert rows_of(got) == rows_of(want)
     per_part = out.where("kind = 'final'").groupBy("minute").count()
     assert per_part.where("count > 64").count() == 0
+
+
+class Counted:
+    """States in memory that count every access to them, as each is a message."""
+
+    def __init__(self):
+        self.states, self.accesses = {}, 0
+
+    def _add(self, name, state):
+        for method in ("getValue", "containsKey", "updateValue", "removeKey", "exists", "get", "update", "clear"):
+            if hasattr(state, method):
+                setattr(state, method, self._counting(getattr(state, method)))
+        return self.states.setdefault(name, state)
+
+    def _counting(self, method):
+        def call(*arguments):
+            self.accesses += 1
+            return method(*arguments)
+
+        return call
+
+    def getMapState(self, name, *_):
+        state = Map()
+        state.exists = lambda: bool(state.held)
+        return self._add(name, state)
+
+    def getValueState(self, name, *_):
+        return self._add(name, Value())
+
+    def opened(self):
+        few = zip(*(self.states["few"].held or ()))
+        return sorted([*((p, *i) for (p,), i in self.states["intents"].held.items()), *few], key=repr)
+
+
+def fed_rows(tracker, rows):
+    shape = Row("acc_id", "product_id", "event_type", "session_id", "event_time", "seq", "session_no")
+    part = [shape(a, None if blank(p) else p, k, s, t, q, session_number(s)) for a, p, k, s, t, q in rows]
+    return list(tracker.handleInputRows(("A",), iter(part), None))
+
+
+@pytest.mark.parametrize("seed", range(12))
+@pytest.mark.parametrize("few", [3, 6, 64])
+def test_account_tracker_equals_the_model(monkeypatch, seed, few):
+    """Accounts that grow beyond what one value holds, shrink to nothing and grow again."""
+    monkeypatch.setattr(live, "FEW", few)
+    rng = random.Random(seed)
+    rows = [("A", *r[1:]) for r in messy_events(seed, size=600, accounts=1, products=12) if r[0] and r[0].strip()]
+    held = sorted({r[1] for r in rows if not blank(r[1])})
+    half = len(rows) // 2
+    closing = [("A", p, "PURCHASE", rows[half][3], "t", rows[half - 1][5] + (k + 1) / 100) for k, p in enumerate(held)]
+    rows = sorted([*rows, *closing], key=lambda r: r[5])
+    handle, tracker = Counted(), AccountTracker()
+    tracker.init(handle)
+    got, at, forms = [], 0, set()
+    while at < len(rows):
+        size = rng.randrange(1, 40)
+        part = rows[at : at + size]
+        rng.shuffle(part)
+        got += fed_rows(tracker, part)
+        forms |= {name for name in ("few", "intents") if handle.states[name].held}
+        assert not (handle.states["few"].held and handle.states["intents"].held)
+        at += size
+    want, opened = track(rows)
+    assert sorted(map(tuple, got), key=repr) == want
+    assert handle.opened() == sorted((r[1:] for r in opened), key=repr)
+    assert {3: "intents", 6: min(forms), 64: "few"}[few] in forms
+
+
+def test_few_intents_take_few_accesses():
+    handle, tracker = Counted(), AccountTracker()
+    tracker.init(handle)
+    for step in range(20):
+        rows = [("A", f"P{k}", "ADD_TO_CART", f"S{step}", "t", 100 * step + k) for k in range(30)]
+        before = handle.accesses
+        alerts = fed_rows(tracker, rows)
+        assert len(alerts) == (60 if step else 30)
+        assert handle.accesses - before <= 3
+
+
+def test_accounts_with_few_and_with_many_intents(spark, tmp_path):
+    """Through the state of Spark, read in between; 90 products are more than one value holds."""
+    kinds = ("ADD_TO_CART", "WISHLIST", "CHECKOUT", "VIEW", "PURCHASE")
+    rng = random.Random(3)
+    rows = [
+        (acc, f"P{rng.randrange(number)}", kinds[rng.randrange(2 if k < 300 else 5)], f"SS{k // 60}", "t", k)
+        for k in range(600) for acc, number in (("few", 9), ("many", 90))
+    ]
+    stream = split_stream(spark, str(tmp_path / "in"), rows, 3)
+    checkpoint = str(tmp_path / "cp")
+    run(start_table(stream_alerts(stream), str(tmp_path / "out"), checkpoint))
+    want, opened = track(rows)
+    assert rows_of(spark.read.parquet(str(tmp_path / "out"))) == want
+    assert rows_of(open_intents_at(spark, checkpoint)) == opened
+    assert rows_of(open_intents_at(spark, checkpoint, 0)) == track(rows[:400])[1]
+    state = spark.read.format("statestore").option("path", checkpoint)
+    states = [state.option("stateVarName", name).load() for name in ("few", "intents")]
+    assert [{r.key.acc_id for r in s.collect()} for s in states] == [{"few"}, {"many"}]
+
+
+def test_open_intents_of_a_checkpoint_without_values(spark, tmp_path):
+    """A query of ``IntentTracker``, as there were before, has the maps only."""
+    rows = [("A", f"P{k}", "ADD_TO_CART", "SS1", "t", k) for k in range(5)]
+    stream = split_stream(spark, str(tmp_path / "in"), rows, 1)
+    keyed = stream.withColumn("session_no", F.lit(1)).groupBy("acc_id")
+    alerts = keyed.transformWithStateInPandas(IntentTracker(), S.ALERT_SCHEMA, outputMode="Append", timeMode="None")
+    checkpoint = str(tmp_path / "cp")
+    run(start_table(alerts, str(tmp_path / "out"), checkpoint))
+    assert rows_of(open_intents_at(spark, checkpoint)) == track(rows)[1]
