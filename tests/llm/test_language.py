@@ -122,14 +122,14 @@ def test_the_least_overlap_is_judged_by_all_held_out_rows(spark):
     """More held-out rows than a sample would have, and values that meet in a cell or do not."""
     np, rng = language.np, random.Random(6)
     rows = []
-    for doc in range(15_000):
+    for doc in range(40_000):
         words = " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 6))) for _ in range(3))
         rows.append((doc, words if doc % 50 else "12", "aa" if doc % 11 else None, 1.0, "f"))
     frame = spark.createDataFrame(rows, SCHEMA)
     model = language.train(frame, per_language=60, landmarks=16)
     held = frame.where(language.held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     found = [r.overlap for r in language.identify(held, model).collect() if r.lang_pred != "und"]
-    assert len(found) > 4_400
+    assert len(found) > 11_000
     least = language.least_overlap(frame, model)
     assert least == pytest.approx(0.7 * np.quantile(found, 0.002), abs=1e-12)
     kept = {r.doc_id for r in language.in_known_language(frame, model).collect()}
