@@ -5,13 +5,17 @@ whatever total order the tokens are put in. One order gives many false candidate
 here must share a prefix token under *every* order, and only then are the sets compared.
 
 1. Every text becomes its set of distinct word shingles (64-bit hashes). Texts with the same set
-   are one class; only classes are compared, so copies never form pairs.
+   are one class; only classes are compared, so copies never form pairs. One text of each class that
+   has copies is written, and all that follows reads those and the texts without copies.
 2. All orders put rare tokens first, tokens that occur once before all others, and differ by a
-   seeded hash within levels of rarity. Rarity comes from a count sketch of fixed size over all
-   tokens; any function of a token gives a valid order, so where cells are shared by chance that
-   costs time, never links. With far more tokens than cells few look as if they occurred once;
-   ``sketch_bits`` should grow with the corpus as far as the tasks' memory allows.
-3. Prefix tokens that only one class has are dropped, most of them before anything is sent. A token with up to ``PAIR_ROWS`` rows makes pairs of its classes, and pairs
+   seeded hash within levels of rarity. All tokens are counted, as sorted and packed numbers of three
+   bytes or so; what is kept of the counts is a sketch of fixed size that only tokens which occur
+   again fill. Any function of a token gives a valid order, so where cells are shared by chance that
+   costs time, never links. With far more repeated tokens than cells few look as if they occurred
+   once; ``sketch_bits`` should grow then as far as the tasks' memory allows.
+3. Prefix tokens that only one class has are dropped before rows are sent: they are counted in the
+   same way, and those that come again
+   make a bit set. A token with up to ``PAIR_ROWS`` rows makes pairs of its classes, and pairs
    stay that meet so under every order. The classes of a token with more rows are linked to the
    smallest of them, one row each and never pairs. Two linked sets share a token under every
    order, so they are found as a pair or meet in such a star. Components of both give groups
@@ -44,9 +48,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.llm.arrays import NOT_SPACE, combine, longs, mix, pieces, ranges, split_words
-from clickloom.llm.bitsets import bit_set, in_set
+from clickloom.llm.bitsets import FILTER_BITS, bit_set, in_set
 from clickloom.llm.graph import components
-from clickloom.llm.tables import beside, read, stage
+from clickloom.llm.tables import beside, read, stage, stage_alone
 
 SHINGLE = 4
 PERCENT = 85
@@ -54,9 +58,12 @@ PERCENT = 85
 ORDERS = 2
 # Rows of a token up to which its classes form pairs; the classes of others form a star.
 PAIR_ROWS = 16
-# Cells of the rarity sketch: one bit each when it is sent to the tasks, and one byte for 64.
+# Cells of the rarity sketch: one bit each when it is sent to the tasks, and one byte for some.
 SKETCH_BITS = 28
-PART_BITS = 6
+LEVEL_BITS = 5
+# Tokens are counted by so many of their bits, in so many parts, and packed so many at a time.
+COUNTED_BITS = 40
+PART_BITS = 11
 SKETCH_TOKENS = 1_000_000
 # Text split at a time: a task holds some forty times as much for that.
 PIECE_BYTES = 500_000
@@ -149,8 +156,8 @@ def _one_each(
 @dataclass
 class Rarity:
     """What the tasks know of the frequency of tokens: for each of ``2 ** bits`` cells of their
-    hash, one bit whether more than one token fell into it, and for every 64 cells the level
-    (binary logarithm) of the fullest."""
+    hash, one bit whether a token that occurs again is in it, and for every few cells the level
+    (binary logarithm) of the most frequent."""
 
     bits: int
     flags: bytes
@@ -163,70 +170,138 @@ class Rarity:
         return (byte >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
     def level(self, tokens: np.ndarray) -> np.ndarray:
-        block = (tokens >> np.uint64(64 - self.bits + 6)).astype(np.int64)
+        block = (tokens >> np.uint64(65 - len(self.levels).bit_length())).astype(np.int64)
         return np.where(self.several(tokens), 1 + self.levels[block].astype(np.uint64), 0).astype(np.uint64)
 
 
-def _counted(n: int, bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of the tokens of a partition, by part of the sketch, as compressed differences."""
+@dataclass
+class Counted:
+    """How 64-bit values are counted for a result of ``2 ** bits`` cells: by their top ``width``
+    bits, in ``2 ** parts`` parts."""
+
+    bits: int
 
-    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
-        cells = np.sort(np.concatenate(held))
-        edges = np.searchsorted(cells, np.arange((1 << PART_BITS) + 1) << (bits - PART_BITS))
-        raw = []
+    @property
+    def parts(self) -> int:
+        return min(PART_BITS, self.bits - LEVEL_BITS - 1)
+
+    @property
+    def width(self) -> int:
+        # A difference within a part has 32 bits.
+        return min(COUNTED_BITS, 32 + self.parts)
+
+    def packed(self, held: list[np.ndarray]) -> pa.RecordBatch:
+        """Values by part, as compressed differences."""
+        values = np.sort(np.concatenate(held))
+        inside = self.width - self.parts
+        edges = np.searchsorted(values, np.arange((1 << self.parts) + 1) << inside)
+        names, raw = [], []
         for part, (begin, end) in enumerate(itertools.pairwise(edges.tolist())):
-            own = cells[begin:end] - np.int64(part << (bits - PART_BITS))
-            raw.append(zlib.compress(np.diff(own, prepend=0).astype(np.uint32).tobytes(), 1))
+            if begin < end:
+                own = values[begin:end] - np.int64(part << inside)
+                names.append(part)
+                raw.append(zlib.compress(np.diff(own, prepend=0).astype(np.uint32).tobytes(), 1))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(1 << PART_BITS, dtype=np.int32)), pa.array(raw, pa.binary())],
-            names=["part", "cells"],
+            [pa.array(names, pa.int32()), pa.array(raw, pa.binary())], names=["part", "packed"]
         )
 
-    held, size = [], 0
-    for batch in batches:
-        for _, tokens, first, own in _sets(batch, n):
-            tokens, _, _ = _one_each(tokens, first, own)
-            held.append((tokens >> np.uint64(64 - bits)).astype(np.int64))
-            size += len(tokens)
+    def blocks(self, values: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """All values of a partition, packed a million or so at a time."""
+        held, size = [], 0
+        for some in values:
+            held.append((some >> np.uint64(64 - self.width)).astype(np.int64))
+            size += len(some)
             if size >= SKETCH_TOKENS:
-                yield emit(held)
+                yield self.packed(held)
                 held, size = [], 0
-    if size:
-        yield emit(held)
+        if size:
+            yield self.packed(held)
+
+    def repeated(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Flags and levels of the values that come more than once, by part; one part is unpacked
+        at a time."""
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column("part").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                held.setdefault(part, []).append(raw)
+        cells = 1 << (self.bits - self.parts)
+        for part in list(held):
+            values = np.sort(np.concatenate([
+                np.cumsum(np.frombuffer(zlib.decompress(raw), np.uint32), dtype=np.int64) for raw in held.pop(part)
+            ]))
+            begin = np.flatnonzero(np.concatenate([_FIRST, values[1:] != values[:-1]]))
+            times = np.diff(begin, append=len(values))
+            again = times > 1
+            cell = values[begin[again]] >> (self.width - self.bits)
+            flags, most = np.zeros(cells, bool), np.zeros(cells >> LEVEL_BITS, np.int64)
+            flags[cell] = True
+            np.maximum.at(most, cell >> LEVEL_BITS, times[again])
+            levels = np.ceil(np.log2(most.astype(np.float64) + 1)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary()),
+                 pa.array([levels.tobytes()], pa.binary())],
+                names=["part", "flags", "levels"],
+            )
+
+    def sketch(self, counted: DataFrame) -> Rarity:
+        """Put together part by part from what ``blocks`` gave; its size is fixed."""
+        found = stage_alone(counted.repartition("part").mapInArrow(self.repeated, "part int, flags binary, levels binary"))
+        flags = bytearray(1 << (self.bits - 3))
+        levels = np.zeros((1 << self.parts, 1 << (self.bits - self.parts - LEVEL_BITS)), np.uint8)
+        step = len(flags) >> self.parts
+        for part, some, own in found.toLocalIterator():
+            flags[part * step : (part + 1) * step] = some
+            levels[part] = np.frombuffer(bytes(own), np.uint8)
+        return Rarity(self.bits, bytes(flags), levels.reshape(-1))
+
 
+PACKED = "part int, packed binary"
 
-def _added(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Flags and levels of the parts that come by; counts stop at 65535."""
-    totals: dict[int, np.ndarray] = {}
+
+def _copies(n: int, copied, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Class and text of the rows whose class is in a broadcast bit set."""
+    only = np.frombuffer(copied.value, np.uint8)
     for batch in batches:
-        for part, raw in zip(batch.column("part").to_pylist(), batch.column("cells").to_pylist(), strict=True):
-            counts = totals.setdefault(part, np.zeros(1 << (bits - PART_BITS), np.uint16))
-            cells, times = np.unique(
-                np.cumsum(np.frombuffer(zlib.decompress(raw), np.uint32), dtype=np.int64), return_counts=True
+        for piece, _, first, own in _sets(batch, n):
+            use = np.flatnonzero(in_set(only, own) & (np.diff(first) > 0))
+            yield pa.RecordBatch.from_arrays(
+                [longs(own[use]), piece.column("text").take(pa.array(use))], names=["class", "text"]
             )
-            counts[cells] = np.minimum(counts[cells].astype(np.int64) + times, 65535)
-    for part, counts in totals.items():
-        flags = np.packbits(counts > 1, bitorder="little").tobytes()
-        levels = np.ceil(np.log2(counts.reshape(-1, 64).max(axis=1).astype(np.float64) + 1)).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([flags], pa.binary()), pa.array([levels.tobytes()], pa.binary())],
-            names=["part", "flags", "levels"],
-        )
 
 
-def rarity(texts: DataFrame, n: int, bits: int = SKETCH_BITS) -> Rarity:
-    """The sketch over all texts, put together part by part; its size is fixed."""
-    counted = texts.mapInArrow(lambda b: _counted(n, bits, b), "part int, cells binary")
-    added = counted.repartition(1 << PART_BITS, "part").mapInArrow(
-        lambda b: _added(bits, b), "part int, flags binary, levels binary"
-    )
-    flags = bytearray(1 << (bits - 3))
-    levels = np.zeros((1 << PART_BITS, 1 << (bits - PART_BITS - 6)), np.uint8)
-    step = len(flags) >> PART_BITS
-    for part, some, own in added.toLocalIterator():
-        flags[part * step : (part + 1) * step] = some
-        levels[part] = np.frombuffer(bytes(own), np.uint8)
-    return Rarity(bits, bytes(flags), levels.reshape(-1))
+def _distinct(n: int, copied, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Tokens, sizes and classes of the sets of a batch, without those in ``copied``."""
+    only = np.frombuffer(copied.value, np.uint8) if copied is not None else None
+    for batch in batches:
+        for _, tokens, first, own in _sets(batch, n):
+            one = _one_each(tokens, first, own, None if only is None else ~in_set(only, own))
+            if len(one[2]):
+                yield one
+
+
+class Classes:
+    """Every class of the texts once: from the texts themselves if it has no copies, else from a
+    table of one text per class."""
+
+    def __init__(self, texts: DataFrame, members: DataFrame, n: int):
+        self.n, self.texts = n, texts.select("text")
+        several = members.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        flags = bit_set(several.select(F.col("class").alias("hash")))
+        self.copied = copied = texts.sparkSession.sparkContext.broadcast(flags)
+        found = self.texts.mapInArrow(lambda b: _copies(n, copied, b), "class bigint, text string")
+        self.again = stage_alone(found.groupBy("class").agg(F.first("text").alias("text")).select("text"))
+
+    def map(self, work, schema: str) -> DataFrame:
+        """What ``work`` makes of the sets."""
+        n, copied = self.n, self.copied
+        alone = self.texts.mapInArrow(lambda b: work(_distinct(n, copied, b)), schema)
+        return alone.unionAll(self.again.mapInArrow(lambda b: work(_distinct(n, None, b)), schema))
+
+
+def rarity(sets: Classes, bits: int = SKETCH_BITS) -> Rarity:
+    """The sketch over all classes."""
+    counted = Counted(bits)
+    return counted.sketch(sets.map(lambda s: counted.blocks(tokens for tokens, _, _ in s), PACKED))
 
 
 def order_keys(tokens: np.ndarray, rare: Rarity, order: int) -> np.ndarray:
@@ -263,40 +338,45 @@ def prefixes(
     return np.concatenate(picked), take
 
 
-def _prefix_rows(
-    n: int, percent: int, orders: int, levels, wanted, batches: Iterator[pa.RecordBatch]
-) -> Iterator[pa.RecordBatch]:
+def _prefix_tokens(percent: int, orders: int, levels, sets: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Prefix tokens under every order that may occur more than once, the order in the lowest
-    bits; with ``wanted``, a broadcast bit set, only those in it."""
-    only = np.frombuffer(wanted.value, np.uint8) if wanted is not None else None
-    for batch in batches:
-        for _, tokens, first, own in _sets(batch, n):
-            tokens, sizes, own = _one_each(tokens, first, own)
-            if not len(own):
-                continue
-            for order in range(orders):
-                shared, take = prefixes(tokens, sizes, levels.value, order, percent)
-                use = levels.value.several(shared)
-                shared, who = shared[use], np.repeat(own, take)[use]
-                shared = mix(shared ^ _SEEDS[order]) << np.uint64(2) | np.uint64(order)
-                if only is not None:
-                    use = in_set(only, shared)
-                    shared, who = shared[use], who[use]
-                yield pa.RecordBatch.from_arrays([longs(shared), longs(who)], names=["token", "class"])
-
-
-def _wanted_sets(n: int, wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits, and whose they are."""
+    for tokens, sizes, own in sets:
+        for order in range(orders):
+            shared, take = prefixes(tokens, sizes, levels.value, order, percent)
+            use = levels.value.several(shared)
+            shared, who = shared[use], np.repeat(own, take)[use]
+            yield mix(shared ^ _SEEDS[order]) << np.uint64(2) | np.uint64(order), who
+
+
+def repeated_prefixes(sets: Classes, percent: int, orders: int, levels, bits: int = FILTER_BITS) -> bytes:
+    """A bit set of the prefix tokens that more than one class has; those that share their counted
+    bits with another are in it as well."""
+    counted = Counted(bits)
+    return counted.sketch(sets.map(
+        lambda s: counted.blocks(shared for shared, _ in _prefix_tokens(percent, orders, levels, s)), PACKED
+    )).flags
+
+
+def _prefix_rows(percent: int, orders: int, levels, wanted, sets: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """The prefix tokens that are in ``wanted``, a broadcast bit set, and whose they are."""
+    only = np.frombuffer(wanted.value, np.uint8)
+    for shared, who in _prefix_tokens(percent, orders, levels, sets):
+        use = in_set(only, shared)
+        yield pa.RecordBatch.from_arrays([longs(shared[use]), longs(who[use])], names=["token", "class"])
+
+
+def _wanted_sets(wanted, sets: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     """The sets of the classes in a broadcast bit set."""
     only = np.frombuffer(wanted.value, np.uint8)
-    for batch in batches:
-        for _, tokens, first, own in _sets(batch, n):
-            tokens, sizes, own = _one_each(tokens, first, own, in_set(only, own))
-            begin = np.cumsum(sizes) - sizes
-            raw = [tokens[b : b + s].tobytes() for b, s in zip(begin, sizes, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [longs(own), pa.array(sizes.astype(np.int32)), pa.array(raw, pa.binary())],
-                names=["class", "n", "tokens"],
-            )
+    for tokens, sizes, own in sets:
+        begin = np.cumsum(sizes) - sizes
+        use = np.flatnonzero(in_set(only, own))
+        raw = [tokens[b : b + s].tobytes() for b, s in zip(begin[use], sizes[use], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [longs(own[use]), pa.array(sizes[use].astype(np.int32)), pa.array(raw, pa.binary())],
+            names=["class", "n", "tokens"],
+        )
 
 
 class _Cell:
@@ -466,27 +546,23 @@ def classes(
     rows = texts.select(F.xxhash64("text").alias("text_hash"), "*") if hashed else texts
     members = stage(rows.mapInArrow(lambda b: _classes(n, b), "text_hash bigint, " * hashed + CLASSES))
     context = docs.sparkSession.sparkContext
-    levels = context.broadcast(rarity(texts, n, sketch_bits))
-    rows = texts.mapInArrow(lambda b: _prefix_rows(n, percent, orders, levels, None, b), PREFIXES)
-    hubs = rows.groupBy("token").agg(
-        F.min("class").alias("hub"), F.max("class").alias("_last"), F.count(F.lit(1)).alias("rows")
-    )
-    hubs = stage(hubs.where("hub < _last").select("token", "hub", "rows"))
-    shared = context.broadcast(bit_set(hubs.select(F.col("token").alias("hash"))))
-    rows = texts.mapInArrow(lambda b: _prefix_rows(n, percent, orders, levels, shared, b), PREFIXES)
-    met = stage(rows.join(hubs, "token"))
-    groups = components(_stars(met, pair_rows).unionAll(_pairs(met, pair_rows, orders)))
+    sets = Classes(texts, members, n)
+    copied = sets.copied
+    levels = context.broadcast(rarity(sets, sketch_bits))
+    shared = context.broadcast(repeated_prefixes(sets, percent, orders, levels))
+    rows = stage(sets.map(lambda s: _prefix_rows(percent, orders, levels, shared, s), PREFIXES))
+    hubs = rows.groupBy("token").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("rows"))
+    hubs = stage_alone(hubs.where("rows > 1"))
+    met = stage_alone(rows.join(hubs, "token"))
+    groups = components(stage_alone(_stars(met, pair_rows).unionAll(_pairs(met, pair_rows, orders))))
     named = groups.unionAll(groups.select(F.col("root").alias("id"), "root").distinct())
     named = stage(named.select(F.col("id").alias("class"), F.col("root").alias("grp")))
     wanted = context.broadcast(bit_set(named.select(F.col("class").alias("hash"))))
-    sets = texts.mapInArrow(lambda b: _wanted_sets(n, wanted, b), SETS).join(named, "class")
-    # Copies in different places come with the same set; one of them is enough.
-    sets = stage(sets.groupBy("class").agg(
-        F.first("grp").alias("grp"), F.first("n").alias("n"), F.first("tokens").alias("tokens")))
+    sets = stage_alone(sets.map(lambda s: _wanted_sets(wanted, s), SETS).join(named, "class"))
     cells = _cells(sets, percent, cell_tokens).repartition("cell").sortWithinPartitions("cell")
-    links = stage(cells.mapInArrow(lambda b: _cell_edges(levels, percent, orders, b), EDGES))
+    links = stage_alone(cells.mapInArrow(lambda b: _cell_edges(levels, percent, orders, b), EDGES))
     # All that was made of them is written: the tasks that follow need none of them again.
-    for sent in (levels, shared, wanted):
+    for sent in (levels, shared, wanted, copied):
         sent.destroy()
     return members, components(links)
 

@@ -10,12 +10,29 @@ from clickloom.plans import stage
 # has at most this many rows; beyond either, the join shuffles and AQE splits hot partitions.
 SMALL_BYTES = 8 * 1024 * 1024
 SMALL_ROWS = 1_000_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def stage_alone(df: DataFrame) -> DataFrame:
+    """``stage``, and the shuffle files that it took go as soon as it is written, not when the
+    driver happens to collect its garbage."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # What is done with shuffle files is settled where a frame is made.
+        return stage(df.select("*"))
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def staged_bytes(df: DataFrame) -> int:
     """Size of the files behind a staged table, as the planner knows it."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -32,4 +49,4 @@ def beside(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small(df) else df
 
 
-__all__ = ["SMALL_BYTES", "SMALL_ROWS", "beside", "read", "small", "stage", "staged_bytes"]
+__all__ = ["SMALL_BYTES", "SMALL_ROWS", "beside", "read", "small", "stage", "stage_alone", "staged_bytes"]

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from clickloom.llm import jaccard
 from clickloom.llm.jaccard import Rarity, one_of_each, order_keys, prefix_sizes, shingle_sets, similar_groups
 
 SCHEMA = "doc_id long, text string, class string, root string"
@@ -116,3 +117,30 @@ def test_shingle_sets():
     sets = [set(tokens[a:b].tolist()) for a, b in zip(first[:-1], first[1:])]
     assert [len(s) for s in sets] == [4, 1, 0, 1, 1, 1]
     assert sets[1] == sets[5] and sets[1] < sets[0] and sets[3] != sets[4]
+
+
+def passages(n):
+    """Texts of words of their own, each with a passage that the next one has as well, and a copy
+    and a near copy of every tenth."""
+    rows = []
+    for k in range(n):
+        own = [f"d{k}w{i}" for i in range(90)]
+        words = [f"p{k}x{i}" for i in range(12)] + own + [f"p{k + 1}x{i}" for i in range(12)]
+        rows.append((len(rows), " ".join(words)))
+        if k % 10 == 0:
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join([*words, "end"]))]
+    return rows
+
+
+def test_sets_of_unrelated_texts_are_not_sent_when_tokens_outnumber_the_cells(spark, monkeypatch):
+    rows, sent = passages(200), []
+    cells = jaccard._cells
+
+    def counting(sets, *rest):
+        sent.append(sets.count())
+        return cells(sets, *rest)
+
+    monkeypatch.setattr(jaccard, "_cells", counting)
+    # 23,000 tokens in 2^15 cells with some 5,000 that come again.
+    assert run(spark, rows, n=4, percent=85, sketch_bits=15, pair_rows=1) == brute(rows, 4, 85)
+    assert 40 <= sent[0] <= 60
